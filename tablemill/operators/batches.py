@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablemill.functions.values import column_named
 from tablemill.operators.combine import fan_in, join_on
-from tablemill.operators.numbering import ROWS_PER_TASK, largest_group, names
+from tablemill.operators.numbering import ROWS_PER_TASK, columns, group_sizes, names
 from tablemill.operators.transform import sql_transform
 from tablemill.sources.keyranges import BATCH_KEY, pk_bounds, read_batch
 
+# Groups of a few short values each: some megabytes when broadcast.
+BROADCAST_GROUPS = 100_000
+
 
 def batch_totals(
     df: DataFrame,
@@ -26,27 +29,50 @@ def batch_totals(
 ) -> DataFrame:
     """Add to each row aggregates of its batch: plain aggregate functions, ``{"n": F.count("*")}``.
 
-    Batches of a checked size share one window.  Beyond it the aggregates are combined
-    before their shuffle and joined back, where AQE splits a batch that fills partitions.
+    Few batches: their aggregates are combined and broadcast, and no row is shuffled.  Many
+    batches that each fit a task: one window.  Else the aggregates are combined and joined
+    back, where AQE splits a batch that fills partitions.  ``largest`` is an upper bound
+    the caller knows; then the batches are not counted.
     """
     within = names(within)
+    combined = df.groupBy(*columns(within)).agg(*[value.alias(name) for name, value in totals.items()])
     if largest is None:
-        largest = largest_group(df, within)
+        sizes = group_sizes(df, within)
+        largest = sizes.largest
+        if sizes.groups <= BROADCAST_GROUPS and all(_short(field.dataType) for field in combined.schema.fields):
+            return join_on(df, F.broadcast(combined), within, "left")
     if largest <= rows_per_task:
-        window = Window.partitionBy(*map(column_named, within))
+        window = Window.partitionBy(*columns(within))
         return df.select("*", *[value.over(window).alias(name) for name, value in totals.items()])
-    combined = df.groupBy(*map(column_named, within)).agg(*[value.alias(name) for name, value in totals.items()])
     return join_on(df, combined, within, "left")
 
 
-def top_per_batch(df: DataFrame, within: str | Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+def _short(kind: T.DataType) -> bool:
+    """Values of a fixed few bytes, so that a number of rows bounds their size."""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def top_per_batch(
+    df: DataFrame, within: str | Sequence[str], order: Sequence[Column], n: int, *, parts: int = 64
+) -> DataFrame:
     """The first ``n`` rows of each batch: ``ORDER BY ... LIMIT n`` once per batch.
 
     Spark keeps only n rows per batch and task before the shuffle (group limit), so a
-    large batch does not gather in one place.
+    large batch does not gather in one place.  It does so up to a limit of n; beyond it
+    each batch is first cut into ``parts`` by hash, and the first n of each part compete.
     """
-    window = Window.partitionBy(*map(column_named, names(within))).orderBy(*order)
-    return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= n).drop("_place")
+    within = names(within)
+    place = F.row_number()
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        part = Window.partitionBy(*columns(within), "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", F.pmod(F.xxhash64(*columns(df.columns)), F.lit(parts)))
+            .withColumn("_place", place.over(part))
+            .where(F.col("_place") <= n)
+            .drop("_part", "_place")
+        )
+    window = Window.partitionBy(*columns(within)).orderBy(*order)
+    return df.withColumn("_place", place.over(window)).where(F.col("_place") <= n).drop("_place")
 
 
 def _one_plan_each(parts: Sequence[tuple[object, DataFrame]], df: DataFrame, kind: T.DataType, query: str,

@@ -1,9 +1,14 @@
-"""Row numbers over a whole table or within groups, without one task per group."""
+"""Row numbers and running sums, over a whole table or within groups.
+
+A window over one large group, or over none, is one task.  Here such a group is cut into
+ranges of the sort key, and each range is its own window group.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -11,7 +16,10 @@ from tablemill.functions.ranges import range_number, sort_key, split_points
 from tablemill.functions.values import column_named
 from tablemill.operators.staging import store
 
+# Rows one task sorts with ease.
 ROWS_PER_TASK = 1_000_000
+# Split points are literals of the plan and ride along with every task, so their number is
+# bounded; a larger table gets larger ranges, whose sorts spill.
 MAX_RANGES = 10_000
 SAMPLES_PER_RANGE = 50
 
@@ -20,14 +28,29 @@ def names(given: str | Sequence[str]) -> list[str]:
     return [given] if isinstance(given, str) else list(given)
 
 
-def largest_group(df: DataFrame, within: str | Sequence[str] = ()) -> int:
-    """Rows in the largest group, or in the table; reads only the grouping columns."""
-    groups = df.groupBy(*[column_named(name) for name in names(within)]).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.max("n")).first()[0] or 0
+def columns(given: Sequence[str]) -> list[Column]:
+    return [column_named(name) for name in given]
+
+
+@dataclass(frozen=True)
+class GroupSizes:
+    largest: int
+    total: int
+    groups: int
 
 
-def _ascending(columns: Sequence[str]) -> list[Column]:
-    return [column_named(name).asc_nulls_last() for name in columns]
+def group_sizes(df: DataFrame, within: str | Sequence[str] = ()) -> GroupSizes:
+    """Rows of the largest group, rows in all, number of groups.
+
+    Reads only the grouping columns and combines counts before the shuffle.
+    """
+    counts = df.groupBy(*columns(names(within))).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.max("n"), F.sum("n"), F.count(F.lit(1))).first()
+    return GroupSizes(row[0] or 0, row[1] or 0, row[2])
+
+
+def _ascending(given: Sequence[str]) -> list[Column]:
+    return [column_named(name).asc_nulls_last() for name in given]
 
 
 def _comparable(kind: T.DataType) -> bool:
@@ -44,32 +67,37 @@ def number_rows(
     within: str | Sequence[str] = (),
     *,
     into: str = "row_no",
+    running: Mapping[str, Column] | None = None,
     tie_break: str | Sequence[str] | None = None,
     largest: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``row_number()`` by ``order_by`` ascending, NULLs last, within groups if given.
 
+    ``running`` adds sums over the rows up to the current one, ``{"so_far": F.col("x")}``.
+
     Equal keys are told apart by ``tie_break``, by default by all other columns, so that a
     recomputed partition numbers its rows the same way again.
 
-    While no group exceeds ``rows_per_task`` (counted first unless ``largest`` is given)
-    this is a plain window.  Otherwise the rows are cut at sampled split points into
-    ranges of about that size, numbered range by range, and shifted by the rows that
-    precede their range.  One huge group, or one huge key, thus spreads over many tasks.
-    The full rows are shuffled once either way.
+    While no group exceeds ``rows_per_task`` this is a plain window; ``largest`` is an upper
+    bound the caller knows, else the groups are counted first.  Otherwise the rows are cut
+    at sampled split points into ranges of about that size, numbered range by range, and
+    shifted by what precedes their range.  One huge group, or one huge key, thus spreads
+    over many tasks.  Full rows are shuffled once either way.
     """
-    order_by, within = names(order_by), names(within)
+    order_by, within, running = names(order_by), names(within), dict(running or {})
     used = {*order_by, *within}
     others = [f.name for f in df.schema.fields if f.name not in used and _comparable(f.dataType)]
     ties = others if tie_break is None else names(tie_break)
+    total = None
     if largest is None:
-        largest = largest_group(df, within)
+        sizes = group_sizes(df, within)
+        largest, total = sizes.largest, sizes.total
     if largest <= rows_per_task:
-        window = Window.partitionBy(*map(column_named, within)).orderBy(*_ascending([*order_by, *ties]))
-        return df.withColumn(into, F.row_number().over(window).cast("bigint"))
+        window = Window.partitionBy(*columns(within)).orderBy(*_ascending([*order_by, *ties]))
+        return df.select("*", *_running(window, into, running))
 
-    total = df.count() if within else largest
+    total = df.count() if total is None else total
     n_ranges = min(MAX_RANGES, math.ceil(total / rows_per_task))
     keyed, keys = df, [*within, *order_by]
     points, repeated = _sampled_points(keyed, keys, n_ranges, total)
@@ -77,31 +105,51 @@ def number_rows(
         # One key fills whole ranges, so the tie-break joins the split points.  Any order among
         # equal keys will do by default: there a hash stands in for columns of any width.
         if tie_break is None:
-            keyed, keys = df.withColumn("_tie", F.xxhash64(*map(column_named, ties))), [*keys, "_tie"]
+            keyed, keys = df.withColumn("_tie", F.xxhash64(*columns(ties))), [*keys, "_tie"]
         else:
             keys = [*keys, *ties]
         points, repeated = _sampled_points(keyed, keys, n_ranges, total)
     if repeated and tie_break is None:
         # Whole ranges of rows that are equal in every column: give each stored row a number
         # of its own to sort by.  It is read back from storage, hence stable on recomputing.
-        copy = df.sparkSession.table(store(df.withColumn("_copy", F.monotonically_increasing_id()), "copies"))
+        copies = df.sparkSession.table(store(df.withColumn("_copy", F.monotonically_increasing_id()), "copies"))
         return number_rows(
-            copy, order_by, within, into=into, tie_break="_copy", largest=largest, rows_per_task=rows_per_task
+            copies, order_by, within, into=into, running=running, tie_break="_copy", largest=largest,
+            rows_per_task=rows_per_task,
         ).drop("_copy")
 
     kind = keyed.select(sort_key(keys).alias("key")).schema["key"].dataType
     ranged = keyed.withColumn("_range", range_number(split_points(points, kind), len(points), sort_key(keys)))
+    group = [F.col("_range"), *columns(within)]
     order = _ascending(list(dict.fromkeys([*keys[len(within):], *ties])))
-    window = Window.partitionBy("_range", *map(column_named, within)).orderBy(*order)
-    local = ranged.withColumn("_local", F.row_number().over(window).cast("bigint"))
-    offsets = _offsets(ranged, within, points, kind)
+    # as many partitions as ranges, whatever the session's default
+    local = ranged.repartition(n_ranges, *group).select(
+        "*", *_running(Window.partitionBy(*group).orderBy(*order), "_local", {f"_local_{n}": c for n, c in running.items()})
+    )
+    offsets = _offsets(ranged, within, running, points, kind)
     match = F.col("_range") == F.col("_offset_range")
     for number, name in enumerate(within):
         match &= column_named(name).eqNullSafe(F.col(f"_group_{number}"))
     # offsets has at most two rows per range, whatever the size of the table
     placed = local.join(F.broadcast(offsets), match, "left")
-    row_no = (F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))).alias(into)
-    return placed.select(*map(column_named, df.columns), row_no)
+    row_no = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
+    kinds = {f.name: f.dataType for f in local.schema.fields}
+    sums = [
+        # NULL until the first value, as a running sum is
+        F.coalesce(
+            column_named(f"_local_{name}") + column_named(f"_before_{name}"),
+            column_named(f"_local_{name}"),
+            column_named(f"_before_{name}"),
+        ).cast(kinds[f"_local_{name}"]).alias(name)
+        for name in running
+    ]
+    return placed.select(*columns(df.columns), row_no.alias(into), *sums)
+
+
+def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[Column]:
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row_no = F.row_number().over(window).cast("bigint").alias(into)
+    return [row_no, *[F.sum(value).over(so_far).alias(name) for name, value in running.items()]]
 
 
 def _sampled_points(keyed: DataFrame, keys: list[str], n_ranges: int, total: int) -> tuple[list, bool]:
@@ -119,15 +167,18 @@ def _sampled_points(keyed: DataFrame, keys: list[str], n_ranges: int, total: int
     return [row["key"] for row in rows], any(row["again"] for row in rows)
 
 
-def _offsets(ranged: DataFrame, within: list[str], points: list, kind: T.StructType) -> DataFrame:
-    """Rows that precede each range, within the group that runs across its start.
+def _offsets(
+    ranged: DataFrame, within: list[str], running: Mapping[str, Column], points: list, kind: T.StructType
+) -> DataFrame:
+    """Rows and sums that precede each range, within the group that runs across its start.
 
     Only a group holding a split point can span ranges, so with groups just those few
     are counted.
     """
-    groups = [column_named(name).alias(f"_group_{number}") for number, name in enumerate(within)]
     labels = [f"_group_{number}" for number in range(len(within))]
-    rows = ranged.select(F.col("_range").alias("_offset_range"), *groups)
+    groups = [column_named(name).alias(label) for name, label in zip(within, labels)]
+    values = [value.alias(f"_before_{name}") for name, value in running.items()]
+    rows = ranged.select(F.col("_range").alias("_offset_range"), *groups, *values)
     if within:
         crossing = (
             ranged.sparkSession.range(1)
@@ -138,7 +189,10 @@ def _offsets(ranged: DataFrame, within: list[str], points: list, kind: T.StructT
         match = F.lit(True)
         for number, label in enumerate(labels):
             match &= F.col(label).eqNullSafe(F.col(f"_crossing_{number}"))
+        # crossing has at most one row per split point
         rows = rows.join(F.broadcast(crossing), match, "left_semi")
-    counts = rows.groupBy("_offset_range", *labels).agg(F.count(F.lit(1)).alias("n"))
+    sums = [F.sum(column_named(f"_before_{name}")).alias(f"_before_{name}") for name in running]
+    counts = rows.groupBy("_offset_range", *labels).agg(F.count(F.lit(1)).alias("_before"), *sums)
     earlier = Window.partitionBy(*labels).orderBy("_offset_range").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.sum("n").over(earlier)).drop("n")
+    summed = [F.sum(column_named(name)).over(earlier).alias(name) for name in counts.columns if name.startswith("_before")]
+    return counts.select("_offset_range", *labels, *summed)

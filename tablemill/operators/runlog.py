@@ -38,12 +38,21 @@ def failure_class(message: Column) -> Column:
 def classify_runs(events: DataFrame) -> DataFrame:
     """``(run_id, failure_class)``: the first telling event of a run decides, else ``other``.
 
-    An aggregate with one buffered value per run, so runs with very many events combine
-    before the shuffle.
+    Only two smallest sequence numbers are kept per run, in a hash aggregate that combines
+    before the shuffle, so a run with very many events costs no more.
     """
     found = events.select("run_id", "seq", failure_class(F.col("message")).alias("found"))
-    first = F.min(F.when(F.col("found").isNotNull(), F.struct("seq", "found")))["found"]
-    return found.groupBy("run_id").agg(F.coalesce(first, F.lit("other")).alias("failure_class"))
+    firsts = found.groupBy("run_id").agg(*[
+        F.min(F.when(F.col("found") == label, F.col("seq"))).alias(label) for label in ("oom", "pod_deleted")
+    ])
+    memory, pod = F.col("oom"), F.col("pod_deleted")
+    return firsts.select(
+        "run_id",
+        F.when(memory.isNotNull() & (pod.isNull() | (memory <= pod)), "oom")
+        .when(pod.isNotNull(), "pod_deleted")
+        .otherwise("other")
+        .alias("failure_class"),
+    )
 
 
 def retry_plan(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tablemill.functions.values import column_named
 from tablemill.operators.combine import join_on
-from tablemill.operators.numbering import ROWS_PER_TASK, names, number_rows
+from tablemill.operators.numbering import ROWS_PER_TASK, columns, names, number_rows
 
 
 def _cut(
@@ -23,10 +23,10 @@ def _cut(
     run = placed.withColumn(number, F.expr(f"(_position - 1) div {int(batch_size)}")).drop("_position")
     group = [*within, number]
     if batch_size <= rows_per_task:
-        first = F.min(column_named(pk)).over(Window.partitionBy(*map(column_named, group)))
+        first = F.min(column_named(pk)).over(Window.partitionBy(*columns(group)))
         return run.withColumn(key, first)
     # runs too long for one task: combine before the shuffle, then join the one row per run back
-    firsts = run.groupBy(*map(column_named, group)).agg(F.min(column_named(pk)).alias(key))
+    firsts = run.groupBy(*columns(group)).agg(F.min(column_named(pk)).alias(key))
     return join_on(run, firsts, group, "left")
 
 

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tablemill.operators.batches import batch_totals
 from tablemill.operators.combine import fan_in
 from tablemill.operators.csv_export import export_csv
-from tablemill.operators.numbering import largest_group, number_rows
+from tablemill.operators.numbering import ROWS_PER_TASK, number_rows
 from tablemill.operators.staging import Stages
 from tablemill.operators.tables import insert_select, load_table
 from tablemill.operators.targets import write_targets
 from tablemill.operators.transform import sql_transform
 from tablemill.sources.files import extract_csv
-from tablemill.sources.keyranges import BATCH_KEY, with_pk_batches
+from tablemill.sources.keyranges import BATCH_KEY, batch_rows_bound, pk_bounds, with_pk_batches
 
 
 def table_to_table(df: DataFrame, target: str, sql: str | None = None) -> str:
@@ -40,8 +40,9 @@ def batch_sql_to_table(
     ``sql`` keeps ``pk``, ``batch_key`` and ``total_of``.  Numbering and total share the one
     shuffle on the batch key.
     """
-    shaped = sql_transform(sql, with_pk_batches(df, pk, batch_size))
-    largest = largest_group(shaped, BATCH_KEY)
+    lo = pk_bounds(df, pk).first()["lo"]
+    shaped = sql_transform(sql, with_pk_batches(df, pk, batch_size, lo=lo))
+    largest = batch_rows_bound(df, pk, batch_size, ROWS_PER_TASK, lo=lo)
     numbered = number_rows(shaped, pk, BATCH_KEY, into="row_in_batch", largest=largest)
     # exact decimals, so that the total does not depend on the order of addition
     total = F.sum(F.col(total_of).cast("decimal(18,2)"))

@@ -122,10 +122,9 @@ def stale_downstream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('table_', user_id) AS table_name", "concat('table_', user_id div 2) AS upstream",
         "concat('report_', event_type) AS report", "ts", "user_id AS run_id",
     )
-    per_user = events.groupBy("table_name").agg(F.collect_set("upstream").alias("depends_on"))
-    # one row per edge: a report may depend on any number of tables
+    per_user = events.select("table_name", F.col("upstream").alias("depends_on")).distinct()
     reports = events.select(F.col("report").alias("table_name"), F.col("table_name").alias("depends_on")).distinct()
-    edges = per_user.select("table_name", F.explode("depends_on").alias("depends_on")).unionByName(reports)
+    edges = per_user.unionByName(reports)
     return stale_tables(edges, latest_per_table(events))
 
 

@@ -5,8 +5,9 @@ Nothing is built for these; each shows that the SQL runs on bound frames as Spar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablemill.operators.numbering import number_rows
 from tablemill.operators.transform import sql_transform
 from tablemill.plans.registry import query, table
 
@@ -102,7 +103,13 @@ def agg_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(WINDOW_RANK_RUNNING)
 def window_rank_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir, WINDOW_RANK_RUNNING, "orders")
+    """By range, not by SQL window: one customer may hold any share of the orders."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    numbered = number_rows(
+        rows, ["o_orderdate", "o_orderkey"], "o_custkey", into="place", tie_break=[],
+        running={"running": F.col("o_totalprice").cast("decimal(18,2)")},
+    )
+    return numbered.select("o_custkey", "o_orderkey", "place", "running")
 
 
 @query(TOP_K)

@@ -13,12 +13,9 @@ from tablemill.operators.splitting import split_by_position, split_within
 from tablemill.operators.staging import scratch_database
 from tablemill.operators.transform import passthrough, sql_transform
 from tablemill.plans.flows import batch_sql_to_table
-from tablemill.plans.registry import query, table
+from tablemill.plans.registry import query, rows_per_task, table
 from tablemill.sources.keyranges import pk_bounds, with_pk_batches
 
-# Small enough that the checks run the many-ranges way of numbering, not only the plain window.
-SMALL_RANGES = 2_000
-
 UPPER_SQL = "SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1 AS adjusted_price FROM input_df"
 
 
@@ -56,7 +53,7 @@ def sql_transform_shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
         """,
         table(spark, sf_dir, "events"),
     )
-    return number_rows(shaped, ["ts", "id"], into="row_num", tie_break=[], rows_per_task=SMALL_RANGES)
+    return number_rows(shaped, ["ts", "id"], into="row_num", tie_break=[], rows_per_task=rows_per_task(shaped))
 
 
 @query("""
@@ -136,9 +133,7 @@ def batch_totals_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals for three groups that each hold a third of the table."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
     quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)"))
-    return batch_totals(
-        rows, "l_returnflag", {"n_rows": F.count(F.lit(1)), "quantity": quantity}, rows_per_task=SMALL_RANGES
-    )
+    return batch_totals(rows, "l_returnflag", {"n_rows": F.count(F.lit(1)), "quantity": quantity})
 
 
 _QUARTERS = """
@@ -180,7 +175,7 @@ SELECT o_orderkey, o_orderstatus, batch_no, min(o_orderkey) OVER (PARTITION BY b
 """)
 def split_by_row_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return split_by_position(rows, "o_orderkey", 100, rows_per_task=SMALL_RANGES)
+    return split_by_position(rows, "o_orderkey", 100, rows_per_task=rows_per_task(rows))
 
 
 @query("""
@@ -191,7 +186,8 @@ SELECT doc_id, quality, toxic, batch_no, min(doc_id) OVER (PARTITION BY batch_no
 """)
 def split_with_key_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 50 rows, however far apart their keys are."""
-    return split_by_position(table(spark, sf_dir, "labels"), "doc_id", 50, rows_per_task=100)
+    labels = table(spark, sf_dir, "labels")
+    return split_by_position(labels, "doc_id", 50, rows_per_task=rows_per_task(labels))
 
 
 @query("""
@@ -201,9 +197,9 @@ WITH tied AS (
 SELECT c_nationkey, c_custkey, batch_no, min(c_nationkey) OVER (PARTITION BY batch_no) AS batch_key FROM placed
 """)
 def split_with_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """25 distinct keys, each far above a range: ties go by the second column."""
+    """25 distinct keys with many rows each: ties go by the second column."""
     rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
-    return split_by_position(rows, "c_nationkey", 40, rows_per_task=50, tie_break="c_custkey")
+    return split_by_position(rows, "c_nationkey", 40, rows_per_task=rows_per_task(rows), tie_break="c_custkey")
 
 
 @query(_BATCHED.replace("50", "200") + """
@@ -231,7 +227,7 @@ FROM placed GROUP BY l_returnflag, sub_no
 def split_nested_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs within three groups that each hold a third of the table, keys repeated."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_quantity")
-    runs = split_within(rows, "l_partkey", 1000, "l_returnflag", rows_per_task=SMALL_RANGES)
+    runs = split_within(rows, "l_partkey", 1000, "l_returnflag", rows_per_task=rows_per_task(rows))
     return runs.groupBy("l_returnflag", "sub_no").agg(
         F.count(F.lit(1)).alias("n_rows"), F.first("sub_key").alias("sub_key"), F.max("l_partkey").alias("last_key")
     )

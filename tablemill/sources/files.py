@@ -57,14 +57,17 @@ def extract_csv(
     """Read CSV with a header line in UTF-8.
 
     Missing-value words (:data:`tablemill.functions.values.MISSING_WORDS`) read as NULL in
-    every column.  Columns are matched to ``schema`` by header name; a value that does not
-    parse as its declared type fails the query rather than turning into NULL.  Without a
-    schema the types are inferred from all values.
+    every column.  Columns are matched to ``schema`` by header name.  In ANSI mode, Spark's
+    default, a value that does not parse as its declared type fails the query rather than
+    turning into NULL.  Without a schema the types are inferred from all values.
 
     Quoted line breaks need ``multiline``, with which one file is one task.  Set it to
     False for large files known to hold none, so that Spark can split them.
     """
-    text = spark.read.options(header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8").csv(path)
+    # enforceSchema off: files whose headers differ are refused instead of read by position
+    text = spark.read.options(
+        header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8", enforceSchema=False
+    ).csv(path)
     text = text.select(*[missing_to_null(column_named(name)).alias(name) for name in text.columns])
     if schema is None:
         kinds = _inferred(text)

@@ -36,17 +36,21 @@ def _range_start(key: Column, lo: Any, size: int) -> Column:
     return key - F.pmod(F.pmod(key, F.lit(size)) - F.lit(lo % size), F.lit(size))
 
 
-def with_pk_batches(df: DataFrame, pk: str, batch_size: int, into: str = BATCH_KEY) -> DataFrame:
+def with_pk_batches(
+    df: DataFrame, pk: str, batch_size: int, *, lo: Any | None = None, into: str = BATCH_KEY
+) -> DataFrame:
     """Tag each row with the start of its key range; rows without a key are left out.
 
-    The bounds cost one pass over the key column; tagging itself is row by row, so the
-    tagged frame has no shuffle and keeps filters and column pruning at the scan.
+    Unless the smallest key ``lo`` is given, finding it costs one pass over the key column.
+    Tagging itself is row by row, so the tagged frame has no shuffle and keeps filters and
+    column pruning at the scan.
     """
     if not batch_size or batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     key = _key_column(df, pk)
     kind = df.select(key.alias("key")).schema[0].dataType
-    lo = pk_bounds(df, pk).first()["lo"]
+    if lo is None:
+        lo = pk_bounds(df, pk).first()["lo"]
     if lo is None:
         return df.where(F.lit(False)).withColumn(into, F.lit(None).cast(kind))
     return df.where(key.isNotNull()).withColumn(into, _range_start(key, lo, batch_size).cast(kind))
@@ -58,9 +62,9 @@ def batch_grid(df: DataFrame, pk: str, batch_size: int) -> DataFrame:
     The grid comes from ``spark.range``, so a long key span is generated by many tasks.
     Counts and zeros meet in one aggregation, which combines before its shuffle.
     """
-    tagged = with_pk_batches(df, pk, batch_size)
-    kind = tagged.schema[BATCH_KEY].dataType
     lo, hi = pk_bounds(df, pk).first()
+    tagged = with_pk_batches(df, pk, batch_size, lo=lo)
+    kind = tagged.schema[BATCH_KEY].dataType
     n_ranges = 0 if lo is None else int((hi - lo) // batch_size) + 1
     step = F.col("id") if not isinstance(kind, T.DecimalType) else F.col("id").cast("decimal(38,0)")
     start = F.lit(lo).cast(kind) + step * F.lit(float(batch_size) if isinstance(lo, float) else batch_size)
@@ -69,6 +73,22 @@ def batch_grid(df: DataFrame, pk: str, batch_size: int) -> DataFrame:
     return counts.unionByName(grid).groupBy(BATCH_KEY).agg(F.sum("n").alias("n_rows"))
 
 
+def batch_rows_bound(df: DataFrame, pk: str, batch_size: int, enough: int, *, lo: Any | None = None) -> int:
+    """An upper bound on the rows of one key range.
+
+    Ranges are counted many at a time first: if even those hold at most ``enough`` rows,
+    as with unique keys they do, that bounds each range at the cost of few groups.
+    Otherwise the ranges are counted one by one.
+    """
+    together = max(1, enough // (2 * batch_size))
+    for size in dict.fromkeys((batch_size * together, batch_size)):
+        wide = with_pk_batches(df, pk, size, lo=lo)
+        bound = wide.groupBy(BATCH_KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if bound <= enough:
+            break
+    return bound
+
+
 def read_batch(df: DataFrame, pk: str, start: Any, batch_size: int) -> DataFrame:
     """The rows of one range.  The comparison is on the stored column, so it reaches the scan."""
     return df.where((column_named(pk) >= F.lit(start)) & (column_named(pk) < F.lit(start + batch_size)))
