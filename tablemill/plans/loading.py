@@ -212,7 +212,7 @@ def fan_in_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice::DECIMAL(18,2))::DECIMAL(28,2) AS spent
+SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS spent
 FROM orders GROUP BY o_custkey
 """)
 def staged_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +221,7 @@ def staged_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice"),
         "temp_test",
         "SELECT o_custkey, count(*) AS n_orders, "
-        "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS spent FROM temp_test GROUP BY o_custkey",
+        "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent FROM temp_test GROUP BY o_custkey",
         _target(spark, "staged"),
     )
     return spark.table(target)
@@ -286,7 +286,7 @@ def pk_middle(df: DataFrame, pk: str) -> int:
 
 
 @query("""
-SELECT event_type, count(*) AS n_events, sum(value::DECIMAL(18,6))::DECIMAL(28,6) AS total FROM events GROUP BY event_type
+SELECT event_type, count(*) AS n_events, sum(value::DECIMAL(18,6))::DOUBLE AS total FROM events GROUP BY event_type
 """)
 def refresh_sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL runs on each arriving batch; the partial results add up to the whole."""
@@ -294,9 +294,9 @@ def refresh_sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = refresh(
         spark, path, schema, _target(spark, "partial"), fresh_path(spark, "progress"),
         sql="SELECT event_type, count(*) AS n_events, "
-            "CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(28,6)) AS total FROM input_df GROUP BY event_type",
+            "sum(CAST(value AS DECIMAL(18,6))) AS total FROM input_df GROUP BY event_type",
         files_per_batch=1,
     )
     return spark.table(target).groupBy("event_type").agg(
-        F.sum("n_events").alias("n_events"), F.sum("total").cast("decimal(28,6)").alias("total")
+        F.sum("n_events").alias("n_events"), F.sum("total").cast("double").alias("total")
     )

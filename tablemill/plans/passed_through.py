@@ -27,11 +27,11 @@ JOIN_SEMI = "SELECT * FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_c
 JOIN_ANTI = "SELECT * FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)"
 AGG_DISTINCT = """
 SELECT l_returnflag, l_linestatus, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders,
-       sum(CAST(l_quantity AS DECIMAL(18,2))) AS quantity, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """
 AGG_ROLLUP = """
-SELECT l_returnflag, l_linestatus, count(*) AS n_rows, sum(CAST(l_quantity AS DECIMAL(18,2))) AS quantity
+SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
 """
 AGG_CUBE = "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)"
@@ -41,8 +41,8 @@ GROUP BY GROUPING SETS ((c_nationkey), (c_mktsegment), ())
 """
 WINDOW_RANK_RUNNING = """
 SELECT o_custkey, o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS place,
-       sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
-         PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS running
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
+         PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running
 FROM orders
 """
 TOP_K = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"
@@ -50,7 +50,7 @@ SET_INTERSECT = "SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_n
 SET_EXCEPT = "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders"
 SET_UNION = "SELECT c_nationkey AS nation FROM customer UNION SELECT n_nationkey FROM nation"
 THREE_JOINS = """
-SELECT r_name, n_name, count(*) AS n_orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spent
+SELECT r_name, n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, n_name
 """
@@ -109,7 +109,7 @@ def window_rank_running(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, ["o_orderdate", "o_orderkey"], "o_custkey", into="place", tie_break=[],
         running={"running": F.col("o_totalprice").cast("decimal(18,2)")},
     )
-    return numbered.select("o_custkey", "o_orderkey", "place", "running")
+    return numbered.select("o_custkey", "o_orderkey", "place", F.col("running").cast("double").alias("running"))
 
 
 @query(TOP_K)

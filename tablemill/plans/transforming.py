@@ -97,7 +97,7 @@ WITH tagged AS (
 @query(_BATCHED + """
 SELECT o_orderkey, upper(o_orderpriority) AS priority, o_totalprice, batch_key,
        row_number() OVER (PARTITION BY batch_key ORDER BY o_orderkey) AS row_in_batch,
-       sum(o_totalprice::DECIMAL(18,2)) OVER (PARTITION BY batch_key)::DECIMAL(28,2) AS batch_total
+       sum(o_totalprice::DECIMAL(18,2)) OVER (PARTITION BY batch_key)::DOUBLE AS batch_total
 FROM tagged
 """)
 def batch_sql_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def batch_sql_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice",
         target,
     )
-    return spark.table(target)
+    return spark.table(target).withColumn("batch_total", F.col("batch_total").cast("double"))
 
 
 @query(_BATCHED + """
@@ -126,14 +126,15 @@ def batch_top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT l_orderkey, l_returnflag, l_quantity, count(*) OVER (PARTITION BY l_returnflag) AS n_rows,
-       sum(l_quantity::DECIMAL(18,2)) OVER (PARTITION BY l_returnflag)::DECIMAL(28,2) AS quantity
+       sum(l_quantity::DECIMAL(18,2)) OVER (PARTITION BY l_returnflag)::DOUBLE AS quantity
 FROM lineitem
 """)
 def batch_totals_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals for three groups that each hold a third of the table."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
     quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)"))
-    return batch_totals(rows, "l_returnflag", {"n_rows": F.count(F.lit(1)), "quantity": quantity})
+    found = batch_totals(rows, "l_returnflag", {"n_rows": F.count(F.lit(1)), "quantity": quantity})
+    return found.withColumn("quantity", F.col("quantity").cast("double"))
 
 
 _QUARTERS = """

@@ -19,18 +19,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value: object) -> object:
-    if isinstance(value, bool) or value is None:
-        return value
-    if isinstance(value, decimal.Decimal):
-        return float(value)
-    if isinstance(value, int):
-        return float(value) if abs(value) < 2**53 else value
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else value
-    if isinstance(value, datetime.datetime):
-        return value.isoformat(sep=" ")
-    if isinstance(value, datetime.date):
-        return value.isoformat() + " 00:00:00"
+    """A value that compares by type as well: 1 is not 1.0."""
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return type(value).__name__, value
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return type(value).__name__, value.isoformat()
     return value
 
 
