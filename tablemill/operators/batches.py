@@ -12,13 +12,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tablemill.functions.values import column_named
 from tablemill.operators.combine import fan_in, join_on
 from tablemill.operators.numbering import ROWS_PER_TASK, columns, group_sizes, names
+from tablemill.operators.skew import BROADCAST_BYTES, frequent_keys, row_bytes
+from tablemill.operators.staging import store
 from tablemill.operators.transform import sql_transform
 from tablemill.sources.keyranges import BATCH_KEY, pk_bounds, read_batch
 
-# Groups of a few short values each: some megabytes when broadcast.
-BROADCAST_GROUPS = 100_000
-
-
 def batch_totals(
     df: DataFrame,
     within: str | Sequence[str],
@@ -29,27 +27,34 @@ def batch_totals(
 ) -> DataFrame:
     """Add to each row aggregates of its batch: plain aggregate functions, ``{"n": F.count("*")}``.
 
-    Few batches: their aggregates are combined and broadcast, and no row is shuffled.  Many
-    batches that each fit a task: one window.  Else the aggregates are combined and joined
-    back, where AQE splits a batch that fills partitions.  ``largest`` is an upper bound
-    the caller knows; then the batches are not counted.
+    If the aggregates of all batches are known to be small they are broadcast, and no row
+    is shuffled.  Otherwise batches that fit a task share a window, and the aggregates of
+    larger batches, which cannot be many, are broadcast to their rows.  ``largest`` is an
+    upper bound the caller knows; then the batches are not counted.
     """
     within = names(within)
-    combined = df.groupBy(*columns(within)).agg(*[value.alias(name) for name, value in totals.items()])
-    if largest is None:
-        sizes = group_sizes(df, within)
-        largest = sizes.largest
-        if sizes.groups <= BROADCAST_GROUPS and all(_short(field.dataType) for field in combined.schema.fields):
-            return join_on(df, F.broadcast(combined), within, "left")
-    if largest <= rows_per_task:
-        window = Window.partitionBy(*columns(within))
-        return df.select("*", *[value.over(window).alias(name) for name, value in totals.items()])
-    return join_on(df, combined, within, "left")
 
+    def over_window(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*columns(within))
+        return rows.select("*", *[value.over(window).alias(name) for name, value in totals.items()])
 
-def _short(kind: T.DataType) -> bool:
-    """Values of a fixed few bytes, so that a number of rows bounds their size."""
-    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    if largest is not None and largest <= rows_per_task:
+        return over_window(df)
+    combined = df.groupBy(*columns(within)).agg(*[value.alias(name) for name, value in totals.items()])
+    sizes = group_sizes(df, within)
+    bytes_each = row_bytes(combined, within, sizes)
+    if bytes_each is not None and sizes.groups * bytes_each <= BROADCAST_BYTES:
+        return join_on(df, F.broadcast(combined), within, "left")
+    if sizes.largest <= rows_per_task:
+        return over_window(df)
+    if bytes_each is None:
+        # nested results, such as collected lists: nothing bounds a broadcast
+        return join_on(df, combined, within, "left")
+    frequent = F.broadcast(frequent_keys(df, within, sizes, bytes_each, rows_per_task))
+    large = join_on(df, frequent, within, "left_semi")
+    of_large = join_on(combined, frequent, within, "left_semi")
+    small = join_on(df, frequent, within, "left_anti")
+    return join_on(large, F.broadcast(of_large), within, "left").unionByName(over_window(small))
 
 
 def top_per_batch(
@@ -92,8 +97,9 @@ def _refuse(max_batches: int) -> None:
 def sql_per_range(df: DataFrame, query: str, pk: str, batch_size: int, max_batches: int = 200) -> DataFrame:
     """Any SELECT over ``input_df``, run once per key range, also for ranges without rows.
 
-    The results carry ``batch_key``.  Each run reads its range only, by a comparison that
-    reaches the scan.  One plan per range, so this suits few large ranges; more than
+    The results carry ``batch_key``.  Each run reads its range by a comparison that reaches
+    the scan, which skips the rest where the data is laid out by key; for other layouts use
+    :func:`sql_per_batch`.  One plan per range, so this suits few large ranges; more than
     ``max_batches`` are refused, never skipped.
     """
     if not batch_size or batch_size < 1:
@@ -109,11 +115,19 @@ def sql_per_range(df: DataFrame, query: str, pk: str, batch_size: int, max_batch
 
 
 def sql_per_batch(df: DataFrame, query: str, batch_key: str = BATCH_KEY, max_batches: int = 200) -> DataFrame:
-    """Like :func:`sql_per_range`, for a frame that is already tagged with batch keys."""
+    """Like :func:`sql_per_range`, for a frame that is already tagged with batch keys.
+
+    The frame is stored once, partitioned by batch key, and each run reads its partition.
+    The stored table lasts until :func:`tablemill.operators.staging.drop_scratch`.
+    """
     tag = column_named(batch_key)
     keys = [row[0] for row in df.select(tag).distinct().limit(max_batches + 1).collect()]
     if len(keys) > max_batches:
         _refuse(max_batches)
     kind = df.schema[batch_key].dataType
-    parts = [(key, df.where(tag.eqNullSafe(F.lit(key).cast(kind)))) for key in keys]
+    if keys:
+        stored = df.sparkSession.table(store(df, "batches", partition_by=batch_key)).select(*columns(df.columns))
+        parts = [(key, stored.where(tag.eqNullSafe(F.lit(key).cast(kind)))) for key in keys]
+    else:
+        parts = []
     return _one_plan_each(parts, df, kind, query, batch_key)

@@ -22,6 +22,7 @@ ROWS_PER_TASK = 1_000_000
 # bounded; a larger table gets larger ranges, whose sorts spill.
 MAX_RANGES = 10_000
 SAMPLES_PER_RANGE = 50
+SHORT_BYTES = 16
 
 
 def names(given: str | Sequence[str]) -> list[str]:
@@ -37,16 +38,32 @@ class GroupSizes:
     largest: int
     total: int
     groups: int
+    key_bytes: int
 
 
 def group_sizes(df: DataFrame, within: str | Sequence[str] = ()) -> GroupSizes:
-    """Rows of the largest group, rows in all, number of groups.
+    """Rows of the largest group, rows in all, number of groups, bytes of the longest key.
 
     Reads only the grouping columns and combines counts before the shuffle.
     """
-    counts = df.groupBy(*columns(names(within))).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n"), F.sum("n"), F.count(F.lit(1))).first()
-    return GroupSizes(row[0] or 0, row[1] or 0, row[2])
+    within = names(within)
+    counts = df.groupBy(*columns(within)).agg(F.count(F.lit(1)).alias("n"))
+    widths = [F.coalesce(F.max(_width(counts.schema[name].dataType, column_named(name))), F.lit(0)) for name in within]
+    row = counts.agg(F.max("n"), F.sum("n"), F.count(F.lit(1)), *widths).first()
+    return GroupSizes(row[0] or 0, row[1] or 0, row[2], sum(row[3:]))
+
+
+def _width(kind: T.DataType, value: Column) -> Column:
+    if is_short(kind):
+        return F.lit(SHORT_BYTES)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(value)
+    return F.octet_length(value.cast("string"))
+
+
+def is_short(kind: T.DataType) -> bool:
+    """Whether values take a fixed few bytes, so that a number of rows bounds their size."""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def _ascending(given: Sequence[str]) -> list[Column]:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablemill.functions.durations import duration_seconds
+from tablemill.operators.skew import look_up
 
 # Texts that tell why a run failed, first the memory texts, then the pod texts.
 MEMORY_TEXTS = (
@@ -35,16 +36,20 @@ def failure_class(message: Column) -> Column:
     return F.when(_mentions(message, MEMORY_TEXTS), "oom").when(_mentions(message, POD_TEXTS), "pod_deleted")
 
 
-def classify_runs(events: DataFrame) -> DataFrame:
+def classify_runs(events: DataFrame, **also: Column) -> DataFrame:
     """``(run_id, failure_class)``: the first telling event of a run decides, else ``other``.
 
-    Only two smallest sequence numbers are kept per run, in a hash aggregate that combines
-    before the shuffle, so a run with very many events costs no more.
+    ``also`` adds aggregates of the run's events, such as ``attempt=F.max("attempt")``, in
+    the same pass.  Of the messages only two smallest sequence numbers are kept per run, in
+    a hash aggregate that combines before the shuffle, so a run with very many events costs
+    no more.
     """
-    found = events.select("run_id", "seq", failure_class(F.col("message")).alias("found"))
-    firsts = found.groupBy("run_id").agg(*[
-        F.min(F.when(F.col("found") == label, F.col("seq"))).alias(label) for label in ("oom", "pod_deleted")
-    ])
+    found = events.withColumn("found", failure_class(F.col("message")))
+    firsts = found.groupBy("run_id").agg(
+        F.min(F.when(F.col("found") == "oom", F.col("seq"))).alias("oom"),
+        F.min(F.when(F.col("found") == "pod_deleted", F.col("seq"))).alias("pod_deleted"),
+        *[value.alias(name) for name, value in also.items()],
+    )
     memory, pod = F.col("oom"), F.col("pod_deleted")
     return firsts.select(
         "run_id",
@@ -52,6 +57,7 @@ def classify_runs(events: DataFrame) -> DataFrame:
         .when(pod.isNotNull(), "pod_deleted")
         .otherwise("other")
         .alias("failure_class"),
+        *also,
     )
 
 
@@ -93,6 +99,12 @@ def latest_per_table(events: DataFrame, status: str | None = None) -> DataFrame:
     return chosen.groupBy("table_name").agg(latest.alias("latest")).select("table_name", "latest.ts", "latest.run_id")
 
 
+def last_built(events: DataFrame, status: str | None = None) -> DataFrame:
+    """``(table_name, ts)`` of the latest event per table; a hash aggregate, unlike the above."""
+    chosen = events if status is None else events.where(F.col("status") == status)
+    return chosen.groupBy("table_name").agg(F.max("ts").alias("ts"))
+
+
 def newer_than(latest: DataFrame, moment: Column) -> DataFrame:
     """The tables built after a moment."""
     return latest.where(F.col("ts") > moment)
@@ -103,14 +115,15 @@ def stale_tables(edges: DataFrame, latest: DataFrame) -> DataFrame:
 
     ``edges`` is ``(table_name, depends_on)``, where ``depends_on`` names one upstream table
     or holds an array of them.  A table is stale if an upstream is newer, or if it was
-    never built.  Edges are reduced to one row per table before the second join.
+    never built.  An upstream on which any share of the tables depends does not gather
+    in one task, and edges are reduced to one row per table before the second join.
     """
     if edges.schema["depends_on"].dataType.typeName() == "array":
         edges = edges.select("table_name", F.explode_outer("depends_on").alias("depends_on"))
     built = latest.select("table_name", "ts")
     upstream = built.select(F.col("table_name").alias("depends_on"), F.col("ts").alias("upstream_ts"))
     newest = (
-        edges.join(upstream, "depends_on", "left")
+        look_up(edges, upstream, ["depends_on"])
         .groupBy("table_name")
         .agg(F.max("upstream_ts").alias("newest_upstream_ts"))
     )

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tablemill.functions.values import column_named
-from tablemill.operators.combine import join_on
 from tablemill.operators.numbering import ROWS_PER_TASK, columns, names, number_rows
+from tablemill.operators.skew import look_up
+from tablemill.operators.staging import store
 
 
 def _cut(
@@ -20,14 +21,17 @@ def _cut(
     if not pk:
         raise ValueError("pk is needed to order the rows")
     placed = number_rows(df, pk, within, into="_position", rows_per_task=rows_per_task, tie_break=tie_break)
-    run = placed.withColumn(number, F.expr(f"(_position - 1) div {int(batch_size)}")).drop("_position")
+    run = placed.withColumn(number, F.expr(f"(_position - 1) div {int(batch_size)}"))
     group = [*within, number]
     if batch_size <= rows_per_task:
+        # the result arrives partitioned by run, which work per run then need not shuffle for
         first = F.min(column_named(pk)).over(Window.partitionBy(*columns(group)))
-        return run.withColumn(key, first)
-    # runs too long for one task: combine before the shuffle, then join the one row per run back
-    firsts = run.groupBy(*columns(group)).agg(F.min(column_named(pk)).alias(key))
-    return join_on(run, firsts, group, "left")
+        return run.drop("_position").withColumn(key, first)
+    # Runs too long for one task: number once, then look up the first row of each run.
+    stored = df.sparkSession.table(store(run, "runs"))
+    starts = stored.where((F.col("_position") - 1) % int(batch_size) == 0)
+    firsts = starts.select(*columns(group), column_named(pk).alias(key))
+    return look_up(stored.drop("_position"), firsts, group, rows_per_task=rows_per_task)
 
 
 def split_by_position(

@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablemill.functions.values import column_named
 from tablemill.operators.transform import sql_transform
 from tablemill.session import shared_dir
 
@@ -37,10 +38,18 @@ def drop_scratch(spark: SparkSession) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {scratch_database(spark)} CASCADE")
 
 
-def store(df: DataFrame, label: str) -> str:
-    """Write a frame once to a new scratch table and return the table's name."""
+def store(df: DataFrame, label: str, partition_by: str | None = None) -> str:
+    """Write a frame once to a new scratch table and return the table's name.
+
+    With ``partition_by`` the rows are brought together by that column first, in files of
+    even size: rebalancing merges small partitions and splits a value that fills several.
+    """
     table = f"{scratch_database(df.sparkSession)}.{temp_name(label)}"
-    df.write.format("parquet").saveAsTable(table)
+    if partition_by is None:
+        df.write.format("parquet").saveAsTable(table)
+    else:
+        even = df.hint("rebalance", column_named(partition_by))
+        even.write.format("parquet").partitionBy(partition_by).saveAsTable(table)
     return table
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablemill.functions.durations import duration_seconds
 from tablemill.operators.runlog import (
     classify_runs,
+    last_built,
     latest_per_table,
     min_rows_check,
     newer_than,
@@ -65,9 +66,7 @@ SELECT run_id, failure_class, attempt, attempt < 4 AS retry,
 FROM classes
 """)
 def plan_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = run_events(spark, sf_dir)
-    attempts = events.groupBy("run_id").agg(F.max("attempt").alias("attempt"))
-    runs = classify_runs(events).join(attempts, "run_id")
+    runs = classify_runs(run_events(spark, sf_dir), attempt=F.max("attempt"))
     return retry_plan(runs, max_attempts=4, base_delay="1.5m", factor=3.0, max_delay="30 m")
 
 
@@ -120,12 +119,12 @@ def stale_downstream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table per user that depends on another user's, and never-built reports per event type."""
     events = table(spark, sf_dir, "events").selectExpr(
         "concat('table_', user_id) AS table_name", "concat('table_', user_id div 2) AS upstream",
-        "concat('report_', event_type) AS report", "ts", "user_id AS run_id",
+        "concat('report_', event_type) AS report", "ts",
     )
     per_user = events.select("table_name", F.col("upstream").alias("depends_on")).distinct()
     reports = events.select(F.col("report").alias("table_name"), F.col("table_name").alias("depends_on")).distinct()
     edges = per_user.unionByName(reports)
-    return stale_tables(edges, latest_per_table(events))
+    return stale_tables(edges, last_built(events))
 
 
 @query("""

@@ -152,14 +152,16 @@ def warehouse_conditionals_and_dates(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 @query("""
-SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, '{"id":' || event_id || ',"type":"' || event_type || '"}' AS built
+SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, '{"id":' || event_id || ',"type":"' || event_type || '"}' AS built,
+       '{"id":' || event_id || '}' AS as_variant
 FROM events
 """)
 def warehouse_semi_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PARSE_JSON and OBJECT_CONSTRUCT as ``parse_json`` and ``to_json`` of a struct."""
+    """PARSE_JSON, OBJECT_CONSTRUCT and TO_VARIANT as Spark names them."""
     return _run(spark, sf_dir, """
         SELECT event_id, try_variant_get(parse_json(props), '$.k', 'bigint') AS k,
-               to_json(named_struct('id', event_id, 'type', event_type)) AS built
+               to_json(named_struct('id', event_id, 'type', event_type)) AS built,
+               to_json(to_variant_object(named_struct('id', event_id))) AS as_variant
         FROM events
         """, "events")
 

@@ -34,14 +34,14 @@ def build_session(app_name: str = "tablemill", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else by ``setCheckpointDir``.
 
     A local-mode session without the setting gets a fresh temporary folder.  On a
     cluster a machine-local folder would lose data with its machine, so there the
     setting is required.
     """
     with _lock:
-        found = spark.conf.get("spark.checkpoint.dir", None)
+        found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if found:
             return found.rstrip("/")
         if not spark.sparkContext.master.startswith("local"):

@@ -20,7 +20,9 @@ def check_whole(found, order, n):
 def test_group_sizes(spark):
     df = spark.createDataFrame([(1,), (1,), (None,)], "g int")
     sizes = group_sizes(df, "g")
-    assert (sizes.largest, sizes.total, sizes.groups) == (2, 3, 2)
+    assert (sizes.largest, sizes.total, sizes.groups, sizes.key_bytes) == (2, 3, 2, 16)
+    words = spark.createDataFrame([("a", "x"), ("über", None)], "g string, h string")
+    assert group_sizes(words, ["g", "h"]).key_bytes == 6
     assert group_sizes(df).largest == 3
     assert group_sizes(df.where("false"), "g").largest == 0
 
@@ -149,6 +151,25 @@ def test_runs_longer_than_a_task(spark):
     assert sorted(tuple(r) for r in found.collect()) == [(0, 0, 400), (1, 400, 400), (2, 800, 200)]
 
 
+@pytest.mark.parametrize("key", ["id", "format_string('%05d', id)"])
+def test_long_runs_within_groups(spark, key):
+    df = spark.range(3000).selectExpr(f"{key} AS k", "if(id < 2500, null, id % 100) AS g")
+    found = split_within(df, "k", 400, "g", rows_per_task=150)
+    counts = found.groupBy("g", "sub_no", "sub_key").count().collect()
+    assert sorted(r["count"] for r in counts if r.g is None) == [100] + [400] * 6
+    assert sorted(int(r.sub_key) for r in counts if r.g is None) == list(range(0, 2500, 400))
+    assert sum(r["count"] for r in counts) == 3000 and all(r["count"] == 5 for r in counts if r.g is not None)
+
+
+def test_work_per_batch_after_a_split_shuffles_no_more(spark):
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    runs = split_by_position(spark.range(1000).selectExpr("id", "id % 7 AS v"), "id", 100, rows_per_task=200)
+    numbered_again = number_rows(runs, "v", "batch_no", largest=100)
+    assert exchanges(numbered_again) == exchanges(runs)
+
+
 def test_nested_split(spark):
     df = spark.range(100).selectExpr("id", "id div 40 * 40 as batch_key")
     found = split_within(df, "id", 15).groupBy("batch_key", "sub_no", "sub_key").count().collect()

@@ -102,6 +102,8 @@ def test_insert_select_goes_by_position(spark, target, rows):
 def test_statements_without_target(spark, target):
     assert run_statement(spark, "SELECT :n AS n", {"n": 7}).first().n == 7
     run_statement(spark, f"CREATE TABLE {target} (n INT) USING parquet")
+    for asked in (f"DESCRIBE TABLE {target}", f"SHOW TABLES IN {scratch_database(spark)}", "EXPLAIN SELECT 1", "SHOW DATABASES"):
+        assert run_statement(spark, asked).count() > 0
     run_statement(spark, f"DROP TABLE {target}")
     assert not spark.catalog.tableExists(target)
 

@@ -3,9 +3,11 @@ import threading
 import pytest
 from pyspark.sql import Window, functions as F, types as T
 
-from tablemill.operators import batches
+from tablemill.operators import batches, skew
 from tablemill.operators.batches import batch_totals, sql_per_batch, sql_per_range, top_per_batch
 from tablemill.operators.combine import conform, fan_in, join_on
+from tablemill.operators.numbering import group_sizes
+from tablemill.operators.skew import frequent_keys, look_up
 from tablemill.operators.transform import passthrough, sql_transform
 
 
@@ -72,20 +74,53 @@ def tagged(spark, n=1000):
     return spark.range(n).selectExpr("if(id % 3 = 0, 0, id % 50) AS batch_key", "id", "cast(id AS decimal(9,0)) AS x")
 
 
-@pytest.mark.parametrize("way", ["broadcast", "window", "join"])
+@pytest.mark.parametrize("way", ["broadcast", "window", "split"])
 def test_batch_totals(spark, monkeypatch, way):
     df = tagged(spark).withColumn("batch_key", F.when(F.col("batch_key") != 7, F.col("batch_key")))
     if way != "broadcast":
-        monkeypatch.setattr(batches, "BROADCAST_GROUPS", 0)
+        monkeypatch.setattr(batches, "BROADCAST_BYTES", 0)
     totals = {"n": F.count(F.lit(1)), "sum_x": F.sum("x")}
-    found = batch_totals(df, "batch_key", totals, rows_per_task=10 if way == "join" else 10**6)
+    found = batch_totals(df, "batch_key", totals, rows_per_task=100 if way == "split" else 10**6)
     window = Window.partitionBy("batch_key")
     plain = df.select("*", F.count(F.lit(1)).over(window).alias("n"), F.sum("x").over(window).alias("sum_x"))
     assert found.columns == plain.columns
     assert found.exceptAll(plain).count() == 0 and found.count() == 1000
     plan = plan_of(found)
-    assert ("Window" in plan) == (way == "window")
-    assert ("BroadcastHashJoin" in plan) == (way == "broadcast") or way == "join"
+    assert ("Window" in plan) == (way != "broadcast")
+    assert ("BroadcastHashJoin" in plan) == (way != "window")
+    assert "SortMergeJoin" not in plan
+
+
+def test_totals_of_any_length(spark):
+    found = batch_totals(tagged(spark), "batch_key", {"ids": F.collect_list("id")}, rows_per_task=10)
+    assert {len(r.ids) for r in found.where("batch_key = 0").collect()} == {found.where("batch_key = 0").count()}
+
+
+@pytest.mark.parametrize("rows_per_task", [10, 10**6])
+def test_look_up(spark, rows_per_task):
+    df = tagged(spark).withColumn("batch_key", F.when(F.col("batch_key") != 7, F.col("batch_key")))
+    lookup = df.groupBy("batch_key").agg(F.max("id").alias("top")).where("batch_key IS NULL OR batch_key < 40")
+    found = look_up(df, lookup, ["batch_key"], rows_per_task=rows_per_task)
+    plain = df.join(lookup.withColumnRenamed("batch_key", "k"), F.col("k").eqNullSafe(F.col("batch_key")), "left").drop("k")
+    assert found.columns == plain.columns and found.exceptAll(plain).count() == 0 and found.count() == 1000
+    assert ("Union" in plan_of(found)) == (rows_per_task == 10)
+
+
+def test_frequent_keys_are_bounded_by_size(spark, monkeypatch):
+    df = spark.range(10_000).selectExpr("if(id % 2 = 0, 0, id % 1000) AS k")
+    sizes = group_sizes(df, "k")
+    assert frequent_keys(df, ["k"], sizes, 32, rows_per_task=5).count() == 500 + 1
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 32 * 100)
+    # more than 100 rows each: fewer than 100 keys, whatever the data
+    assert frequent_keys(df, ["k"], sizes, 32, rows_per_task=5).count() == 1
+
+
+def test_long_keys_count_towards_the_broadcast_size(spark, monkeypatch):
+    df = spark.range(100).select(F.concat(F.repeat(F.lit("k"), 1000), (F.col("id") % 4).cast("string")).alias("g"), "id")
+    monkeypatch.setattr(batches, "BROADCAST_BYTES", 4 * (1001 + 16))
+    assert "BroadcastHashJoin" in plan_of(batch_totals(df, "g", {"n": F.count("*")}))
+    monkeypatch.setattr(batches, "BROADCAST_BYTES", 4 * (1001 + 16) - 1)
+    assert "Window" in plan_of(batch_totals(df, "g", {"n": F.count("*")}))
 
 
 def test_wide_totals_are_not_broadcast_by_hint(spark):
@@ -116,6 +151,8 @@ def test_sql_per_batch(spark):
     df = spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "batch_key long, v long")
     found = sql_per_batch(df, "SELECT row_number() OVER (ORDER BY v) AS rn, v FROM input_df")
     assert sorted((r.rn, r.v, r.batch_key or 0) for r in found.collect()) == [(1, 5, 1), (1, 7, 0), (2, 6, 1)]
+    plan = plan_of(found)
+    assert "PartitionFilters: [(batch_key" in plan
     empty = sql_per_batch(df.where("false"), "SELECT v FROM input_df")
     assert empty.columns == ["v", "batch_key"] and empty.count() == 0
 
