@@ -18,9 +18,11 @@ from tablemill.operators.staging import store
 
 # Rows one task sorts with ease.
 ROWS_PER_TASK = 1_000_000
-# Split points are literals of the plan and ride along with every task, so their number is
-# bounded; a larger table gets larger ranges, whose sorts spill.
+# Split points are literals of the plan and ride along with every task, so their number and
+# size are bounded; a larger table, or one with very long keys, gets larger ranges, whose
+# sorts spill.
 MAX_RANGES = 10_000
+POINT_BYTES = 4 * 1024 * 1024
 SAMPLES_PER_RANGE = 50
 SHORT_BYTES = 16
 
@@ -115,8 +117,8 @@ def number_rows(
         return df.select("*", *_running(window, into, running))
 
     total = df.count() if total is None else total
-    n_ranges = min(MAX_RANGES, math.ceil(total / rows_per_task))
     keyed, keys = df, [*within, *order_by]
+    n_ranges = min(math.ceil(total / rows_per_task), _most_ranges(df, keys))
     points, repeated = _sampled_points(keyed, keys, n_ranges, total)
     if repeated and ties:
         # One key fills whole ranges, so the tie-break joins the split points.  Any order among
@@ -140,14 +142,14 @@ def number_rows(
     group = [F.col("_range"), *columns(within)]
     order = _ascending(list(dict.fromkeys([*keys[len(within):], *ties])))
     # as many partitions as ranges, whatever the session's default
-    local = ranged.repartition(n_ranges, *group).select(
+    local = ranged.repartition(len(points) + 1, *group).select(
         "*", *_running(Window.partitionBy(*group).orderBy(*order), "_local", {f"_local_{n}": c for n, c in running.items()})
     )
     offsets = _offsets(ranged, within, running, points, kind)
     match = F.col("_range") == F.col("_offset_range")
     for number, name in enumerate(within):
         match &= column_named(name).eqNullSafe(F.col(f"_group_{number}"))
-    # offsets has at most two rows per range, whatever the size of the table
+    # offsets has at most two rows per range, so it is bounded as the split points are
     placed = local.join(F.broadcast(offsets), match, "left")
     row_no = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
     kinds = {f.name: f.dataType for f in local.schema.fields}
@@ -169,6 +171,15 @@ def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[C
     return [row_no, *[F.sum(value).over(so_far).alias(name) for name, value in running.items()]]
 
 
+def _most_ranges(df: DataFrame, keys: list[str]) -> int:
+    """As many ranges as keep the split points, of the longest key, within bounds."""
+    kinds = {name: df.select(column_named(name)).schema[0].dataType for name in keys}
+    long = [_width(kind, column_named(name)) for name, kind in kinds.items() if not is_short(kind)]
+    longest = df.agg(*[F.max(width) for width in long]).first() if long else ()
+    bytes_each = SHORT_BYTES * (len(keys) - len(long) + 1) + sum(width or 0 for width in longest)
+    return max(2, min(MAX_RANGES, POINT_BYTES // bytes_each))
+
+
 def _sampled_points(keyed: DataFrame, keys: list[str], n_ranges: int, total: int) -> tuple[list, bool]:
     """Up to ``n_ranges - 1`` split points, and whether a point occurs twice.
 

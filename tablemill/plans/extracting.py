@@ -23,7 +23,7 @@ SELECT batch_key, coalesce(n, 0)::BIGINT AS n_rows FROM grid LEFT JOIN counts US
 """
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'", name="extract_sql")
 def extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"orders_{uuid.uuid4().hex}"
     table(spark, sf_dir, "orders").createOrReplaceTempView(view)
@@ -50,7 +50,7 @@ def extract_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.select("vec_id", "label", F.size("embedding").alias("width"))
 
 
-@query("SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders")
+@query("SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders", name="pk_bounds")
 def key_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pk_bounds(table(spark, sf_dir, "orders"), "o_orderkey")
 

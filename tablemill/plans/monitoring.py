@@ -53,7 +53,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_transform(_RUN_EVENTS + " input_df", table(spark, sf_dir, "events"))
 
 
-@query(_CLASSES + "SELECT run_id, failure_class FROM classes")
+@query(_CLASSES + "SELECT run_id, failure_class FROM classes", name="classify_runs")
 def classify_failed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_runs(run_events(spark, sf_dir))
 
@@ -64,7 +64,7 @@ SELECT run_id, failure_class, attempt, attempt < 4 AS retry,
        CASE WHEN attempt < 4 THEN least(90 * pow(3.0, attempt), 1800)::DOUBLE END AS delay_seconds,
        CASE WHEN attempt < 4 THEN CASE WHEN failure_class = 'oom' THEN 2.0 ELSE 1.0 END::DOUBLE END AS memory_factor
 FROM classes
-""")
+""", name="retry_plan")
 def plan_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = classify_runs(run_events(spark, sf_dir), attempt=F.max("attempt"))
     return retry_plan(runs, max_attempts=4, base_delay="1.5m", factor=3.0, max_delay="30 m")
@@ -90,7 +90,7 @@ latest AS (
 """
 
 
-@query(_LATEST + "SELECT * FROM latest")
+@query(_LATEST + "SELECT * FROM latest", name="latest_per_table")
 def latest_build_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_table(run_events(spark, sf_dir), "materialized")
 
@@ -114,7 +114,7 @@ newest AS (
 )
 SELECT table_name, ts, newest_upstream_ts FROM newest LEFT JOIN latest USING (table_name)
 WHERE ts IS NULL OR newest_upstream_ts > ts
-""")
+""", name="stale_tables")
 def stale_downstream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table per user that depends on another user's, and never-built reports per event type."""
     events = table(spark, sf_dir, "events").selectExpr(
@@ -131,6 +131,6 @@ def stale_downstream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'orders' AS dataset, count(*) AS n_rows, count(*) >= 1000 AS passed FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(*) >= 1000 FROM lineitem
 UNION ALL SELECT 'region', count(*), count(*) >= 1000 FROM region
-""")
+""", name="min_rows_check")
 def min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return min_rows_check({name: table(spark, sf_dir, name) for name in ("orders", "lineitem", "region")}, 1000)

@@ -14,15 +14,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under a name, its own unless given."""
     def register(function: Query) -> Query:
-        name = function.__name__
-        if name in QUERIES:
-            raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = function
+        known_as = name or function.__name__
+        if known_as in QUERIES:
+            raise ValueError(f"query {known_as} is registered twice")
+        QUERIES[known_as] = function
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[known_as] = oracle
         return function
 
     return register

@@ -173,7 +173,7 @@ WITH placed AS (
   SELECT o_orderkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS batch_no FROM orders
 )
 SELECT o_orderkey, o_orderstatus, batch_no, min(o_orderkey) OVER (PARTITION BY batch_no) AS batch_key FROM placed
-""")
+""", name="split_by_position")
 def split_by_row_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return split_by_position(rows, "o_orderkey", 100, rows_per_task=rows_per_task(rows))

@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
+from tablemill.operators import numbering
 from tablemill.operators.numbering import group_sizes, number_rows
 from tablemill.operators.splitting import split_by_position, split_within
 
@@ -109,6 +110,14 @@ def test_running_sums(spark, rows_per_task):
     assert found.exceptAll(plain).count() == 0 and found.count() == 3000
 
 
+def test_long_keys_make_fewer_ranges(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "POINT_BYTES", 20_000)
+    df = spark.range(1000).select(F.concat(F.repeat(F.lit("k"), 4000), F.format_string("%04d", F.col("id"))).alias("k"))
+    assert numbering._most_ranges(df, ["k"]) == 4
+    found = number_rows(df, "k", rows_per_task=10)
+    assert found.where("row_no <> cast(right(k, 4) as int) + 1").count() == 0 and found.count() == 1000
+
+
 def test_odd_column_names_and_map_columns(spark):
     df = spark.range(500).select((F.col("id") % 9).alias("a.b"), F.create_map(F.lit("k"), F.col("id")).alias("m"), "id")
     found = numbered(df, "a.b", rows_per_task=40)
