@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tablemill.functions.ranges import range_number, sort_key, split_points
+from tablemill.functions.ranges import point_array, point_text, searched_range, sort_key, with_number_range
 from tablemill.functions.values import column_named
 from tablemill.operators.staging import store
 
@@ -102,7 +102,8 @@ def number_rows(
     bound the caller knows, else the groups are counted first.  Otherwise the rows are cut
     at sampled split points into ranges of about that size, numbered range by range, and
     shifted by what precedes their range.  One huge group, or one huge key, thus spreads
-    over many tasks.  Full rows are shuffled once either way.
+    over many tasks.  Full rows are shuffled once either way.  Arrays and structs as keys
+    always take the plain window.
     """
     order_by, within, running = names(order_by), names(within), dict(running or {})
     used = {*order_by, *within}
@@ -112,12 +113,12 @@ def number_rows(
     if largest is None:
         sizes = group_sizes(df, within)
         largest, total = sizes.largest, sizes.total
-    if largest <= rows_per_task:
+    keyed, keys = df, [*within, *order_by]
+    if largest <= rows_per_task or not all(_splittable(kind) for kind in _kinds(df, keys)):
         window = Window.partitionBy(*columns(within)).orderBy(*_ascending([*order_by, *ties]))
         return df.select("*", *_running(window, into, running))
 
     total = df.count() if total is None else total
-    keyed, keys = df, [*within, *order_by]
     n_ranges = min(math.ceil(total / rows_per_task), _most_ranges(df, keys))
     points, repeated = _sampled_points(keyed, keys, n_ranges, total)
     if repeated and ties:
@@ -137,29 +138,35 @@ def number_rows(
             rows_per_task=rows_per_task,
         ).drop("_copy")
 
-    kind = keyed.select(sort_key(keys).alias("key")).schema["key"].dataType
-    ranged = keyed.withColumn("_range", range_number(split_points(points, kind), len(points), sort_key(keys)))
+    kinds = _kinds(keyed, keys)
+    arrays = [point_array([point[at] for point in points], kind) for at, kind in enumerate(kinds)]
+    if not points:
+        ranged = keyed.withColumn("_range", F.lit(0))
+    elif len(keys) == 1 and isinstance(kinds[0], T.NumericType):
+        ranged = with_number_range(keyed, keys[0], [point[0] for point in points], "_range")
+    else:
+        ranged = keyed.withColumn("_range", searched_range(arrays, len(points), keys, kinds))
     group = [F.col("_range"), *columns(within)]
     order = _ascending(list(dict.fromkeys([*keys[len(within):], *ties])))
     # as many partitions as ranges, whatever the session's default
     local = ranged.repartition(len(points) + 1, *group).select(
         "*", *_running(Window.partitionBy(*group).orderBy(*order), "_local", {f"_local_{n}": c for n, c in running.items()})
     )
-    offsets = _offsets(ranged, within, running, points, kind)
+    offsets = _offsets(ranged, within, running, arrays)
     match = F.col("_range") == F.col("_offset_range")
     for number, name in enumerate(within):
         match &= column_named(name).eqNullSafe(F.col(f"_group_{number}"))
     # offsets has at most two rows per range, so it is bounded as the split points are
     placed = local.join(F.broadcast(offsets), match, "left")
     row_no = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
-    kinds = {f.name: f.dataType for f in local.schema.fields}
+    stored = {f.name: f.dataType for f in local.schema.fields}
     sums = [
         # NULL until the first value, as a running sum is
         F.coalesce(
             column_named(f"_local_{name}") + column_named(f"_before_{name}"),
             column_named(f"_local_{name}"),
             column_named(f"_before_{name}"),
-        ).cast(kinds[f"_local_{name}"]).alias(name)
+        ).cast(stored[f"_local_{name}"]).alias(name)
         for name in running
     ]
     return placed.select(*columns(df.columns), row_no.alias(into), *sums)
@@ -171,17 +178,26 @@ def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[C
     return [row_no, *[F.sum(value).over(so_far).alias(name) for name, value in running.items()]]
 
 
+def _kinds(df: DataFrame, keys: list[str]) -> list[T.DataType]:
+    return [df.select(column_named(name)).schema[0].dataType for name in keys]
+
+
+def _splittable(kind: T.DataType) -> bool:
+    return is_short(kind) or isinstance(kind, (T.StringType, T.BinaryType))
+
+
 def _most_ranges(df: DataFrame, keys: list[str]) -> int:
     """As many ranges as keep the split points, of the longest key, within bounds."""
-    kinds = {name: df.select(column_named(name)).schema[0].dataType for name in keys}
-    long = [_width(kind, column_named(name)) for name, kind in kinds.items() if not is_short(kind)]
+    long = [_width(kind, column_named(name)) for name, kind in zip(keys, _kinds(df, keys)) if not is_short(kind)]
     longest = df.agg(*[F.max(width) for width in long]).first() if long else ()
     bytes_each = SHORT_BYTES * (len(keys) - len(long) + 1) + sum(width or 0 for width in longest)
     return max(2, min(MAX_RANGES, POINT_BYTES // bytes_each))
 
 
-def _sampled_points(keyed: DataFrame, keys: list[str], n_ranges: int, total: int) -> tuple[list, bool]:
-    """Up to ``n_ranges - 1`` split points, and whether a point occurs twice.
+def _sampled_points(
+    keyed: DataFrame, keys: list[str], n_ranges: int, total: int
+) -> tuple[list[tuple[str | None, ...]], bool]:
+    """Up to ``n_ranges - 1`` split points in ascending order, as text, and whether one occurs twice.
 
     The sample only steers where ranges begin; every row is numbered whatever it holds.
     Its size follows from the number of ranges, not from the table.
@@ -191,12 +207,13 @@ def _sampled_points(keyed: DataFrame, keys: list[str], n_ranges: int, total: int
     tiles = sample.select("key", F.ntile(n_ranges).over(Window.orderBy("key")).alias("tile"))
     starts = tiles.groupBy("tile").agg(F.min("key").alias("key")).where("tile > 1")
     again = F.col("key").eqNullSafe(F.lag("key").over(Window.orderBy("tile")))
-    rows = starts.select("tile", "key", again.alias("again")).orderBy("tile").collect()
-    return [row["key"] for row in rows], any(row["again"] for row in rows)
+    texts = [point_text(F.col(f"key.value_{at}"), kind).alias(f"_{at}") for at, kind in enumerate(_kinds(keyed, keys))]
+    rows = starts.select("tile", again.alias("again"), *texts).orderBy("tile").collect()
+    return [tuple(row[2:]) for row in rows], any(row["again"] for row in rows)
 
 
 def _offsets(
-    ranged: DataFrame, within: list[str], running: Mapping[str, Column], points: list, kind: T.StructType
+    ranged: DataFrame, within: list[str], running: Mapping[str, Column], arrays: list[Column]
 ) -> DataFrame:
     """Rows and sums that precede each range, within the group that runs across its start.
 
@@ -208,15 +225,18 @@ def _offsets(
     values = [value.alias(f"_before_{name}") for name, value in running.items()]
     rows = ranged.select(F.col("_range").alias("_offset_range"), *groups, *values)
     if within:
+        crossings = [f"_crossing_{number}" for number in range(len(within))]
         crossing = (
             ranged.sparkSession.range(1)
-            .select(F.explode(split_points(points, kind)).alias("key"))
-            .select(*[F.col(f"key.value_{number}").alias(f"_crossing_{number}") for number in range(len(within))])
+            .select(*[array.alias(name) for array, name in zip(arrays, crossings)])
+            .select(F.explode(F.arrays_zip(*crossings)).alias("point"))
+            .select("point.*")
             .distinct()
         )
         match = F.lit(True)
-        for number, label in enumerate(labels):
-            match &= F.col(label).eqNullSafe(F.col(f"_crossing_{number}"))
+        for name, label, crossed in zip(within, labels, crossings):
+            value = F.hex(label) if isinstance(ranged.schema[name].dataType, T.BinaryType) else F.col(label)
+            match &= value.eqNullSafe(F.col(crossed))
         # crossing has at most one row per split point
         rows = rows.join(F.broadcast(crossing), match, "left_semi")
     sums = [F.sum(column_named(f"_before_{name}")).alias(f"_before_{name}") for name in running]

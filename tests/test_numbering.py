@@ -34,7 +34,7 @@ def test_nulls_last_and_negative_keys(spark, rows_per_task):
     check_whole(numbered(df, "k", rows_per_task=rows_per_task), ["k"], 1000)
 
 
-@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz", "decimal(20,3)", "double", "binary"])
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz", "decimal(20,3)", "double", "binary", "float"])
 def test_ranges_over_other_key_types(spark, kind):
     value = {
         "string": "format_string('k%05d', id * 7919 % 2000)",
@@ -43,6 +43,7 @@ def test_ranges_over_other_key_types(spark, kind):
         "timestamp_ntz": "timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, 0, id * 7919 % 2000 * 0.000001)",
         "decimal(20,3)": "cast(id * 7919 % 2000 as decimal(20,3)) / 8",
         "double": "cast(id * 7919 % 2000 as double) / 8",
+        "float": "cast(id * 7919 % 2000 as float) / 8",
         "binary": "cast(format_string('k%05d', id * 7919 % 2000) as binary)",
     }[kind]
     df = spark.range(2000).selectExpr(f"cast({value} as {kind}) as k")
@@ -75,17 +76,42 @@ def test_copies_equal_in_every_column(spark):
 def test_ranges_stay_small_whatever_the_skew(spark):
     """No task numbers more than a few times ``rows_per_task`` rows."""
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
-    number_rows(df, "k", rows_per_task=500)  # warm: same split points below
-    from tablemill.functions.ranges import range_number, sort_key, split_points
-    from tablemill.operators.numbering import _sampled_points
+    from tablemill.functions.ranges import point_array, searched_range
+    from tablemill.operators.numbering import _kinds, _sampled_points
 
     keyed = df.withColumn("_tie", F.xxhash64("id"))
     keys = ["k", "_tie"]
     points, repeated = _sampled_points(keyed, keys, 40, 20_000)
     assert not repeated and len(points) == 39
-    kind = keyed.select(sort_key(keys).alias("key")).schema["key"].dataType
-    ranged = keyed.groupBy(range_number(split_points(points, kind), 39, sort_key(keys)).alias("r")).count()
-    assert ranged.agg(F.max("count")).first()[0] < 1500
+    kinds = _kinds(keyed, keys)
+    arrays = [point_array([point[at] for point in points], kind) for at, kind in enumerate(kinds)]
+    ranged = keyed.groupBy(searched_range(arrays, 39, keys, kinds).alias("r")).count()
+    assert ranged.count() == 40 and ranged.agg(F.max("count")).first()[0] < 1500
+
+
+def test_nested_keys_take_the_plain_window(spark):
+    df = spark.range(100).select(F.struct((F.col("id") % 7).alias("a"), "id").alias("k"))
+    found = number_rows(df, "k", rows_per_task=10)
+    assert [r.row_no for r in found.orderBy("k").collect()] == list(range(1, 101))
+
+
+@pytest.mark.parametrize("kind", ["binary", "timestamp", "boolean"])
+def test_groups_of_other_types(spark, kind):
+    group = {
+        "binary": "unhex(format_string('FF%02X', id % 3))",
+        "timestamp": "timestamp_seconds(1793511000 + id % 3 * 1800)",
+        "boolean": "id % 3 = 0",
+    }[kind]
+    df = spark.range(900).selectExpr(f"if(id % 50 = 0, null, {group}) AS g", "id * 7 % 900 AS k")
+    by_range = number_rows(df, "k", "g", rows_per_task=40)
+    plain = df.withColumn("row_no", F.row_number().over(Window.partitionBy("g").orderBy("k")).cast("bigint"))
+    assert by_range.exceptAll(plain).count() == 0 and by_range.count() == 900
+
+
+def test_keys_that_differ_beyond_double_precision(spark):
+    df = spark.range(2000).selectExpr("9007199254740992 + id * 7919 % 2000 AS k")
+    found = number_rows(df, "k", rows_per_task=100)
+    assert found.where("row_no <> k - 9007199254740992 + 1").count() == 0 and found.count() == 2000
 
 
 def test_groups_large_small_and_null(spark):
