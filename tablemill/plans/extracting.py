@@ -68,14 +68,14 @@ def pk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT lo + ((l_orderkey - lo) // 50) * 50 AS batch_key, count(*) AS n_rows,
-       sum(l_quantity::DECIMAL(18,2))::DOUBLE AS quantity
+       sum(l_quantity) AS quantity
 FROM lineitem, (SELECT min(l_orderkey) AS lo FROM lineitem) GROUP BY 1
 """)
 def pk_batches_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = with_pk_batches(table(spark, sf_dir, "lineitem"), "l_orderkey", 50)
     return tagged.groupBy("batch_key").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"),
+        F.sum("l_quantity").alias("quantity"),
     )
 
 

@@ -27,11 +27,11 @@ JOIN_SEMI = "SELECT * FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_c
 JOIN_ANTI = "SELECT * FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)"
 AGG_DISTINCT = """
 SELECT l_returnflag, l_linestatus, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders,
-       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+       sum(l_quantity) AS quantity, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """
 AGG_ROLLUP = """
-SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+SELECT l_returnflag, l_linestatus, count(*) AS n_rows, sum(l_quantity) AS quantity
 FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)
 """
 AGG_CUBE = "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)"
