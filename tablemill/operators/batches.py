@@ -58,21 +58,23 @@ def batch_totals(
 
 
 def top_per_batch(
-    df: DataFrame, within: str | Sequence[str], order: Sequence[Column], n: int, *, parts: int = 64
+    df: DataFrame, within: str | Sequence[str], order: Sequence[Column], n: int, *, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """The first ``n`` rows of each batch: ``ORDER BY ... LIMIT n`` once per batch.
 
     Spark keeps only n rows per batch and task before the shuffle (group limit), so a
-    large batch does not gather in one place.  It does so up to a limit of n; beyond it
-    each batch is first cut into ``parts`` by hash, and the first n of each part compete.
+    large batch does not gather in one place.  It does so up to a limit of n.  Beyond it
+    each batch is cut into parts by where its rows are read, and the first n of each part
+    compete, as many as fit a task; which part a row is in does not change the outcome.
     """
     within = names(within)
     place = F.row_number()
     if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        part = Window.partitionBy(*columns(within), "_part").orderBy(*order)
+        parts = max(2, rows_per_task // n)
+        window = Window.partitionBy(*columns(within), "_part").orderBy(*order)
         df = (
-            df.withColumn("_part", F.pmod(F.xxhash64(*columns(df.columns)), F.lit(parts)))
-            .withColumn("_place", place.over(part))
+            df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(parts)))
+            .withColumn("_place", place.over(window))
             .where(F.col("_place") <= n)
             .drop("_part", "_place")
         )

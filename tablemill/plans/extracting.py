@@ -36,12 +36,12 @@ def extract_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def extract_from_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"nation_{uuid.uuid4().hex}"
+    name = f"customer_{uuid.uuid4().hex}"
     database = scratch_database(spark)
-    table(spark, sf_dir, "nation").write.format("parquet").saveAsTable(f"{database}.{name}")
-    return extract_sql(spark, f"SELECT n_nationkey, n_name, n_regionkey FROM {name}", namespace=database)
+    table(spark, sf_dir, "customer").write.format("parquet").saveAsTable(f"{database}.{name}")
+    return extract_sql(spark, f"SELECT c_custkey, c_name, c_mktsegment FROM {name}", namespace=database)
 
 
 @query("SELECT vec_id, label, len(embedding)::INTEGER AS width FROM embeddings")

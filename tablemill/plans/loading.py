@@ -24,6 +24,9 @@ from tablemill.session import fresh_path
 from tablemill.sources.files import extract_csv
 from tablemill.streaming.refresh import REFRESH_COLUMN, refresh
 
+# A file of long texts is read by one task.
+LONG_TEXT_ROWS = 50_000
+
 
 def _target(spark: SparkSession, label: str) -> str:
     return f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex}"
@@ -120,36 +123,37 @@ def insert_select_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
-@query("SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@query("SELECT * FROM supplier UNION ALL SELECT * FROM supplier")
 def insert_select_from_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = insert_select(spark, f"SELECT * FROM {_file(sf_dir, 'nation')}", _target(spark, "doubled"))
+    target = insert_select(spark, f"SELECT * FROM {_file(sf_dir, 'supplier')}", _target(spark, "doubled"))
     insert_select(spark, f"SELECT * FROM {target}", target)
     return spark.table(target)
 
 
-@query("SELECT r_regionkey, r_name FROM region WHERE r_name <> 'none'")
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_name <> 'none'")
 def statement_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements without a target: create, truncate, insert, select."""
     target = _target(spark, "direct")
-    run_statement(spark, f"CREATE TABLE {target} (r_regionkey INT, r_name STRING) USING parquet")
+    run_statement(spark, f"CREATE TABLE {target} (s_suppkey BIGINT, s_name STRING) USING parquet")
     run_statement(spark, f"INSERT INTO {target} VALUES (-1, 'none')")
     run_statement(spark, f"TRUNCATE TABLE {target}")
-    run_statement(spark, f"INSERT INTO {target} SELECT r_regionkey, r_name FROM {_file(sf_dir, 'region')}")
-    return run_statement(spark, f"SELECT * FROM {target} WHERE r_name <> :none", {"none": "none"})
+    run_statement(spark, f"INSERT INTO {target} SELECT s_suppkey, s_name FROM {_file(sf_dir, 'supplier')}")
+    return run_statement(spark, f"SELECT * FROM {target} WHERE s_name <> :none", {"none": "none"})
 
 
 @query("SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long texts with quotes, commas and line breaks."""
     documents = table(spark, sf_dir, "documents")
-    path = export_csv(documents, fresh_path(spark, "documents-csv"))
+    path = export_csv(documents, fresh_path(spark, "documents-csv"), rows_per_file=LONG_TEXT_ROWS)
     return extract_csv(spark, path, documents.schema)
 
 
 @query("SELECT page_id, nullif(url, '') AS url, nullif(html, '') AS html FROM pages")
 def csv_round_trip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return extract_csv(spark, export_csv(pages, fresh_path(spark, "pages-csv")), pages.schema)
+    path = export_csv(pages, fresh_path(spark, "pages-csv"), rows_per_file=LONG_TEXT_ROWS)
+    return extract_csv(spark, path, pages.schema)
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")

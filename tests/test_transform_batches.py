@@ -136,8 +136,7 @@ def test_top_per_batch(spark, n):
     window = Window.partitionBy("batch_key").orderBy(F.desc("v"), F.asc("id"))
     plain = df.withColumn("p", F.row_number().over(window)).where(f"p <= {n}").drop("p")
     assert found.exceptAll(plain).count() == 0 and found.count() == plain.count()
-    if n == 3:
-        assert "WindowGroupLimit" in plan_of(found)
+    assert ("WindowGroupLimit" in plan_of(found)) == (n == 3)
 
 
 def test_sql_per_range_runs_on_empty_ranges_too(spark):
