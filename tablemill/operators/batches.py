@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tablemill.functions.ranges import point_array, point_text
 from tablemill.functions.values import column_named
 from tablemill.operators.combine import fan_in, join_on
 from tablemill.operators.numbering import ROWS_PER_TASK, columns, group_sizes, names
@@ -82,11 +83,11 @@ def top_per_batch(
     return df.withColumn("_place", place.over(window)).where(F.col("_place") <= n).drop("_place")
 
 
-def _one_plan_each(parts: Sequence[tuple[object, DataFrame]], df: DataFrame, kind: T.DataType, query: str,
+def _one_plan_each(parts: Sequence[tuple[Column, DataFrame]], df: DataFrame, kind: T.DataType, query: str,
                    batch_key: str) -> DataFrame:
     if not parts:
         return sql_transform(query, df).withColumn(batch_key, F.lit(None).cast(kind)).where(F.lit(False))
-    return fan_in([sql_transform(query, rows).withColumn(batch_key, F.lit(key).cast(kind)) for key, rows in parts])
+    return fan_in([sql_transform(query, rows).withColumn(batch_key, key) for key, rows in parts])
 
 
 def _refuse(max_batches: int) -> None:
@@ -111,9 +112,10 @@ def sql_per_range(df: DataFrame, query: str, pk: str, batch_size: int, max_batch
     n_ranges = 0 if lo is None else int((hi - lo) // batch_size) + 1
     if n_ranges > max_batches:
         _refuse(max_batches)
+    kind = bounds.schema["lo"].dataType
     starts = [lo + number * batch_size for number in range(n_ranges)]
-    parts = [(start, read_batch(df, pk, start, batch_size)) for start in starts]
-    return _one_plan_each(parts, df, bounds.schema["lo"].dataType, query, BATCH_KEY)
+    parts = [(F.lit(start).cast(kind), read_batch(df, pk, start, batch_size)) for start in starts]
+    return _one_plan_each(parts, df, kind, query, BATCH_KEY)
 
 
 def sql_per_batch(df: DataFrame, query: str, batch_key: str = BATCH_KEY, max_batches: int = 200) -> DataFrame:
@@ -122,14 +124,13 @@ def sql_per_batch(df: DataFrame, query: str, batch_key: str = BATCH_KEY, max_bat
     The frame is stored once, partitioned by batch key, and each run reads its partition.
     The stored table lasts until :func:`tablemill.operators.staging.drop_scratch`.
     """
-    tag = column_named(batch_key)
-    keys = [row[0] for row in df.select(tag).distinct().limit(max_batches + 1).collect()]
-    if len(keys) > max_batches:
+    tag, kind = column_named(batch_key), df.schema[batch_key].dataType
+    texts = [row[0] for row in df.select(point_text(tag, kind)).distinct().limit(max_batches + 1).collect()]
+    if len(texts) > max_batches:
         _refuse(max_batches)
-    kind = df.schema[batch_key].dataType
-    if keys:
+    parts = []
+    if texts:
         stored = df.sparkSession.table(store(df, "batches", partition_by=batch_key)).select(*columns(df.columns))
-        parts = [(key, stored.where(tag.eqNullSafe(F.lit(key).cast(kind)))) for key in keys]
-    else:
-        parts = []
+        keys = [point_array([text], kind)[0] for text in texts]
+        parts = [(key, stored.where(tag.eqNullSafe(key))) for key in keys]
     return _one_plan_each(parts, df, kind, query, batch_key)

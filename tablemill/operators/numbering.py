@@ -109,17 +109,18 @@ def number_rows(
     used = {*order_by, *within}
     others = [f.name for f in df.schema.fields if f.name not in used and _comparable(f.dataType)]
     ties = others if tie_break is None else names(tie_break)
-    total = None
-    if largest is None:
+    sizes = None
+    if largest is None or largest > rows_per_task:
         sizes = group_sizes(df, within)
-        largest, total = sizes.largest, sizes.total
+        largest = sizes.largest
     keyed, keys = df, [*within, *order_by]
     if largest <= rows_per_task or not all(_splittable(kind) for kind in _kinds(df, keys)):
         window = Window.partitionBy(*columns(within)).orderBy(*_ascending([*order_by, *ties]))
         return df.select("*", *_running(window, into, running))
 
-    total = df.count() if total is None else total
-    n_ranges = min(math.ceil(total / rows_per_task), _most_ranges(df, keys))
+    total = sizes.total
+    by = [*order_by, *([] if tie_break is None else ties)]
+    n_ranges = min(math.ceil(total / rows_per_task), _most_ranges(df, by, sizes.key_bytes))
     points, repeated = _sampled_points(keyed, keys, n_ranges, total)
     if repeated and ties:
         # One key fills whole ranges, so the tie-break joins the split points.  Any order among
@@ -186,11 +187,11 @@ def _splittable(kind: T.DataType) -> bool:
     return is_short(kind) or isinstance(kind, (T.StringType, T.BinaryType))
 
 
-def _most_ranges(df: DataFrame, keys: list[str]) -> int:
+def _most_ranges(df: DataFrame, order_by: list[str], group_bytes: int) -> int:
     """As many ranges as keep the split points, of the longest key, within bounds."""
-    long = [_width(kind, column_named(name)) for name, kind in zip(keys, _kinds(df, keys)) if not is_short(kind)]
+    long = [_width(kind, column_named(name)) for name, kind in zip(order_by, _kinds(df, order_by)) if not is_short(kind)]
     longest = df.agg(*[F.max(width) for width in long]).first() if long else ()
-    bytes_each = SHORT_BYTES * (len(keys) - len(long) + 1) + sum(width or 0 for width in longest)
+    bytes_each = group_bytes + SHORT_BYTES * (len(order_by) - len(long) + 1) + sum(width or 0 for width in longest)
     return max(2, min(MAX_RANGES, POINT_BYTES // bytes_each))
 
 

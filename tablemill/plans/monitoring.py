@@ -98,8 +98,7 @@ def latest_build_per_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_LATEST + "SELECT * FROM latest WHERE ts > (SELECT min(ts) FROM latest)")
 def builds_newer_than(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_per_table(run_events(spark, sf_dir), "materialized")
-    oldest = latest.agg(F.min("ts").alias("ts")).first()["ts"]
-    return newer_than(latest, F.lit(oldest).cast("timestamp_ntz"))
+    return newer_than(latest, latest.agg(F.min("ts")).scalar())
 
 
 @query("""

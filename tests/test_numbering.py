@@ -139,7 +139,7 @@ def test_running_sums(spark, rows_per_task):
 def test_long_keys_make_fewer_ranges(spark, monkeypatch):
     monkeypatch.setattr(numbering, "POINT_BYTES", 20_000)
     df = spark.range(1000).select(F.concat(F.repeat(F.lit("k"), 4000), F.format_string("%04d", F.col("id"))).alias("k"))
-    assert numbering._most_ranges(df, ["k"]) == 4
+    assert numbering._most_ranges(df, ["k"], 0) == 4
     found = number_rows(df, "k", rows_per_task=10)
     assert found.where("row_no <> cast(right(k, 4) as int) + 1").count() == 0 and found.count() == 1000
 

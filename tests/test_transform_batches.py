@@ -156,6 +156,16 @@ def test_sql_per_batch(spark):
     assert empty.columns == ["v", "batch_key"] and empty.count() == 0
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_batch_keys_of_other_types(spark, kind):
+    days = {"timestamp": "timestamp_seconds(id % 3 * 5000)", "timestamp_ntz": "timestamp_ntz'2026-03-08 02:30:00.000001' + make_dt_interval(id % 3)",
+            "date": "date_add(date'2026-01-01', cast(id % 3 as int))", "string": "concat('k ', id % 3, '/=')"}
+    df = spark.range(90).selectExpr(f"{days[kind]} AS batch_key", "id")
+    found = sql_per_batch(df, "SELECT count(*) AS n FROM input_df")
+    plain = df.groupBy("batch_key").agg(F.count("*").alias("n")).select("n", "batch_key")
+    assert found.dtypes[1][1] == kind and found.exceptAll(plain).count() == 0 and found.count() == 3
+
+
 def test_too_many_batches_are_refused(spark):
     with pytest.raises(ValueError, match="more than 3"):
         sql_per_batch(tagged(spark), "SELECT * FROM input_df", max_batches=3)
