@@ -90,6 +90,7 @@ def number_rows(
     tie_break: str | Sequence[str] | None = None,
     largest: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    range_into: str | None = None,
 ) -> DataFrame:
     """``row_number()`` by ``order_by`` ascending, NULLs last, within groups if given.
 
@@ -103,7 +104,8 @@ def number_rows(
     at sampled split points into ranges of about that size, numbered range by range, and
     shifted by what precedes their range.  One huge group, or one huge key, thus spreads
     over many tasks.  Full rows are shuffled once either way.  Arrays and structs as keys
-    always take the plain window.
+    always take the plain window.  ``range_into`` names a column to keep the number of a
+    row's range in, if ranges are made; the result is partitioned by it.
     """
     order_by, within, running = names(order_by), names(within), dict(running or {})
     used = {*order_by, *within}
@@ -136,7 +138,7 @@ def number_rows(
         copies = df.sparkSession.table(store(df.withColumn("_copy", F.monotonically_increasing_id()), "copies"))
         return number_rows(
             copies, order_by, within, into=into, running=running, tie_break="_copy", largest=largest,
-            rows_per_task=rows_per_task,
+            rows_per_task=rows_per_task, range_into=range_into,
         ).drop("_copy")
 
     kinds = _kinds(keyed, keys)
@@ -170,7 +172,8 @@ def number_rows(
         ).cast(stored[f"_local_{name}"]).alias(name)
         for name in running
     ]
-    return placed.select(*columns(df.columns), row_no.alias(into), *sums)
+    kept = [F.col("_range").alias(range_into)] if range_into else []
+    return placed.select(*columns(df.columns), row_no.alias(into), *sums, *kept)
 
 
 def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[Column]:

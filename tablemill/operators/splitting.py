@@ -20,11 +20,15 @@ def _cut(
         raise ValueError("batch_size must be at least 1")
     if not pk:
         raise ValueError("pk is needed to order the rows")
-    placed = number_rows(df, pk, within, into="_position", rows_per_task=rows_per_task, tie_break=tie_break)
+    placed = number_rows(
+        df, pk, within, into="_position", rows_per_task=rows_per_task, tie_break=tie_break,
+        range_into=None if within else "_in_range",
+    )
     run = placed.withColumn(number, F.expr(f"(_position - 1) div {int(batch_size)}"))
     group = [*within, number]
     if batch_size <= rows_per_task:
-        # the result arrives partitioned by run, which work per run then need not shuffle for
+        if "_in_range" in run.columns:
+            return _first_keys_by_range(run, pk, int(batch_size), number, key)
         first = F.min(column_named(pk)).over(Window.partitionBy(*columns(group)))
         return run.drop("_position").withColumn(key, first)
     # Runs too long for one task: number once, then look up the first row of each run.
@@ -34,6 +38,25 @@ def _cut(
     return look_up(stored.drop("_position"), firsts, group, rows_per_task=rows_per_task)
 
 
+def _first_keys_by_range(run: DataFrame, pk: str, batch_size: int, number: str, key: str) -> DataFrame:
+    """First keys of runs without shuffling the rows again.
+
+    A run mostly lies within one range of the numbering, by which the rows are partitioned
+    already.  A run that goes on in a later range is the last to begin in its own, so the
+    last beginnings of all ranges, one small row each, hold the first keys of such runs.
+    """
+    beginnings = run.where((F.col("_position") - 1) % batch_size == 0)
+    last = beginnings.groupBy("_in_range").agg(F.max(F.struct(number, column_named(pk).alias("key"))).alias("last"))
+    carried = F.broadcast(last.select(F.col(f"last.{number}").alias("_carried"), F.col("last.key").alias("_carried_key")))
+    here = Window.partitionBy("_in_range", number)
+    begins_here = F.min("_position").over(here) == F.col(number) * batch_size + 1
+    local = run.select("*", F.min(column_named(pk)).over(here).alias("_first"), begins_here.alias("_begins_here"))
+    joined = local.join(carried, F.col(number) == F.col("_carried"), "left")
+    first = F.when(F.col("_begins_here"), F.col("_first")).otherwise(F.col("_carried_key"))
+    kept = [name for name in run.columns if name not in ("_position", "_in_range")]
+    return joined.select(*columns(kept), first.alias(key))
+
+
 def split_by_position(
     df: DataFrame,
     pk: str,

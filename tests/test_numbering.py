@@ -196,13 +196,23 @@ def test_long_runs_within_groups(spark, key):
     assert sum(r["count"] for r in counts) == 3000 and all(r["count"] == 5 for r in counts if r.g is not None)
 
 
-def test_work_per_batch_after_a_split_shuffles_no_more(spark):
-    def exchanges(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-
-    runs = split_by_position(spark.range(1000).selectExpr("id", "id % 7 AS v"), "id", 100, rows_per_task=200)
-    numbered_again = number_rows(runs, "v", "batch_no", largest=100)
-    assert exchanges(numbered_again) == exchanges(runs)
+def test_a_split_shuffles_full_rows_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id", "cast(id as string) AS wide").write.parquet(path)
+    runs = split_by_position(spark.read.parquet(path), "id", 300, rows_per_task=400)
+    assert runs.groupBy("batch_no", "batch_key").count().where("batch_key <> batch_no * 300").count() == 0
+    assert runs.count() == 5000
+    runs.collect()
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    wide = [line for line in final.splitlines() if "Exchange" in line and "_range" in line and "_offset_range" not in line]
+    assert sum("ReusedExchange" not in line for line in wide) == 1, final
+
+
+def test_runs_over_many_ranges(spark):
+    df = spark.range(2000).selectExpr("id * 3 AS k", "id")
+    found = split_by_position(df, "k", 90, rows_per_task=100, tie_break=[])
+    assert found.where("batch_no <> id div 90 OR batch_key <> batch_no * 270").count() == 0 and found.count() == 2000
 
 
 def test_nested_split(spark):
