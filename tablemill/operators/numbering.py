@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -90,7 +90,6 @@ def number_rows(
     tie_break: str | Sequence[str] | None = None,
     largest: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    range_into: str | None = None,
 ) -> DataFrame:
     """``row_number()`` by ``order_by`` ascending, NULLs last, within groups if given.
 
@@ -104,26 +103,84 @@ def number_rows(
     at sampled split points into ranges of about that size, numbered range by range, and
     shifted by what precedes their range.  One huge group, or one huge key, thus spreads
     over many tasks.  Full rows are shuffled once either way.  Arrays and structs as keys
-    always take the plain window.  ``range_into`` names a column to keep the number of a
-    row's range in, if ranges are made; the result is partitioned by it.
+    always take the plain window.
     """
     order_by, within, running = names(order_by), names(within), dict(running or {})
-    used = {*order_by, *within}
-    others = [f.name for f in df.schema.fields if f.name not in used and _comparable(f.dataType)]
-    ties = others if tie_break is None else names(tie_break)
-    sizes = None
+    ranges = None
     if largest is None or largest > rows_per_task:
-        sizes = group_sizes(df, within)
-        largest = sizes.largest
-    keyed, keys = df, [*within, *order_by]
-    if largest <= rows_per_task or not all(_splittable(kind) for kind in _kinds(df, keys)):
-        window = Window.partitionBy(*columns(within)).orderBy(*_ascending([*order_by, *ties]))
+        ranges = cut_into_ranges(df, order_by, within, tie_break=tie_break, rows_per_task=rows_per_task)
+    if ranges is None:
+        order = _ascending([*order_by, *_ties(df, order_by, within, tie_break)])
+        window = Window.partitionBy(*columns(within)).orderBy(*order)
         return df.select("*", *_running(window, into, running))
+    return ranges.place(into, running).select(*columns([*df.columns, into, *running]))
+
+
+def _ties(df: DataFrame, order_by: list[str], within: list[str], tie_break: str | Sequence[str] | None) -> list[str]:
+    if tie_break is not None:
+        return names(tie_break)
+    return [f.name for f in df.schema.fields if f.name not in {*order_by, *within} and _comparable(f.dataType)]
 
-    total = sizes.total
+
+@dataclass(frozen=True)
+class Ranges:
+    """Rows with the number of their range in ``_range``, in the order that ranges follow."""
+
+    rows: DataFrame
+    within: list[str]
+    order: list[str]
+    arrays: list[Column]
+    count: int
+
+    def window(self) -> Window:
+        return Window.partitionBy("_range", *columns(self.within)).orderBy(*_ascending(self.order))
+
+    def keys_only(self, order_by: list[str]) -> Ranges:
+        """The same with no more than the key columns: equal keys then have no order."""
+        narrow = self.rows.select("_range", *columns([*self.within, *order_by]))
+        return replace(self, rows=narrow, order=order_by)
+
+    def place(self, into: str, running: Mapping[str, Column]) -> DataFrame:
+        """Number each range by itself and add what precedes it; sorted and partitioned by range."""
+        # as many partitions as ranges, whatever the session's default
+        spread = self.rows.repartition(self.count, "_range", *columns(self.within))
+        local = spread.select("*", *_running(self.window(), "_local", {f"_local_{n}": c for n, c in running.items()}))
+        match = F.col("_range") == F.col("_offset_range")
+        for number, name in enumerate(self.within):
+            match &= column_named(name).eqNullSafe(F.col(f"_group_{number}"))
+        # at most two rows per range, so bounded as the split points are
+        offsets = F.broadcast(_offsets(self.rows, self.within, running, self.arrays))
+        kinds = {f.name: f.dataType for f in local.schema.fields}
+        sums = [
+            # NULL until the first value, as a running sum is
+            F.coalesce(
+                column_named(f"_local_{name}") + column_named(f"_before_{name}"),
+                column_named(f"_local_{name}"),
+                column_named(f"_before_{name}"),
+            ).cast(kinds[f"_local_{name}"]).alias(name)
+            for name in running
+        ]
+        row_no = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
+        return local.join(offsets, match, "left").select(*columns(self.rows.columns), row_no.alias(into), *sums)
+
+
+def cut_into_ranges(
+    df: DataFrame,
+    order_by: list[str],
+    within: list[str],
+    *,
+    tie_break: str | Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> Ranges | None:
+    """Ranges of about ``rows_per_task`` rows by group and key; None if no group is larger."""
+    sizes = group_sizes(df, within)
+    keyed, keys = df, [*within, *order_by]
+    if sizes.largest <= rows_per_task or not all(_splittable(kind) for kind in _kinds(df, keys)):
+        return None
+    ties = _ties(df, order_by, within, tie_break)
     by = [*order_by, *([] if tie_break is None else ties)]
-    n_ranges = min(math.ceil(total / rows_per_task), _most_ranges(df, by, sizes.key_bytes))
-    points, repeated = _sampled_points(keyed, keys, n_ranges, total)
+    n_ranges = min(math.ceil(sizes.total / rows_per_task), _most_ranges(df, by, sizes.key_bytes))
+    points, repeated = _sampled_points(keyed, keys, n_ranges, sizes.total)
     if repeated and ties:
         # One key fills whole ranges, so the tie-break joins the split points.  Any order among
         # equal keys will do by default: there a hash stands in for columns of any width.
@@ -131,15 +188,12 @@ def number_rows(
             keyed, keys = df.withColumn("_tie", F.xxhash64(*columns(ties))), [*keys, "_tie"]
         else:
             keys = [*keys, *ties]
-        points, repeated = _sampled_points(keyed, keys, n_ranges, total)
+        points, repeated = _sampled_points(keyed, keys, n_ranges, sizes.total)
     if repeated and tie_break is None:
         # Whole ranges of rows that are equal in every column: give each stored row a number
         # of its own to sort by.  It is read back from storage, hence stable on recomputing.
         copies = df.sparkSession.table(store(df.withColumn("_copy", F.monotonically_increasing_id()), "copies"))
-        return number_rows(
-            copies, order_by, within, into=into, running=running, tie_break="_copy", largest=largest,
-            rows_per_task=rows_per_task, range_into=range_into,
-        ).drop("_copy")
+        return cut_into_ranges(copies, order_by, within, tie_break="_copy", rows_per_task=rows_per_task)
 
     kinds = _kinds(keyed, keys)
     arrays = [point_array([point[at] for point in points], kind) for at, kind in enumerate(kinds)]
@@ -149,31 +203,8 @@ def number_rows(
         ranged = with_number_range(keyed, keys[0], [point[0] for point in points], "_range")
     else:
         ranged = keyed.withColumn("_range", searched_range(arrays, len(points), keys, kinds))
-    group = [F.col("_range"), *columns(within)]
-    order = _ascending(list(dict.fromkeys([*keys[len(within):], *ties])))
-    # as many partitions as ranges, whatever the session's default
-    local = ranged.repartition(len(points) + 1, *group).select(
-        "*", *_running(Window.partitionBy(*group).orderBy(*order), "_local", {f"_local_{n}": c for n, c in running.items()})
-    )
-    offsets = _offsets(ranged, within, running, arrays)
-    match = F.col("_range") == F.col("_offset_range")
-    for number, name in enumerate(within):
-        match &= column_named(name).eqNullSafe(F.col(f"_group_{number}"))
-    # offsets has at most two rows per range, so it is bounded as the split points are
-    placed = local.join(F.broadcast(offsets), match, "left")
-    row_no = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
-    stored = {f.name: f.dataType for f in local.schema.fields}
-    sums = [
-        # NULL until the first value, as a running sum is
-        F.coalesce(
-            column_named(f"_local_{name}") + column_named(f"_before_{name}"),
-            column_named(f"_local_{name}"),
-            column_named(f"_before_{name}"),
-        ).cast(stored[f"_local_{name}"]).alias(name)
-        for name in running
-    ]
-    kept = [F.col("_range").alias(range_into)] if range_into else []
-    return placed.select(*columns(df.columns), row_no.alias(into), *sums, *kept)
+    order = list(dict.fromkeys([*keys[len(within):], *ties]))
+    return Ranges(ranged, within, order, arrays, len(points) + 1)
 
 
 def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[Column]:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablemill.functions.values import column_named
-from tablemill.operators.numbering import ROWS_PER_TASK, columns, names, number_rows
+from tablemill.operators.numbering import ROWS_PER_TASK, Ranges, columns, cut_into_ranges, names, number_rows
 from tablemill.operators.skew import look_up
 from tablemill.operators.staging import store
 
@@ -20,41 +20,49 @@ def _cut(
         raise ValueError("batch_size must be at least 1")
     if not pk:
         raise ValueError("pk is needed to order the rows")
-    placed = number_rows(
-        df, pk, within, into="_position", rows_per_task=rows_per_task, tie_break=tie_break,
-        range_into=None if within else "_in_range",
-    )
-    run = placed.withColumn(number, F.expr(f"(_position - 1) div {int(batch_size)}"))
+    size = int(batch_size)
+    if not within and size <= rows_per_task:
+        ranges = cut_into_ranges(df, [pk], [], tie_break=tie_break, rows_per_task=rows_per_task)
+        if ranges is not None:
+            return _first_keys_by_range(ranges, pk, size, number, key).select(*columns([*df.columns, number, key]))
+    placed = number_rows(df, pk, within, into="_position", rows_per_task=rows_per_task, tie_break=tie_break)
+    run = placed.withColumn(number, _run_number(size))
     group = [*within, number]
-    if batch_size <= rows_per_task:
-        if "_in_range" in run.columns:
-            return _first_keys_by_range(run, pk, int(batch_size), number, key)
+    if size <= rows_per_task:
         first = F.min(column_named(pk)).over(Window.partitionBy(*columns(group)))
         return run.drop("_position").withColumn(key, first)
     # Runs too long for one task: number once, then look up the first row of each run.
     stored = df.sparkSession.table(store(run, "runs"))
-    starts = stored.where((F.col("_position") - 1) % int(batch_size) == 0)
-    firsts = starts.select(*columns(group), column_named(pk).alias(key))
+    firsts = stored.where(_begins(size)).select(*columns(group), column_named(pk).alias(key))
     return look_up(stored.drop("_position"), firsts, group, rows_per_task=rows_per_task)
 
 
-def _first_keys_by_range(run: DataFrame, pk: str, batch_size: int, number: str, key: str) -> DataFrame:
-    """First keys of runs without shuffling the rows again.
+def _run_number(size: int) -> Column:
+    return F.expr(f"(_position - 1) div {size}")
+
+
+def _begins(size: int) -> Column:
+    return (F.col("_position") - 1) % size == 0
 
-    A run mostly lies within one range of the numbering, by which the rows are partitioned
-    already.  A run that goes on in a later range is the last to begin in its own, so the
-    last beginnings of all ranges, one small row each, hold the first keys of such runs.
+
+def _first_keys_by_range(ranges: Ranges, pk: str, size: int, number: str, key: str) -> DataFrame:
+    """Runs and their first keys without shuffling or sorting the rows a second time.
+
+    Most runs lie within one range of the numbering, where the first key is carried forward
+    in the order of the rows.  A run that goes on in a later range is the last to begin in
+    its own; the last beginnings of all ranges, one small row each, come from numbering
+    the keys alone.
     """
-    beginnings = run.where((F.col("_position") - 1) % batch_size == 0)
-    last = beginnings.groupBy("_in_range").agg(F.max(F.struct(number, column_named(pk).alias("key"))).alias("last"))
-    carried = F.broadcast(last.select(F.col(f"last.{number}").alias("_carried"), F.col("last.key").alias("_carried_key")))
-    here = Window.partitionBy("_in_range", number)
-    begins_here = F.min("_position").over(here) == F.col(number) * batch_size + 1
-    local = run.select("*", F.min(column_named(pk)).over(here).alias("_first"), begins_here.alias("_begins_here"))
-    joined = local.join(carried, F.col(number) == F.col("_carried"), "left")
-    first = F.when(F.col("_begins_here"), F.col("_first")).otherwise(F.col("_carried_key"))
-    kept = [name for name in run.columns if name not in ("_position", "_in_range")]
-    return joined.select(*columns(kept), first.alias(key))
+    beginnings = ranges.keys_only([pk]).place("_position", {}).where(_begins(size))
+    last = beginnings.groupBy("_range").agg(F.max(F.struct("_position", column_named(pk).alias("key"))).alias("last"))
+    carried = last.select(
+        F.expr(f"(last._position - 1) div {size}").alias("_carried"), F.col("last.key").alias("_carried_key")
+    )
+    so_far = ranges.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = F.last(F.when(_begins(size), F.struct(column_named(pk).alias("key"))), ignorenulls=True).over(so_far)
+    run = ranges.place("_position", {}).select("*", begun.alias("_begun"), _run_number(size).alias(number))
+    joined = run.join(F.broadcast(carried), F.col(number) == F.col("_carried"), "left")
+    return joined.withColumn(key, F.when(F.col("_begun").isNotNull(), F.col("_begun.key")).otherwise(F.col("_carried_key")))
 
 
 def split_by_position(

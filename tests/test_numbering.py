@@ -205,8 +205,11 @@ def test_a_split_shuffles_full_rows_once(spark, tmp_path):
     runs.collect()
     plan = runs._jdf.queryExecution().executedPlan().toString()
     final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
-    wide = [line for line in final.splitlines() if "Exchange" in line and "_range" in line and "_offset_range" not in line]
-    assert sum("ReusedExchange" not in line for line in wide) == 1, final
+    lines = final.splitlines()
+    assert sum("Exchange hashpartitioning(_range" in line for line in lines) == 2
+    # one of the two carries keys only, and full rows are sorted once
+    assert sum("FileScan" in line and "wide" in line for line in lines) == 1
+    assert sum("Sort [" in line and "wide" in line for line in lines) == 1
 
 
 def test_runs_over_many_ranges(spark):
