@@ -55,3 +55,29 @@ def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums over the values of each row, given ``bounds``."""
     running = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return running[starts[1:]] - running[starts[:-1]]
+
+
+def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts one after the other, and the bounds of each."""
+    filled = pc.fill_null(texts, "").cast(pa.string())
+    _, offsets, data = filled.buffers()
+    bound = np.frombuffer(offsets, np.int32)[filled.offset : filled.offset + len(filled) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bound[0] : bound[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, bound - bound[0]
+
+
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_places(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words begin and end in the bytes of all texts, and the bounds of each text in words."""
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = ~IS_SPACE[raw]
+    begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    # where a text begins, a word ends and another begins
+    edge = starts[(starts > 0) & (starts < len(raw))]
+    begins[edge] = inside[edge + 1]
+    ends[edge] = inside[edge]
+    first = np.nonzero(begins)[0]
+    return first, np.nonzero(ends)[0], np.searchsorted(first, starts)

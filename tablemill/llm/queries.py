@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablemill.llm import sql
 from tablemill.llm.arrow_text import WORD
+from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
 from tablemill.llm.html_region import main_texts
 from tablemill.llm.mixing import mix
 from tablemill.llm.repetition import judge, repetition_stats
+from tablemill.llm.suffix_dedup import remove_repeated_bytes
 from tablemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024
@@ -52,6 +54,12 @@ def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(repetition_stats(table(spark, sf_dir, "documents"))).drop("longest_repeat")
 
 
+@query(sql.WORD_WINDOWS)
+def op3_fm_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("n_items").alias("n_words"), "n_removed", "kept_sha256")
+
+
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -68,6 +76,11 @@ def op6_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query()
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).withColumnRenamed("n_items", "n_bytes")
+
+
 def word_count(text: str) -> Column:
     """The number of words: each becomes one letter, and white space goes."""
     marks = F.translate(F.regexp_replace(text, WORD, "x"), " \t\n\x0b\f\r", "")

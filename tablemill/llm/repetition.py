@@ -30,13 +30,16 @@ STATS = (
 )
 
 
-def suffix_ranks(ids: np.ndarray, row: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The order of all suffixes, row by row, and the ranks by prefixes of 1, 2, 4, ... words.
+def suffix_ranks(key: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The order of all suffixes, and the ranks by prefixes of 1, 2, 4, ... items.
 
-    ``row`` is the row of each word and ``end`` where that row ends; suffixes stop there.
+    ``end`` is where the row of each item ends; suffixes stop there, shorter before longer, equal ones in
+    the order of their places.
     """
-    n = len(ids)
-    key = row * (ids.max(initial=0) + 1) + ids
+    n = len(key)
+    if not n:
+        return np.zeros(0, np.int64), []
+    longest = int((end - np.arange(n)).max(initial=0))
     order = np.argsort(key, kind="stable")
     new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -45,7 +48,7 @@ def suffix_ranks(ids: np.ndarray, row: np.ndarray, end: np.ndarray) -> tuple[np.
     levels, reach = [rank.copy()], 1
     alone = new & np.concatenate([new[1:], [True]])
     open_ = order[~alone]
-    while len(open_):
+    while len(open_) and reach < longest:
         far = open_ + reach
         next_ = np.where(far < end[open_], rank[np.minimum(far, n - 1)] + 1, 0)
         own = rank[open_]
@@ -68,7 +71,7 @@ def repeated_for(ids: np.ndarray, row: np.ndarray, end: np.ndarray) -> np.ndarra
     n = len(ids)
     if n < 2:
         return np.zeros(n, np.int64)
-    order, levels = suffix_ranks(ids, row, end)
+    order, levels = suffix_ranks(row * (ids.max(initial=0) + 1) + ids, end)
     left, right = order[:-1], order[1:]
     pairs = np.nonzero(levels[0][left] == levels[0][right])[0]
     left, right = left[pairs], right[pairs]

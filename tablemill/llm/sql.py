@@ -78,3 +78,29 @@ SELECT doc_id, size, source_size, target,
     (size * (whole + CASE WHEN size > 0 AND before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM met
 """
+
+WORD_WINDOWS = rf"""
+WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+places AS (
+    SELECT doc_id, i, w[i] AS word,
+        CASE WHEN i + 19 <= len(w) THEN md5(array_to_string(w[i:i + 19], ' ')) END AS win
+    FROM docs, unnest(range(1, len(w) + 1)) AS t(i)
+),
+later AS (
+    SELECT doc_id, i, word, (win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1)::INT AS again
+    FROM places
+),
+covered AS (
+    SELECT doc_id, i, word,
+        max(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM later
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed,
+        coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS text
+    FROM covered GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""

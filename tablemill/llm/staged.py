@@ -6,9 +6,21 @@ from pyspark.sql import DataFrame
 
 from tablemill.session import fresh_path
 
+# Spark then drops the shuffle files of a query that has ended, instead of at some collection of garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and read it back: what follows neither recomputes it nor loses it with an executor."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
