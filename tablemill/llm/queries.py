@@ -15,6 +15,7 @@ from tablemill.llm.arrow_text import WORD
 from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
 from tablemill.llm.html_region import main_texts
+from tablemill.llm.minhash import near_duplicates
 from tablemill.llm.mixing import mix
 from tablemill.llm.repetition import judge, repetition_stats
 from tablemill.llm.suffix_dedup import remove_repeated_bytes
@@ -76,6 +77,12 @@ def op6_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query(sql.NEAR)
+def op7_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query()
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents")).withColumnRenamed("n_items", "n_bytes")

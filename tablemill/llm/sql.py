@@ -104,3 +104,29 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
     sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+NEAR = rf"""
+WITH RECURSIVE lowered AS (
+    SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+),
+docs AS (SELECT doc_id, {WORDS} AS w FROM lowered),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+    FROM docs, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+    WHERE 100 * shared.n >= 80 * (a.n + b.n - shared.n)
+),
+arcs AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reached(doc_id, seen) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, arcs.v FROM reached r JOIN arcs ON r.seen = arcs.u
+)
+SELECT r.doc_id, coalesce(max(sizes.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id, r.doc_id = min(r.seen) AS kept
+FROM reached r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
+"""
