@@ -15,6 +15,7 @@ from tablemill.llm.arrow_text import WORD
 from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
 from tablemill.llm.html_region import main_texts
+from tablemill.llm.line_chunks import remove_repeated_chunks
 from tablemill.llm.minhash import near_duplicates
 from tablemill.llm.mixing import mix
 from tablemill.llm.repetition import judge, repetition_stats
@@ -61,6 +62,12 @@ def op3_fm_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("n_items").alias("n_words"), "n_removed", "kept_sha256")
 
 
+@query(sql.LINE_CHUNKS)
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
 @query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

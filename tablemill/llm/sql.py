@@ -130,3 +130,31 @@ reached(doc_id, seen) AS (
 SELECT r.doc_id, coalesce(max(sizes.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id, r.doc_id = min(r.seen) AS kept
 FROM reached r LEFT JOIN sizes USING (doc_id) GROUP BY r.doc_id
 """
+
+LINE_CHUNKS = """
+WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE length(text) > 0),
+lines AS (
+    SELECT doc_id, i, l[i] AS line, i = len(l) AS last, ('0x' || substr(md5(l[i]), 1, 7))::BIGINT AS h
+    FROM docs, unnest(range(1, len(l) + 1)) AS t(i)
+),
+marked AS (
+    SELECT *, last OR (h + 31 * coalesce(lag(h, 1) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0)) % 3 = 0 AS ends
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+),
+numbered AS (
+    SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no
+    FROM marked
+),
+chunks AS (SELECT doc_id, no, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS content FROM numbered GROUP BY doc_id, no),
+judged AS (
+    SELECT *, n >= 2 AND row_number() OVER (PARTITION BY n >= 2, content ORDER BY doc_id, no) > 1 AS gone FROM chunks
+),
+kept AS (
+    SELECT doc_id, sum(n) AS n_lines, count(*) AS n_chunks, sum(n) FILTER (WHERE gone) AS n_removed,
+        string_agg(content, chr(10) ORDER BY no) FILTER (WHERE NOT gone) AS text
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
+    coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
