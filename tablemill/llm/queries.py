@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablemill.llm import sql
 from tablemill.llm.arrow_text import WORD
+from tablemill.llm.decontamination import judge_documents
 from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
 from tablemill.llm.html_region import main_texts
@@ -90,6 +91,11 @@ def op7_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query()
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents")).withColumnRenamed("n_items", "n_bytes")

@@ -1,0 +1,56 @@
+"""Decontamination on planted items, and against a search for whole items."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablemill.llm.decontamination import judge_documents
+from tablemill.llm.queries import table
+
+SF_DIR = "/root/testdata/sf0.01"
+ITEM = "A farmer has 12 cows and sells 5 of them to Anna for 300 dollars, then buys 12 goats; how many animals does he own?"
+SAME = "A farmer has 31 cows and sells 7 of them to Peter for 450 euros, then buys 31 goats; how many animals does he own?"
+OTHER = "A farmer has 31 cows and sells 7 of them to Peter for 450 euros, then buys 99 goats; how many animals does he own?"
+
+
+def judged(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("share", F.lit("x"))
+    return {r.doc_id: r for r in judge_documents(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+
+def test_slots(spark):
+    rows = [
+        (1, "Words before it. " + ITEM + " And after."), (2, "intro " + SAME), (3, OTHER), (4, None), (5, ""),
+        (6, "A farmer has 12 cows and sells 5 of them."), (7, "nothing of the kind stands here, only plain words"),
+        (8, "so " + "what is the capital of Peru"),
+    ]
+    got = judged(spark, rows, [(1, ITEM), (1, ITEM), (2, "What is the capital of Peru?"), (3, "Too short"), (4, None)])
+    assert {d for d, r in got.items() if not r.kept} == {1, 2, 8}
+    assert got[1].item_id == 1 and got[1].share == 1.0 and got[8].item_id == 2
+    # 12 stands twice in the item, so it cannot become 31 in one place and 99 in the other
+    assert got[3].kept
+
+
+def test_empty_tables(spark):
+    assert judged(spark, [], [(1, ITEM)]) == {}
+    assert judged(spark, [(1, ITEM)], [])[1].kept
+
+
+def test_blocks_give_the_same(spark, monkeypatch):
+    from tablemill.llm import decontamination
+
+    rows = [(1, ITEM), (2, SAME), (3, OTHER)]
+    monkeypatch.setattr(decontamination, "BLOCK", 3)
+    assert {d for d, r in judged(spark, rows, [(1, ITEM)]).items() if not r.kept} == {1, 2}
+
+
+def test_whole_items_are_found_and_clean_documents_kept(spark):
+    def bare(text):
+        return " " + " ".join(re.findall(r"\w+", text.lower())) + " "
+
+    docs, items = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "benchmark")
+    texts = [bare(r.text) for r in items.collect()]
+    want = {r.doc_id for r in docs.collect() if any(text in bare(r.text) for text in texts)}
+    assert want
+    assert {r.doc_id for r in judge_documents(docs, items).collect() if not r.kept} == want
