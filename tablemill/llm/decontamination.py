@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablemill.llm.anchors import gram_hashes, mixed, range_hashes
 from tablemill.llm.arrow_text import bounds, numbered, raw_bytes, slices, word_places, words
+from tablemill.llm.minhash import keep_keys
 from tablemill.llm.repeats import BYTE_HASH, keyed
 from tablemill.llm.staged import stage
 
@@ -199,3 +200,9 @@ def judge_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), (-F.col("best.minus")).alias("item_id"),
         F.col("best.share").alias("share"), F.col("n_items").isNull().alias("kept"),
     )
+
+
+def without_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``df`` (doc_id, text and any other columns) that hold no item, unchanged."""
+    held = stage(contaminated(df, benchmark).select(F.col("d").alias("_d"), F.col("h").alias("_h")).distinct(), "contaminated")
+    return keep_keys(df, held, "left_anti")

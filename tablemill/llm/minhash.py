@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablemill.llm.anchors import gram_hashes, mixed, range_hashes
 from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.components import components
-from tablemill.llm.repeats import BYTE_HASH, keyed
+from tablemill.llm.repeats import BYTE_HASH, NO_ID, keyed
 from tablemill.llm.staged import stage
 
 # At a similarity of 0.8 a pair agrees in none of 40 bands of 5 with a chance of 1.3e-7.
@@ -200,6 +200,18 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     found = signed.join(of_class, "set_key", "left").withColumn("component", F.coalesce("component", "d"))
     return found.select(
         "doc_id", "d", "h", "n_shingles",
-        F.when(F.col("component") != (1 << 63) - 1, F.col("component")).alias("component_id"),
+        F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"),
         (F.col("d") == F.col("component")).alias("kept"),
     )
+
+
+def keep_one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` (doc_id, text and any other columns) that ``near_duplicates`` keeps, unchanged."""
+    kept = near_duplicates(df, width, percent).where("kept").select(F.col("d").alias("_d"), F.col("h").alias("_h")).distinct()
+    return keep_keys(df, kept, "left_semi")
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """A semi or anti join of ``df`` to row keys (_d, _h)."""
+    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return df.join(keys, (d == keys["_d"]) & (F.hash(df["text"]) == keys["_h"]), how)

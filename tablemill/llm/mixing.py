@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablemill.llm.arrow_text import WORD
 from tablemill.llm.staged import stage
 
 PREFIX = 3
 
 
+def word_count(text: str) -> Column:
+    """The number of words: each becomes one letter, and white space goes."""
+    marks = F.translate(F.regexp_replace(text, WORD, "x"), " \t\n\x0b\f\r", "")
+    return F.coalesce(F.length(marks), F.lit(0)).cast("long")
+
+
 def water_fill(sizes: DataFrame, total: Column, epochs: float) -> DataFrame:
     """``sizes`` (source, weight, source_size) with each source's ``target``.
 
@@ -77,3 +84,10 @@ def mix(df: DataFrame, size: str, weights: list[int], share: float, epochs: floa
     middle = F.col("_before") + F.col("_inside") + F.col(size) / F.lit(2.0)
     times = F.col("_whole") + F.when((F.col(size) > 0) & (middle <= F.col("_quota")), 1).otherwise(0)
     return met.withColumn("_times", times.cast("int")).drop("_draw", "_shelf", "_inside", "_of", "_on", "_before", "_whole", "_quota")
+
+
+def mixed_rows(df: DataFrame, size: Column, weights: list[int], share: float, epochs: float = 2.0, seed: str = "mix") -> DataFrame:
+    """The rows of ``df`` (doc_id, source and any other columns), each as often as ``mix`` takes it."""
+    taken = mix(df.withColumn("_size", size), "_size", weights, share, epochs, seed)
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_times")))
+    return taken.where("_times > 0").select(*df.columns, times.alias("_copy")).drop("_copy")

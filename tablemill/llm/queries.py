@@ -8,17 +8,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablemill.llm import sql
-from tablemill.llm.arrow_text import WORD
 from tablemill.llm.decontamination import judge_documents
 from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
 from tablemill.llm.html_region import main_texts
 from tablemill.llm.line_chunks import remove_repeated_chunks
 from tablemill.llm.minhash import near_duplicates
-from tablemill.llm.mixing import mix
+from tablemill.llm.mixing import mix, word_count
 from tablemill.llm.repetition import judge, repetition_stats
 from tablemill.llm.suffix_dedup import remove_repeated_bytes
 from tablemill.llm.token_counts import count_tokens
@@ -101,12 +100,6 @@ def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents")).withColumnRenamed("n_items", "n_bytes")
 
 
-def word_count(text: str) -> Column:
-    """The number of words: each becomes one letter, and white space goes."""
-    marks = F.translate(F.regexp_replace(text, WORD, "x"), " \t\n\x0b\f\r", "")
-    return F.coalesce(F.length(marks), F.lit(0)).cast("long")
-
-
 @query(sql.MIXING)
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))

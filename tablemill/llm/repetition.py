@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablemill.llm.arrow_text import bounds, byte_lengths, numbered, slices, sums, words
 
@@ -24,8 +24,8 @@ LEAST_REPEAT = 8
 MAX_COVERED_PERCENT = 45
 MAX_LONGEST = 100
 
-STATS = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+MEASURES = (
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_covered_words long, longest_repeat long"
 )
 
@@ -106,8 +106,11 @@ def line_copies(texts: pa.Array) -> np.ndarray:
     return np.bincount(row, minlength=len(texts)) - np.bincount(different, minlength=len(texts))
 
 
-def measure(least: int):
-    """A task that gives the measures of each document; repeats of ``least`` words and more count."""
+def measure(least: int, nested: bool = False):
+    """A task that adds to each row its measures, or one column ``_measures`` of them if ``nested``.
+
+    Repeats of ``least`` words and more count.
+    """
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts = part.column("text")
@@ -123,9 +126,8 @@ def measure(least: int):
             longest = np.zeros(len(counts), np.int64)
             np.maximum.at(longest, row[long_], lasts[long_])
             symbols = pc.fill_null(pc.count_substring_regex(texts, r"[#*$%&|<>]"), 0)
-            yield pa.RecordBatch.from_pydict(
+            found = pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": part.column("doc_id"),
                     "n_words": pa.array(counts, pa.int64()),
                     "word_chars": pa.array(sums(chars, starts)),
                     "n_symbols": symbols.cast(pa.int64()),
@@ -135,6 +137,10 @@ def measure(least: int):
                     "longest_repeat": pa.array(longest),
                 }
             )
+            if nested:
+                yield part.append_column("_measures", found.to_struct_array())
+            else:
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *found.columns], ["doc_id", *found.schema.names])
 
     return rows
 
@@ -145,7 +151,15 @@ def repetition_stats(df: DataFrame, least: int = LEAST_REPEAT) -> DataFrame:
     NULL and empty texts have no words, and all measures are 0.  Repeated rows each give a row, an empty
     frame none.  Other columns are ignored.  A text is handled whole, in one task; nothing is shuffled.
     """
-    return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(measure(least), STATS)
+    return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(measure(least), f"doc_id long, {MEASURES}")
+
+
+def keep_varied(df: DataFrame, least: int = LEAST_REPEAT) -> DataFrame:
+    """The rows of ``df`` (text and any other columns but ``_measures``) that ``judge`` keeps, unchanged."""
+    schema = T.StructType([*df.schema.fields, T.StructField("_measures", T._parse_datatype_string(MEASURES))])
+    measured = df.mapInArrow(measure(least, nested=True), schema)
+    kept = judge(measured.select(F.struct(*df.columns).alias("_row"), "_measures.*"))
+    return kept.where("kept").select("_row.*")
 
 
 def judge(stats: DataFrame, max_covered_percent: int = MAX_COVERED_PERCENT, max_longest: int = MAX_LONGEST) -> DataFrame:
