@@ -39,6 +39,11 @@ def to_milliseconds(stamp: Column) -> Column:
 def for_loading(df: DataFrame) -> DataFrame:
     """The frame as it is stored: whole numbers BIGINT, floating ones DOUBLE with NaN as
     NULL, timestamps in milliseconds; every other type is stored natively."""
+    return df.select(*loading_columns(df, df.columns))
+
+
+def loading_columns(df: DataFrame, names: list[str]) -> list[Column]:
+    """These columns of a frame as :func:`for_loading` stores them."""
     def stored(field: T.StructField) -> Column:
         value = column_named(field.name)
         if isinstance(field.dataType, _WHOLE):
@@ -49,7 +54,7 @@ def for_loading(df: DataFrame) -> DataFrame:
             value = to_milliseconds(value)
         return value.alias(field.name)
 
-    return df.select(*[stored(field) for field in df.schema.fields])
+    return [stored(field) for field in df.schema.fields if field.name in names]
 
 
 def float_text(value: Column) -> Column:

@@ -5,7 +5,8 @@ Row-by-row SQL needs none of this: run it over the whole tagged frame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -15,6 +16,7 @@ from tablemill.operators.combine import fan_in, join_on
 from tablemill.operators.numbering import ROWS_PER_TASK, columns, group_sizes, names
 from tablemill.operators.skew import BROADCAST_BYTES, frequent_keys, row_bytes
 from tablemill.operators.staging import store
+from tablemill.operators.tables import TABLE_FORMAT
 from tablemill.operators.transform import sql_transform
 from tablemill.sources.keyranges import BATCH_KEY, pk_bounds, read_batch
 
@@ -83,54 +85,70 @@ def top_per_batch(
     return df.withColumn("_place", place.over(window)).where(F.col("_place") <= n).drop("_place")
 
 
-def _one_plan_each(parts: Sequence[tuple[Column, DataFrame]], df: DataFrame, kind: T.DataType, query: str,
-                   batch_key: str) -> DataFrame:
-    if not parts:
-        return sql_transform(query, df).withColumn(batch_key, F.lit(None).cast(kind)).where(F.lit(False))
-    return fan_in([sql_transform(query, rows).withColumn(batch_key, key) for key, rows in parts])
+# Plans in one query; more batches take several queries, each appended to the same table.
+PLANS_AT_ONCE = 100
 
 
-def _refuse(max_batches: int) -> None:
-    raise ValueError(
-        f"more than {max_batches} batches, one plan each, is too many: use batch_totals, number_rows or "
-        "top_per_batch, or feed the batches through the streaming refresh"
-    )
+def _one_plan_each(parts: Iterable[tuple[Column, DataFrame]], df: DataFrame, kind: T.DataType, query: str,
+                   batch_key: str) -> DataFrame:
+    """The results of all parts, each with its key: one query while few, else stored group by group."""
+    parts, table = iter(parts), None
+    while group := list(islice(parts, PLANS_AT_ONCE)):
+        results = fan_in([sql_transform(query, rows).withColumn(batch_key, key) for key, rows in group])
+        following = next(parts, None)
+        if table is None and following is None:
+            return results
+        if table is None:
+            table = store(results, "batch_results")
+        else:
+            results.write.format(TABLE_FORMAT).mode("append").saveAsTable(table)
+        if following is not None:
+            parts = chain([following], parts)
+    if table is None:
+        return sql_transform(query, df).withColumn(batch_key, F.lit(None).cast(kind)).where(F.lit(False))
+    return df.sparkSession.table(table)
 
 
-def sql_per_range(df: DataFrame, query: str, pk: str, batch_size: int, max_batches: int = 200) -> DataFrame:
+def sql_per_range(df: DataFrame, query: str, pk: str, batch_size: int) -> DataFrame:
     """Any SELECT over ``input_df``, run once per key range, also for ranges without rows.
 
     The results carry ``batch_key``.  Each run reads its range by a comparison that reaches
     the scan, which skips the rest where the data is laid out by key; for other layouts use
-    :func:`sql_per_batch`.  One plan per range, so this suits few large ranges; more than
-    ``max_batches`` are refused, never skipped.
+    :func:`sql_per_batch`.  There is one plan per range, so this suits few large ranges.  Of many ranges
+    the plans run in groups, and the results are stored until
+    :func:`tablemill.operators.staging.drop_scratch`.
     """
     if not batch_size or batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     bounds = pk_bounds(df, pk)
     lo, hi = bounds.first()
     n_ranges = 0 if lo is None else int((hi - lo) // batch_size) + 1
-    if n_ranges > max_batches:
-        _refuse(max_batches)
     kind = bounds.schema["lo"].dataType
-    starts = [lo + number * batch_size for number in range(n_ranges)]
-    parts = [(F.lit(start).cast(kind), read_batch(df, pk, start, batch_size)) for start in starts]
+    starts = (lo + number * batch_size for number in range(n_ranges))
+    parts = ((F.lit(start).cast(kind), read_batch(df, pk, start, batch_size)) for start in starts)
     return _one_plan_each(parts, df, kind, query, BATCH_KEY)
 
 
-def sql_per_batch(df: DataFrame, query: str, batch_key: str = BATCH_KEY, max_batches: int = 200) -> DataFrame:
+def sql_per_batch(df: DataFrame, query: str, batch_key: str = BATCH_KEY) -> DataFrame:
     """Like :func:`sql_per_range`, for a frame that is already tagged with batch keys.
 
-    The frame is stored once, partitioned by batch key, and each run reads its partition.
-    The stored table lasts until :func:`tablemill.operators.staging.drop_scratch`.
+    Distinct keys are numbered, NULL among them, the two zeros as one and all NaN as one.  The frame is
+    stored once, partitioned by number, and each run reads its partition.  The stored table lasts until
+    :func:`tablemill.operators.staging.drop_scratch`.
     """
-    tag, kind = column_named(batch_key), df.schema[batch_key].dataType
-    texts = [row[0] for row in df.select(point_text(tag, kind)).distinct().limit(max_batches + 1).collect()]
-    if len(texts) > max_batches:
-        _refuse(max_batches)
-    parts = []
-    if texts:
-        stored = df.sparkSession.table(store(df, "batches", partition_by=batch_key)).select(*columns(df.columns))
-        keys = [point_array([text], kind)[0] for text in texts]
-        parts = [(key, stored.where(tag.eqNullSafe(key))) for key in keys]
-    return _one_plan_each(parts, df, kind, query, batch_key)
+    spark, kind = df.sparkSession, df.schema[batch_key].dataType
+    # grouping makes -0.0 and 0.0 one key, and so does the join below
+    distinct = df.groupBy(column_named(batch_key).alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = spark.table(store(distinct.select("_of", F.monotonically_increasing_id().alias("_number")), "batch_keys"))
+    tagged = df.join(numbered, column_named(batch_key).eqNullSafe(F.col("_of"))).drop("_of")
+    stored = spark.table(store(tagged, "batches", partition_by="_number"))
+    known = numbered.select("_number", point_text(F.col("_of"), kind).alias("_text")).orderBy("_number").toLocalIterator()
+
+    def parts() -> Iterator[tuple[Column, DataFrame]]:
+        for row in known:
+            key = point_array([row["_text"]], kind)[0]
+            if isinstance(kind, T.BinaryType):
+                key = F.unhex(key)
+            yield key, stored.where(F.col("_number") == row["_number"]).select(*columns(df.columns))
+
+    return _one_plan_each(parts(), df, kind, query, batch_key)

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablemill.functions.values import column_named, csv_text
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def export_csv(
     df: DataFrame | None,
@@ -21,8 +19,8 @@ def export_csv(
     :func:`tablemill.functions.values.csv_text`.
 
     The result is a folder of files written in parallel, none above ``rows_per_file`` rows,
-    so that texts with line breaks still read back by many tasks.  ``single_file`` is for
-    small results and refuses others.
+    so that texts with line breaks still read back by many tasks.  ``single_file`` writes one
+    file of any size, by one task: it takes as long as one disk needs, so it is for small results.
     """
     if df is None:
         raise ValueError("there is no frame to export")
@@ -33,9 +31,6 @@ def export_csv(
         name = rows.columns[0]
         rows = rows.select(F.coalesce(column_named(name).cast("string"), F.lit("")).alias(name))
     if single_file:
-        # persisting is not needed: the check stops counting just past the bound
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"single_file is for at most {SINGLE_FILE_ROWS} rows")
         rows = rows.coalesce(1)
     rows.write.mode("overwrite").options(
         header=True,
@@ -46,6 +41,6 @@ def export_csv(
         emptyValue='""' if lone else "",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        maxRecordsPerFile=rows_per_file,
+        maxRecordsPerFile=0 if single_file else rows_per_file,
     ).csv(path)
     return path

@@ -1,4 +1,8 @@
-"""Change rows of a table by writing it anew: UPDATE, DELETE and MERGE on plain tables."""
+"""Change rows of a table by writing it anew: UPDATE, DELETE and MERGE on plain tables.
+
+The table keeps its partitions, format, comments and properties.  Of a partitioned table only the
+partitions that hold changed rows are written.
+"""
 
 from __future__ import annotations
 
@@ -6,43 +10,110 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablemill.functions.values import column_named
-from tablemill.operators.combine import conform
-from tablemill.operators.tables import replace_table
+from tablemill.functions.values import column_named, for_loading, loading_columns
+from tablemill.operators.combine import conform, join_on
+from tablemill.operators.staging import drop_tables, store
+from tablemill.operators.tables import replace_content
+
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+
+
+def _write(after: DataFrame, table: str, touched: DataFrame | None) -> str:
+    """Write the rows ``after`` a change: all, or those of the partitions in ``touched``.
+
+    The rows of these partitions are staged first, since they are read from the files that they replace.
+    """
+    spark = after.sparkSession
+    if touched is None:
+        return replace_content(after, table)
+    parts = touched.columns
+    places = store(touched.distinct(), "touched")
+    rows = store(join_on(after, spark.table(places), parts, "left_semi"), "rewritten")
+    written = spark.table(rows)
+    emptied = join_on(spark.table(places), written.select(*map(column_named, parts)).distinct(), parts, "left_anti").collect()
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        written.select(*map(column_named, spark.table(table).columns)).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    for place in emptied:
+        named = ", ".join(
+            f"`{name}` = NULL" if place[name] is None else f"`{name}` = '{place[name]}'" for name in parts
+        )
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
+    drop_tables(spark, [places, rows])
+    return table
+
+
+def _touched(rows: DataFrame, parts: Sequence[str], moves: bool = False) -> DataFrame | None:
+    return rows.select(*map(column_named, parts)) if parts and not moves else None
 
 
 def update_rows(spark: SparkSession, table: str, condition: Column, changes: Mapping[str, Column]) -> str:
-    """Set columns where the condition is true; all changes see the old values."""
-    before = spark.table(table)
+    """Set columns where the condition is true; all changes see the old values.
+
+    New values are cleaned up as on loading, then cast to the column's type.
+    """
+    before, parts = spark.table(table), _partitions(spark, table)
     unknown = set(changes) - set(before.columns)
     if unknown:
         raise ValueError(f"no such columns in {table}: {sorted(unknown)}")
-    after = before.select(*[
-        F.when(condition, changes[field.name].cast(field.dataType)).otherwise(column_named(field.name)).alias(field.name)
+    labels = {name: f"_new_{number}" for number, name in enumerate(changes)}
+    hit = F.coalesce(condition, F.lit(False))
+    marked = before.select("*", hit.alias("_hit"), *[changes[name].alias(label) for name, label in labels.items()])
+    loaded = marked.select(*map(column_named, [*before.columns, "_hit"]), *loading_columns(marked, list(labels.values())))
+    after = loaded.select(*[
+        F.when(F.col("_hit"), F.col(labels[field.name]).cast(field.dataType)).otherwise(column_named(field.name)).alias(field.name)
         if field.name in changes
         else column_named(field.name)
         for field in before.schema.fields
     ])
-    return replace_table(after, table)
+    return _write(after, table, _touched(before.where(hit), parts, moves=bool(set(parts) & set(changes))))
 
 
 def delete_rows(spark: SparkSession, table: str, condition: Column) -> str:
     """Remove the rows where the condition is true; a NULL condition keeps the row."""
-    return replace_table(spark.table(table).where(~F.coalesce(condition, F.lit(False))), table)
+    before, hit = spark.table(table), F.coalesce(condition, F.lit(False))
+    return _write(before.where(~hit), table, _touched(before.where(hit), _partitions(spark, table)))
 
 
-def upsert(table: str, source: DataFrame, keys: Sequence[str]) -> str:
+def upsert(table: str, source: DataFrame, keys: Sequence[str], *, update: Sequence[str] | None = None) -> str:
     """Replace the rows of a table that share a key with the source, and add the others.
 
-    A key that occurs twice in the source is an error.  NULL keys match nothing, so such
-    source rows are added.
+    With ``update`` matched rows change in those columns alone.  Otherwise the source's row takes the
+    old one's place, and columns that the source lacks become NULL.  Values are cleaned up as on loading.
+    A key that occurs twice in the source is an error, and so is a column that the table lacks.  NULL
+    keys match nothing, so such source rows are added.
     """
     spark = source.sparkSession
+    target, parts = spark.table(table), _partitions(spark, table)
+    unknown = sorted(set(source.columns) - set(target.columns) | set(update or ()) - set(source.columns))
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}")
+    loaded = for_loading(source)
     columns = [column_named(name) for name in keys]
-    present = source.dropna(subset=[f"`{name}`" if "." in name else name for name in keys])
+    present = loaded.dropna(subset=[f"`{name}`" if "." in name else name for name in keys])
     twice = present.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
     if twice:
         raise ValueError(f"source has several rows for key {twice[0].asDict()}")
-    target = spark.table(table)
-    kept = target.join(present.select(*columns), list(keys), "left_anti").select(*map(column_named, target.columns))
-    return replace_table(kept.unionByName(conform(source, target.schema)), table)
+    matched = present.select(*columns)
+    kept = target.join(matched, list(keys), "left_anti").select(*map(column_named, target.columns))
+    if update is None:
+        after = kept.unionByName(conform(loaded, target.schema))
+    else:
+        new = present.select(*columns, *[column_named(name).alias(f"_new_{i}") for i, name in enumerate(update)])
+        changed = target.join(new, list(keys)).select(*[
+            column_named(f.name) if f.name not in update else F.col(f"_new_{list(update).index(f.name)}").cast(f.dataType).alias(f.name)
+            for f in target.schema.fields
+        ])
+        old = target.select(*columns).dropna().distinct()
+        added = join_on(loaded, old, list(keys), "left_anti")
+        after = kept.unionByName(changed).unionByName(conform(added, target.schema))
+    if not parts or not set(parts) <= set(source.columns) or set(parts) & set(update or ()):
+        return _write(after, table, None)
+    hit = target.join(matched, list(keys), "left_semi")
+    places = _touched(hit, parts).unionByName(conform(loaded, target.schema).select(*map(column_named, parts)))
+    return _write(after, table, places)

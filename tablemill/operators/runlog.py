@@ -74,10 +74,10 @@ def retry_plan(
     """What to do about failed runs ``(run_id, failure_class, attempt)``.
 
     Adds ``retry``, ``next_attempt``, ``delay_seconds`` and ``memory_factor``.  A run at or
-    past ``max_attempts`` is not retried and has NULL there.  Delays may be text such as
+    past ``max_attempts`` is not retried and has NULL there; a missing attempt counts as 0.  Delays may be text such as
     ``1h``.
     """
-    attempt = F.col("attempt")
+    attempt = F.coalesce("attempt", F.lit(0))
     again = attempt < max_attempts
     delay = F.least(
         duration_seconds(F.lit(base_delay)) * F.pow(F.lit(float(factor)), attempt), duration_seconds(F.lit(max_delay))

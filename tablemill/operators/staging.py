@@ -5,37 +5,36 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable, Mapping
-from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemill.functions.values import column_named
 from tablemill.operators.transform import sql_transform
-from tablemill.session import shared_dir
+from tablemill.session import application_dir, drop_application_dir
 
 log = logging.getLogger(__name__)
 
 
 def temp_name(label: str) -> str:
-    """``z_temp_<time to the millisecond>_<32 random characters>_<label>``"""
-    moment = datetime.now().strftime("%Y%m%d%H%M%S%f")[:-3]
-    return f"z_temp_{moment}_{uuid.uuid4().hex}_{label}"
+    """A table name that is not taken."""
+    return f"{label}_{uuid.uuid4().hex}"
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A database of this application whose tables lie in the shared folder."""
+    """A database of this application whose tables lie in its folder."""
     label = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId.lower())
     name = f"tablemill_{label}"
     if not spark.catalog.databaseExists(name):
-        location = f"{shared_dir(spark)}/{name}_{uuid.uuid4().hex}".replace("'", "\\'")
+        location = f"{application_dir(spark)}/tables".replace("'", "\\'")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
     return name
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Drop the scratch database with everything staged in it."""
+    """Drop everything this application staged: the scratch database, and the folder with files and streaming state."""
     spark.sql(f"DROP DATABASE IF EXISTS {scratch_database(spark)} CASCADE")
+    drop_application_dir(spark)
 
 
 def store(df: DataFrame, label: str, partition_by: str | None = None) -> str:

@@ -3,26 +3,34 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.functions.values import for_loading
+from tablemill.functions.values import column_named, for_loading
+from tablemill.operators.staging import drop_tables, store
 
 TABLE_FORMAT = "parquet"
 
 
-def replace_table(df: DataFrame, table: str) -> str:
-    """Make the frame the whole content of a table, which the frame itself may read.
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    The rows are written once, to a new table beside the old one.  Names change over only
-    after that write has succeeded, so a failed job leaves the old content in place.
-    """
-    spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    fresh, former = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    df.write.format(TABLE_FORMAT).saveAsTable(fresh)
+
+def _recover(spark: SparkSession, table: str) -> None:
+    """Give a table its name back if a driver was lost between the two renames of a replacement."""
+    if spark.catalog.tableExists(table):
+        return
+    database, _, name = table.rpartition(".")
+    place = f" IN {database}" if database else ""
+    former = [row["tableName"] for row in spark.sql(f"SHOW TABLES{place} LIKE '{name.lower()}_old_*'").collect()]
+    if len(former) == 1:
+        spark.sql(f"ALTER TABLE {database + '.' if database else ''}{former[0]} RENAME TO {table}")
+
+
+def _change_over(spark: SparkSession, fresh: str, table: str) -> str:
+    former = f"{table}_old_{uuid.uuid4().hex}"
     replaced = spark.catalog.tableExists(table)
     if replaced:
         spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
@@ -37,21 +45,79 @@ def replace_table(df: DataFrame, table: str) -> str:
     return table
 
 
-def load_table(df: DataFrame, table: str, *, recreate: bool = False) -> str:
+def is_partitioned(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table) and any(column.isPartition for column in spark.catalog.listColumns(table))
+
+
+def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()) -> str:
+    """Make the frame the whole table, which the frame itself may read.
+
+    The rows are written once, to a new table beside the old one.  Names change over only
+    after that write has succeeded, so a failed job leaves the old content in place.  Between the
+    two renames the table is missing; a driver lost just then is made good by the next call.
+
+    Partitioned tables are not renamed, since catalogs may leave their partitions at the old place:
+    the rows are staged, then the table is dropped and made from the stage, which stays until
+    :func:`tablemill.operators.staging.drop_scratch` should the driver be lost in between.
+    """
+    spark = df.sparkSession
+    _recover(spark, table)
+    if partition_by or is_partitioned(spark, table):
+        staged = store(df, "replacement")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.table(staged).write.format(TABLE_FORMAT).partitionBy(*partition_by).saveAsTable(table)
+        drop_tables(spark, [staged])
+        return table
+    fresh = f"{table}_new_{uuid.uuid4().hex}"
+    df.write.format(TABLE_FORMAT).partitionBy(*partition_by).saveAsTable(fresh)
+    return _change_over(spark, fresh, table)
+
+
+def replace_content(df: DataFrame, table: str) -> str:
+    """Like :func:`replace_table`, for rows of the table's own columns: partitions, format, comments and
+    properties stay as they are.  A partitioned table is overwritten from a stage."""
+    spark = df.sparkSession
+    if is_partitioned(spark, table):
+        staged = store(df, "replacement")
+        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        try:
+            columns = map(column_named, spark.table(table).columns)
+            spark.table(staged).select(*columns).write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        drop_tables(spark, [staged])
+        return table
+    fresh = f"{table}_new_{uuid.uuid4().hex}"
+    kept = [row for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()]
+    spark.sql(f"CREATE TABLE {fresh} LIKE {table}")
+    own = [f"{_quoted(row['key'])} = {_quoted(row['value'])}" for row in kept if not row["key"].startswith("transient_")]
+    if own:
+        spark.sql(f"ALTER TABLE {fresh} SET TBLPROPERTIES ({', '.join(own)})")
+    about = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if about.get("Comment"):
+        spark.sql(f"COMMENT ON TABLE {fresh} IS {_quoted(about['Comment'])}")
+    spark.sql("INSERT INTO IDENTIFIER(:target) BY NAME SELECT * FROM {rows}", args={"target": fresh}, rows=df)
+    return _change_over(spark, fresh, table)
+
+
+def load_table(df: DataFrame, table: str, *, recreate: bool = False, partition_by: Sequence[str] = ()) -> str:
     """Append a frame to a table, creating the table from the frame's schema if missing.
 
     Columns match by name; table columns the frame lacks are filled with NULL, and frame
-    columns the table lacks are an error.  ``recreate`` replaces table and content.
+    columns the table lacks are an error.  ``recreate`` replaces table and content.  A table that
+    is made here is partitioned by ``partition_by``.
     Values are stored as :func:`tablemill.functions.values.for_loading` describes.
     """
     spark = df.sparkSession
     rows = for_loading(df)
+    _recover(spark, table)
     if recreate:
-        return replace_table(rows, table)
+        return replace_table(rows, table, partition_by=partition_by)
     if spark.catalog.tableExists(table):
         spark.sql("INSERT INTO IDENTIFIER(:target) BY NAME SELECT * FROM {rows}", args={"target": table}, rows=rows)
     else:
-        rows.write.format(TABLE_FORMAT).saveAsTable(table)
+        rows.write.format(TABLE_FORMAT).partitionBy(*partition_by).saveAsTable(table)
     return table
 
 

@@ -67,7 +67,7 @@ def table_and_csv(df: DataFrame, target: str, path: str) -> dict[str, str]:
     return write_targets(df, {"table": lambda rows: load_table(rows, target), "csv": lambda rows: export_csv(rows, path)})
 
 
-def csv_to_table(spark: SparkSession, path: str, schema: T.StructType, target: str, multiline: bool = True) -> str:
+def csv_to_table(spark: SparkSession, path: str, schema: T.StructType, target: str, multiline: bool | None = None) -> str:
     """Read CSV and replace a table with it."""
     return load_table(extract_csv(spark, path, schema, multiline=multiline), target, recreate=True)
 

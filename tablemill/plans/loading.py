@@ -22,7 +22,7 @@ from tablemill.plans.flows import (
 from tablemill.plans.registry import query, table
 from tablemill.session import fresh_path
 from tablemill.sources.files import extract_csv
-from tablemill.streaming.refresh import REFRESH_COLUMN, refresh
+from tablemill.streaming.refresh import REFRESH_COLUMNS, compact, refresh
 
 # A file of long texts is read by one task.
 LONG_TEXT_ROWS = 50_000
@@ -160,7 +160,7 @@ def csv_round_trip_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_round_trip_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamps with microseconds, doubles and JSON text keep their values."""
     events = table(spark, sf_dir, "events")
-    return extract_csv(spark, export_csv(events, fresh_path(spark, "events-csv")), events.schema, multiline=False)
+    return extract_csv(spark, export_csv(events, fresh_path(spark, "events-csv")), events.schema)
 
 
 @query("""
@@ -171,15 +171,15 @@ FROM orders
 def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a schema numbers are found and timestamps stay text."""
     path = export_csv(table(spark, sf_dir, "orders"), fresh_path(spark, "orders-csv"))
-    return extract_csv(spark, path, multiline=False)
+    return extract_csv(spark, path)
 
 
 @query("SELECT * FROM orders")
 def csv_to_table_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, target = table(spark, sf_dir, "orders"), _target(spark, "from_csv")
     path = export_csv(orders, fresh_path(spark, "orders-csv"))
-    csv_to_table(spark, path, orders.schema, target, multiline=False)
-    csv_to_table(spark, path, orders.schema, target, multiline=False)
+    csv_to_table(spark, path, orders.schema, target)
+    csv_to_table(spark, path, orders.schema, target)
     return spark.table(target)
 
 
@@ -190,7 +190,7 @@ UNION ALL SELECT 'csv' AS target, p_partkey, p_name, p_retailprice FROM part
 def multi_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     written = table_and_csv(parts, _target(spark, "both"), fresh_path(spark, "both-csv"))
-    from_csv = extract_csv(spark, written["csv"], parts.schema, multiline=False)
+    from_csv = extract_csv(spark, written["csv"], parts.schema)
     from_table = spark.table(written["table"])
     return from_table.select(F.lit("table").alias("target"), "*").unionByName(
         from_csv.select(F.lit("csv").alias("target"), "*")
@@ -281,7 +281,7 @@ def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, path, events.schema, target, checkpoint,
             transform=lambda rows: rows.select("event_id", "user_id", "event_type", "value"),
         )
-    return spark.table(target).drop(REFRESH_COLUMN)
+    return spark.table(target).drop(*REFRESH_COLUMNS)
 
 
 def pk_middle(df: DataFrame, pk: str) -> int:
@@ -304,3 +304,61 @@ def refresh_sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).groupBy("event_type").agg(
         F.sum("n_events").alias("n_events"), F.sum("total").cast("double").alias("total")
     )
+
+
+@query("SELECT event_id AS id, value FROM events UNION ALL SELECT o_orderkey AS id, o_totalprice AS value FROM orders")
+def refresh_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, each with its own progress, feed one table, which is compacted and refreshed again."""
+    target = _target(spark, "two_sources")
+    sources = {
+        "events": table(spark, sf_dir, "events").selectExpr("event_id AS id", "value"),
+        "orders": table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_totalprice AS value"),
+    }
+    folders = {name: (fresh_path(spark, name), fresh_path(spark, "progress")) for name in sources}
+    for half in (0, 1):
+        for name, rows in sources.items():
+            path, progress = folders[name]
+            rows.where(F.col("id") % 2 == half).write.mode("append").parquet(path)
+            refresh(spark, path, rows.schema, target, progress)
+        compact(spark, target)
+    return spark.table(target).drop(*REFRESH_COLUMNS)
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 1000")
+def refresh_chain_table_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table, its CSV export, and a table that is refreshed from the CSV."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    first = load_table(orders, _target(spark, "upstream"))
+    folder = export_csv(spark.table(first), fresh_path(spark, "chain-csv"))
+    target = refresh(
+        spark, folder, orders.schema, _target(spark, "downstream"), fresh_path(spark, "progress"),
+        sql="SELECT * FROM input_df WHERE o_totalprice > 1000", source_format="csv", header="true",
+    )
+    return spark.table(target).drop(*REFRESH_COLUMNS)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+FROM orders WHERE NOT (o_orderstatus = 'P')
+""")
+def update_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the partitions with changed rows are written, and one that loses all its rows goes."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    target = load_table(orders, _target(spark, "by_status"), partition_by=["o_orderstatus"])
+    update_rows(spark, target, F.col("o_orderstatus") == "F", {"o_totalprice": F.col("o_totalprice") * 2})
+    delete_rows(spark, target, F.col("o_orderstatus") == "P")
+    return spark.table(target)
+
+
+@query("""
+SELECT c_custkey AS id, c_name AS name, coalesce(p_retailprice, c_acctbal) AS balance
+FROM customer LEFT JOIN part ON c_custkey = p_partkey
+UNION ALL
+SELECT p_partkey AS id, NULL AS name, p_retailprice AS balance FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer)
+""")
+def upsert_chosen_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched rows change in one column and keep the others."""
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance")
+    target = load_table(customers, _target(spark, "chosen"))
+    upsert(target, table(spark, sf_dir, "part").selectExpr("p_retailprice AS balance", "p_partkey AS id"), ["id"], update=["balance"])
+    return spark.table(target)

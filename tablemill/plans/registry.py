@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemill.operators.numbering import ROWS_PER_TASK
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,12 +28,3 @@ def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def rows_per_task(df: DataFrame) -> int:
-    """The usual rows per task, or an eighth of a smaller table.
-
-    So a query numbers its rows range by range on a table of any size, and the comparison
-    with SQL on small tables covers what runs on large ones.
-    """
-    return max(1, min(ROWS_PER_TASK, df.count() // 8))

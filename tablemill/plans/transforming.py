@@ -13,11 +13,14 @@ from tablemill.operators.splitting import split_by_position, split_within
 from tablemill.operators.staging import scratch_database
 from tablemill.operators.transform import passthrough, sql_transform
 from tablemill.plans.flows import batch_sql_to_table
-from tablemill.plans.registry import query, rows_per_task, table
+from tablemill.plans.registry import query, table
 from tablemill.sources.keyranges import pk_bounds, with_pk_batches
 
 UPPER_SQL = "SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1 AS adjusted_price FROM input_df"
 
+# Small enough that tables of any size are numbered range by range, as large ones are.
+RANGE_ROWS = 5_000
+
 
 @query("SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1::DOUBLE AS adjusted_price FROM part")
 def sql_transform_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +56,7 @@ def sql_transform_shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
         """,
         table(spark, sf_dir, "events"),
     )
-    return number_rows(shaped, ["ts", "id"], into="row_num", tie_break=[], rows_per_task=rows_per_task(shaped))
+    return number_rows(shaped, ["ts", "id"], into="row_num", tie_break=[], rows_per_task=RANGE_ROWS)
 
 
 @query("""
@@ -166,6 +169,17 @@ def batch_any_sql_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_per_batch(with_pk_batches(orders, "o_orderkey", (hi - lo + 4) // 4), _STATUS_SQL)
 
 
+@query("""
+SELECT o_orderkey // 50 * 50 AS batch_key, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY 1
+""")
+def batch_any_sql_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any SQL on each batch of 50 keys of the first key's multiples, however many there are."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sql_per_batch(
+        with_pk_batches(orders, "o_orderkey", 50, lo=0), "SELECT count(*) AS n, max(o_totalprice) AS top FROM input_df"
+    )
+
+
 @query("""
 WITH placed AS (
   SELECT o_orderkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS batch_no FROM orders
@@ -174,7 +188,7 @@ SELECT o_orderkey, o_orderstatus, batch_no, min(o_orderkey) OVER (PARTITION BY b
 """, name="split_by_position")
 def split_by_row_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return split_by_position(rows, "o_orderkey", 100, rows_per_task=rows_per_task(rows))
+    return split_by_position(rows, "o_orderkey", 100, rows_per_task=RANGE_ROWS)
 
 
 @query("""
@@ -186,7 +200,7 @@ SELECT doc_id, quality, toxic, batch_no, min(doc_id) OVER (PARTITION BY batch_no
 def split_with_key_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 50 rows, however far apart their keys are."""
     labels = table(spark, sf_dir, "labels")
-    return split_by_position(labels, "doc_id", 50, rows_per_task=rows_per_task(labels))
+    return split_by_position(labels, "doc_id", 50, rows_per_task=RANGE_ROWS)
 
 
 @query("""
@@ -198,7 +212,7 @@ SELECT c_nationkey, c_custkey, batch_no, min(c_nationkey) OVER (PARTITION BY bat
 def split_with_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 distinct keys with many rows each: ties go by the second column."""
     rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
-    return split_by_position(rows, "c_nationkey", 40, rows_per_task=rows_per_task(rows), tie_break="c_custkey")
+    return split_by_position(rows, "c_nationkey", 40, rows_per_task=RANGE_ROWS, tie_break="c_custkey")
 
 
 @query(_BATCHED.replace("50", "200") + """
@@ -226,7 +240,7 @@ FROM placed GROUP BY l_returnflag, sub_no
 def split_nested_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs within three groups that each hold a third of the table, keys repeated."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_quantity")
-    runs = split_within(rows, "l_partkey", 1000, "l_returnflag", rows_per_task=rows_per_task(rows))
+    runs = split_within(rows, "l_partkey", 1000, "l_returnflag", rows_per_task=RANGE_ROWS)
     return runs.groupBy("l_returnflag", "sub_no").agg(
         F.count(F.lit(1)).alias("n_rows"), F.first("sub_key").alias("sub_key"), F.max("l_partkey").alias("last_key")
     )

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _lock = threading.Lock()
+_folders: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tablemill", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,6 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
         return fresh
 
 
+def application_dir(spark: SparkSession) -> str:
+    """This application's own folder under the shared one; everything that is staged lies in it."""
+    shared, application = shared_dir(spark), spark.sparkContext.applicationId
+    with _lock:
+        if application not in _folders:
+            _folders[application] = f"{shared}/tablemill-{application}-{uuid.uuid4().hex}"
+        return _folders[application]
+
+
+def drop_application_dir(spark: SparkSession) -> None:
+    """Remove the application's folder; a new one is made when it is next needed."""
+    with _lock:
+        folder = _folders.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """An unused path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """An unused path in the application's folder."""
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"

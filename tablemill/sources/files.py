@@ -52,7 +52,7 @@ def extract_csv(
     path: str,
     schema: T.StructType | str | None = None,
     *,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Read CSV with a header line in UTF-8.
 
@@ -61,9 +61,13 @@ def extract_csv(
     default, a value that does not parse as its declared type fails the query rather than
     turning into NULL.  Without a schema the types are inferred from all values.
 
-    Quoted line breaks need ``multiline``, with which one file is one task.  Set it to
-    False for large files known to hold none, so that Spark can split them.
+    Quoted line breaks need ``multiline``, with which one file is one task; other files are split.
+    By default the files are looked through first, line by line in parallel: a line break inside
+    quotes leaves a line with an odd number of quotes.  Give True or False to save that pass.
     """
+    if multiline is None:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        multiline = not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
     # enforceSchema off: files whose headers differ are refused instead of read by position
     text = spark.read.options(
         header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8", enforceSchema=False

@@ -2,37 +2,73 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tablemill.functions.values import for_loading
-from tablemill.operators.tables import TABLE_FORMAT
+from tablemill.functions.values import column_named, for_loading
+from tablemill.operators.tables import TABLE_FORMAT, replace_content
 from tablemill.operators.transform import sql_transform
 
-REFRESH_COLUMN = "refresh_batch"
+REFRESH_STREAM = "refresh_stream"
+REFRESH_BATCH = "refresh_batch"
+REFRESH_COLUMNS = [REFRESH_STREAM, REFRESH_BATCH]
+# The number of the partition that compaction folds a stream's finished batches into.
+FOLDED = -1
 
 
-def _write_batch(rows: DataFrame, target: str, number: int) -> None:
-    """Write micro-batch ``number`` as its own partition of the target.
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, made once and kept in its checkpoint folder."""
+    path = f"{checkpoint.rstrip('/')}/refresh_stream"
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("ignore").text(path)
+    return spark.read.text(path).first()[0]
+
+
+def _check_target(spark: SparkSession, target: str) -> None:
+    if not spark.catalog.tableExists(target):
+        return
+    parts = [column.name for column in spark.catalog.listColumns(target) if column.isPartition]
+    if parts != REFRESH_COLUMNS:
+        raise ValueError(
+            f"{target} is not a refresh target: it would have to be partitioned by {REFRESH_COLUMNS}, which refresh "
+            "does when it creates a table; load into another table or refresh into a new one"
+        )
+
+
+def _write_batch(rows: DataFrame, target: str, stream: str, number: int) -> None:
+    """Write micro-batch ``number`` of a stream as its own partition of the target.
 
     A batch that runs again after a failure overwrites that partition, so no row is
-    doubled or lost.
+    doubled or lost, and no other stream has it.
     """
     spark = rows.sparkSession
-    tagged = for_loading(rows).withColumn(REFRESH_COLUMN, F.lit(number).cast("bigint"))
+    loaded = for_loading(rows)
     if not spark.catalog.tableExists(target):
-        empty = tagged.where(F.lit(False))
-        empty.write.format(TABLE_FORMAT).partitionBy(REFRESH_COLUMN).saveAsTable(target)
-    columns = ", ".join("`" + name.replace("`", "``") + "`" for name in rows.columns)
-    tagged.createOrReplaceTempView("refresh_rows")
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {target} PARTITION ({REFRESH_COLUMN} = {int(number)}) BY NAME "
-            f"SELECT {columns} FROM refresh_rows"
+        empty = loaded.where(F.lit(False)).select(
+            "*", F.lit(stream).alias(REFRESH_STREAM), F.lit(number).cast("bigint").alias(REFRESH_BATCH)
         )
-    finally:
-        spark.catalog.dropTempView("refresh_rows")
+        empty.write.format(TABLE_FORMAT).partitionBy(*REFRESH_COLUMNS).saveAsTable(target)
+    columns = ", ".join("`" + name.replace("`", "``") + "`" for name in rows.columns)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION ({REFRESH_STREAM} = '{stream}', {REFRESH_BATCH} = {int(number)}) BY NAME "
+        f"SELECT {columns} FROM {{rows}}",
+        rows=loaded,
+    )
+
+
+def compact(spark: SparkSession, target: str) -> str:
+    """Fold the finished batches of each stream into one partition, for fewer files and partitions.
+
+    The latest batch of a stream stays by itself, since only that one can run again.  The rows are
+    staged and the table is overwritten from the stage; no stream may run meanwhile.
+    """
+    rows = spark.table(target)
+    latest = rows.groupBy(REFRESH_STREAM).agg(F.max(REFRESH_BATCH).alias("_latest"))
+    folded = rows.join(F.broadcast(latest), REFRESH_STREAM).withColumn(
+        REFRESH_BATCH, F.when(F.col(REFRESH_BATCH) == F.col("_latest"), F.col(REFRESH_BATCH)).otherwise(F.lit(FOLDED).cast("bigint"))
+    )
+    return replace_content(folded.select(*map(column_named, rows.columns)), target)
 
 
 def refresh(
@@ -51,18 +87,22 @@ def refresh(
     """Process the files of ``source`` not seen before and end; run it again for later ones.
 
     Each micro-batch goes through ``sql`` (a SELECT over ``input_df``) or ``transform`` and is
-    appended to ``target``, which has an extra partition column ``refresh_batch``.  What
-    was processed is kept in ``checkpoint``, a folder that all executors share.
+    appended to ``target``, which has two extra partition columns, ``refresh_stream`` and
+    ``refresh_batch``.  What was processed is kept in ``checkpoint``, a folder that all executors
+    share, and so is the stream's id: several sources, each with its own checkpoint, may feed one target,
+    and a new checkpoint appends everything again.  A target with other partitions is refused.
     """
     if sql and transform:
         raise ValueError("give sql or transform, not both")
+    _check_target(spark, target)
+    stream = _stream_id(spark, checkpoint)
 
     def one_batch(rows: DataFrame, number: int) -> None:
         if sql:
             rows = sql_transform(sql, rows)
         elif transform:
             rows = transform(rows)
-        _write_batch(rows, target, number)
+        _write_batch(rows, target, stream, number)
 
     reader = spark.readStream.format(source_format).schema(schema).options(**options)
     if files_per_batch:

@@ -14,7 +14,7 @@ from tablemill.operators.runlog import (
     stale_tables,
 )
 from tablemill.operators.tables import load_table
-from tablemill.streaming.refresh import REFRESH_COLUMN, _write_batch, refresh
+from tablemill.streaming.refresh import REFRESH_BATCH, REFRESH_COLUMNS, _write_batch, compact, refresh
 
 DAY = [dt.datetime(2026, 1, day) for day in range(1, 10)]
 
@@ -100,7 +100,7 @@ def test_refresh_takes_new_files_only(spark, target, tmp_path):
     refresh(spark, source, spark.range(1).schema, target, progress, sql="SELECT id, id * 2 AS twice FROM input_df")
     found = spark.table(target)
     assert found.count() == 100 and found.where("twice <> id * 2").count() == 0
-    assert found.select(REFRESH_COLUMN).distinct().count() == 2
+    assert found.select(REFRESH_BATCH).distinct().count() == 2
 
 
 def test_sql_sees_one_micro_batch(spark, target, tmp_path):
@@ -116,7 +116,7 @@ def test_sql_sees_one_micro_batch(spark, target, tmp_path):
 
 def test_a_batch_that_runs_again_doubles_nothing(spark, target):
     for number in (0, 1, 1, 0):
-        _write_batch(spark.range(number * 10, number * 10 + 10), target, number)
+        _write_batch(spark.range(number * 10, number * 10 + 10), target, "s", number)
     assert sorted(r.id for r in spark.table(target).collect()) == list(range(20))
 
 
@@ -136,4 +136,37 @@ def test_table_to_csv_to_table_by_refresh(spark, target, tmp_path):
         source_format="csv", header="true",
     )
     require_min_rows({"csv-fed": spark.table(f"{target}_down")}, 2)
-    assert spark.table(f"{target}_down").drop(REFRESH_COLUMN).exceptAll(spark.table(first)).count() == 0
+    assert spark.table(f"{target}_down").drop(*REFRESH_COLUMNS).exceptAll(spark.table(first)).count() == 0
+
+
+def test_streams_do_not_overwrite_each_other(spark, target, tmp_path):
+    schema = spark.range(1).schema
+    for name, start in (("a", 0), ("b", 100)):
+        spark.range(start, start + 10).write.parquet(str(tmp_path / name))
+        refresh(spark, str(tmp_path / name), schema, target, str(tmp_path / f"progress-{name}"))
+    assert spark.table(target).count() == 20
+    # new progress on an old target appends
+    refresh(spark, str(tmp_path / "a"), schema, target, str(tmp_path / "progress-c"))
+    assert spark.table(target).count() == 30
+    spark.range(200, 210).write.mode("append").parquet(str(tmp_path / "a"))
+    refresh(spark, str(tmp_path / "a"), schema, target, str(tmp_path / "progress-a"))
+    before = sorted(r.id for r in spark.table(target).collect())
+    compact(spark, target)
+    assert sorted(r.id for r in spark.table(target).collect()) == before and len(before) == 40
+    spark.range(300, 310).write.mode("append").parquet(str(tmp_path / "a"))
+    refresh(spark, str(tmp_path / "a"), schema, target, str(tmp_path / "progress-a"))
+    assert spark.table(target).count() == 50
+    compact(spark, target)
+    assert spark.table(target).count() == 50
+
+
+def test_refresh_refuses_other_tables(spark, target, tmp_path):
+    load_table(spark.range(3), target)
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="not a refresh target"):
+        refresh(spark, str(tmp_path / "in"), spark.range(1).schema, target, str(tmp_path / "progress"))
+
+
+def test_a_missing_attempt_is_the_first(spark):
+    found = retry_plan(spark.createDataFrame([("r", "oom", None)], "run_id string, failure_class string, attempt int")).first()
+    assert (found.retry, found.next_attempt, found.delay_seconds) == (True, 1, 60.0)

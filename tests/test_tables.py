@@ -109,10 +109,42 @@ def test_statements_without_target(spark, target):
 
 
 def test_temp_names(spark):
-    first, second = temp_name("t"), temp_name("t")
-    assert first != second
-    parts = first.split("_")
-    assert parts[:2] == ["z", "temp"] and len(parts[2]) == 17 and parts[2].isdigit() and len(parts[3]) == 32 and parts[4] == "t"
+    assert temp_name("t") != temp_name("t") and temp_name("t").startswith("t_")
+
+
+def test_rewrites_keep_the_layout(spark, target):
+    spark.sql(f"""CREATE TABLE {target} (id BIGINT COMMENT 'the key', v DOUBLE, at TIMESTAMP_NTZ, d STRING) USING parquet
+        PARTITIONED BY (d) COMMENT 'about it' TBLPROPERTIES ('mine' = 'yes')""")
+    spark.sql(f"INSERT INTO {target} VALUES (1, 1, NULL, 'a'), (2, 2, NULL, 'b'), (3, 3, NULL, NULL), (4, 4, NULL, 'c')")
+    untouched = {f for f in spark.table(target).where("d = 'a'").inputFiles()}
+    update_rows(spark, target, F.col("id") >= 2, {"v": F.lit(float("nan")), "at": F.expr("timestamp_ntz'2026-01-01 00:00:00.123456'")})
+    delete_rows(spark, target, F.col("d").isNull() | (F.col("d") == "c"))
+    assert {f for f in spark.table(target).where("d = 'a'").inputFiles()} == untouched
+    upsert(target, spark.createDataFrame([(1, 9.0, "a"), (7, 7.0, "z")], "id long, v double, d string"), ["id"])
+    assert sorted((r.id, r.v, str(r["at"]), r.d) for r in spark.table(target).collect()) == [
+        (1, 9.0, "None", "a"), (2, None, "2026-01-01 00:00:00.123000", "b"), (7, 7.0, "None", "z")]
+    # a change that moves rows to another partition writes the whole table
+    update_rows(spark, target, F.col("id") == 2, {"d": F.lit("a")})
+    assert sorted((r.id, r.d) for r in spark.table(target).collect()) == [(1, "a"), (2, "a"), (7, "z")]
+    about = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+    assert about["id"][1] == "the key" and about["Comment"][0] == "about it" and "# Partition Information" in about
+    assert spark.sql(f"SHOW TBLPROPERTIES {target} ('mine')").first()["value"] == "yes"
+
+
+def test_upsert_of_chosen_columns(spark, target):
+    load_table(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "id long, name string, v double"), target)
+    source = spark.createDataFrame([(2, 9.0), (3, float("nan")), (None, 4.0)], "id long, v double")
+    upsert(target, source, ["id"], update=["v"])
+    assert sorted(map(tuple, spark.table(target).collect()), key=str) == [(1, "a", 1.0), (2, "b", 9.0), (3, None, None), (None, None, 4.0)]
+    with pytest.raises(ValueError, match="no such columns"):
+        upsert(target, source.withColumn("other", F.lit(1)), ["id"])
+
+
+def test_a_lost_name_is_found_again(spark, target):
+    load_table(spark.range(3), target)
+    spark.sql(f"ALTER TABLE {target} RENAME TO {target}_old_0123")
+    load_table(spark.range(2), target)
+    assert spark.table(target).count() == 5
 
 
 def test_stages_are_snapshots_and_go(spark, target):

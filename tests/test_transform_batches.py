@@ -151,7 +151,7 @@ def test_sql_per_batch(spark):
     found = sql_per_batch(df, "SELECT row_number() OVER (ORDER BY v) AS rn, v FROM input_df")
     assert sorted((r.rn, r.v, r.batch_key or 0) for r in found.collect()) == [(1, 5, 1), (1, 7, 0), (2, 6, 1)]
     plan = plan_of(found)
-    assert "PartitionFilters: [(batch_key" in plan
+    assert "PartitionFilters: [isnotnull(_number" in plan
     empty = sql_per_batch(df.where("false"), "SELECT v FROM input_df")
     assert empty.columns == ["v", "batch_key"] and empty.count() == 0
 
@@ -166,11 +166,25 @@ def test_batch_keys_of_other_types(spark, kind):
     assert found.dtypes[1][1] == kind and found.exceptAll(plain).count() == 0 and found.count() == 3
 
 
-def test_too_many_batches_are_refused(spark):
-    with pytest.raises(ValueError, match="more than 3"):
-        sql_per_batch(tagged(spark), "SELECT * FROM input_df", max_batches=3)
-    with pytest.raises(ValueError, match="more than 3"):
-        sql_per_range(spark.range(100), "SELECT * FROM input_df", "id", 10, max_batches=3)
+def test_any_number_of_batches(spark, monkeypatch):
+    monkeypatch.setattr(batches, "PLANS_AT_ONCE", 3)
+    for n in (3, 4, 7):
+        df = spark.range(n * 5).selectExpr("id div 5 AS batch_key", "id")
+        found = sql_per_batch(df, "SELECT count(*) AS n FROM input_df")
+        assert sorted(map(tuple, found.collect())) == [(5, key) for key in range(n)]
+        found = sql_per_range(df.select("id"), "SELECT count(*) AS n FROM input_df", "id", 5)
+        assert sorted(map(tuple, found.collect())) == [(5, key * 5) for key in range(n)]
+
+
+def test_batch_keys_that_are_easily_confused(spark):
+    df = spark.createDataFrame([("", 1), (None, 2), ("", 3), ("null", 4)], "batch_key string, v long")
+    found = sql_per_batch(df, "SELECT sum(v) AS s FROM input_df")
+    assert sorted(map(tuple, found.collect()), key=str) == [(2, None), (4, ""), (4, "null")]
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (float("nan"), 3), (float("nan"), 4), (None, 5)], "batch_key double, v long")
+    found = sql_per_batch(df, "SELECT sum(v) AS s FROM input_df")
+    assert sorted((r.s, str(r.batch_key)) for r in found.collect()) == [(3, "0.0"), (5, "None"), (7, "nan")]
+    df = spark.createDataFrame([(bytearray(b"a"), 1), (bytearray(b""), 2)], "batch_key binary, v long")
+    assert sorted((r.s, bytes(r.batch_key)) for r in sql_per_batch(df, "SELECT sum(v) AS s FROM input_df").collect()) == [(1, b"a"), (2, b"")]
 
 
 def test_fan_in(spark):

@@ -102,16 +102,25 @@ def test_export_replaces_and_splits(spark, tmp_path):
     assert extract_csv(spark, path, "id long").agg(F.sum("id")).first()[0] == 4950
 
 
-def test_single_file_is_for_small_results(spark, tmp_path, monkeypatch):
-    path = export_csv(spark.range(50), str(tmp_path / "one"), single_file=True)
+def test_single_file(spark, tmp_path):
+    path = export_csv(spark.range(50), str(tmp_path / "one"), single_file=True, rows_per_file=20)
     assert len(list(Path(path).glob("part-*.csv"))) == 1
-    monkeypatch.setattr(csv_export, "SINGLE_FILE_ROWS", 49)
-    with pytest.raises(ValueError):
-        export_csv(spark.range(50), path, single_file=True)
     with pytest.raises(ValueError):
         export_csv(None, path)
 
 
+def test_plain_files_are_split_and_quoted_line_breaks_are_not(spark, tmp_path):
+    plain = export_csv(spark.range(200_000).selectExpr("id", "concat('some text, ', id) AS t"), str(tmp_path / "plain"), single_file=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert extract_csv(spark, plain, "id long, t string").rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    broken = export_csv(spark.createDataFrame([(1, 'a\nb "c"'), (2, "d\re")], "id long, t string"), str(tmp_path / "broken"))
+    assert sorted((r.id, r.t) for r in extract_csv(spark, broken, "id long, t string").collect()) == [(1, 'a\nb "c"'), (2, "d\re")]
+
+
 def test_nested_and_binary_values_round_trip(spark, tmp_path):
     df = spark.createDataFrame([([1.5, 2.0], {"a": 1}, bytearray(b"\x00\xff"))], "a array<double>, m map<string,int>, b binary")
     back = extract_csv(spark, export_csv(df, str(tmp_path / "out")), df.schema)
