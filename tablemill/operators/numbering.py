@@ -174,6 +174,10 @@ def cut_into_ranges(
 ) -> Ranges | None:
     """Ranges of about ``rows_per_task`` rows by group and key; None if no group is larger."""
     sizes = group_sizes(df, within)
+    if sizes.largest > rows_per_task and not _reads_files_alone(df):
+        # counts, split points, offsets and places come from several evaluations, which must agree
+        df = df.sparkSession.table(store(df, "settled"))
+        sizes = group_sizes(df, within)
     keyed, keys = df, [*within, *order_by]
     if sizes.largest <= rows_per_task or not all(_splittable(kind) for kind in _kinds(df, keys)):
         return None
@@ -207,6 +211,18 @@ def cut_into_ranges(
     return Ranges(ranged, within, order, arrays, len(points) + 1)
 
 
+def _reads_files_alone(df: DataFrame) -> bool:
+    """Whether the frame is files with columns and rows chosen from them, the same at each evaluation."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if not plan.deterministic():
+            return False
+        steps = [line.lstrip(" +-:").split(" ")[0] for line in plan.treeString().splitlines()]
+    except AttributeError:
+        return False
+    return {step.split("[")[0] for step in steps if step} <= {"Project", "Filter", "Relation"}
+
+
 def _running(window: Window, into: str, running: Mapping[str, Column]) -> list[Column]:
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     row_no = F.row_number().over(window).cast("bigint").alias(into)

@@ -44,10 +44,13 @@ def extract_from_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_sql(spark, f"SELECT c_custkey, c_name, c_mktsegment FROM {name}", namespace=database)
 
 
-@query("SELECT vec_id, label, len(embedding)::INTEGER AS width FROM embeddings")
+@query("""
+SELECT vec_id, label, i AS place, embedding[i]::DOUBLE AS item FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(i)
+""")
 def extract_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = extract_parquet(spark, f"{sf_dir}/embeddings.parquet")
-    return vectors.select("vec_id", "label", F.size("embedding").alias("width"))
+    items = vectors.select("vec_id", "label", F.posexplode("embedding").alias("place", "item"))
+    return items.select("vec_id", "label", (F.col("place") + 1).cast("bigint").alias("place"), F.col("item").cast("double").alias("item"))
 
 
 @query("SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders", name="pk_bounds")

@@ -97,13 +97,14 @@ def load_nan_as_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT vec_id, label::BIGINT AS label, list_sum(embedding::DOUBLE[]) > 0 AS positive FROM embeddings
+SELECT vec_id, label::BIGINT AS label, i AS place, embedding[i]::DOUBLE AS item
+FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(i)
 """)
 def load_nested_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays are stored as arrays."""
     stored = spark.table(load_table(table(spark, sf_dir, "embeddings"), _target(spark, "nested")))
-    total = F.aggregate("embedding", F.lit(0.0), lambda sum_so_far, x: sum_so_far + x.cast("double"))
-    return stored.select("vec_id", "label", (total > 0).alias("positive"))
+    items = stored.select("vec_id", "label", F.posexplode("embedding").alias("place", "item"))
+    return items.select("vec_id", "label", (F.col("place") + 1).cast("bigint").alias("place"), F.col("item").cast("double").alias("item"))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")

@@ -47,7 +47,7 @@ FROM orders
 """
 TOP_K = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"
 SET_INTERSECT = "SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier"
-SET_EXCEPT = "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders"
+SET_EXCEPT = "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 200000"
 SET_UNION = "SELECT c_nationkey AS nation FROM customer UNION SELECT n_nationkey FROM nation"
 THREE_JOINS = """
 SELECT r_name, n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent

@@ -225,3 +225,17 @@ def test_nested_split(spark):
         (0, 0, 0, 15), (0, 1, 15, 15), (0, 2, 30, 10), (40, 0, 40, 15), (40, 1, 55, 15), (40, 2, 70, 10),
         (80, 0, 80, 15), (80, 1, 95, 5),
     ]
+
+
+def test_unstable_input_is_numbered_once(spark):
+    df = spark.range(20_000).select((F.rand() * 1000).cast("int").alias("k"))
+    found = number_rows(df, "k", rows_per_task=1000)
+    assert sorted(r.row_no for r in found.select("row_no").collect()) == list(range(1, 20_001))
+
+
+def test_files_need_no_copy(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    files = spark.read.parquet(str(tmp_path / "t"))
+    assert numbering._reads_files_alone(files.where("id > 3").select((F.col("id") * 2).alias("k")))
+    assert not numbering._reads_files_alone(files.withColumn("r", F.rand()))
+    assert not numbering._reads_files_alone(files.groupBy("id").count())
