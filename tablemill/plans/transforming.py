@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablemill.operators.batches import batch_totals, sql_per_batch, sql_per_range, top_per_batch
 from tablemill.operators.combine import conform, fan_in
 from tablemill.operators.numbering import number_rows
+from tablemill.operators.skew import look_up
 from tablemill.operators.splitting import split_by_position, split_within
 from tablemill.operators.staging import scratch_database
 from tablemill.operators.transform import passthrough, sql_transform
@@ -20,6 +21,8 @@ UPPER_SQL = "SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1 AS adj
 
 # Small enough that tables of any size are numbered range by range, as large ones are.
 RANGE_ROWS = 5_000
+# Fewer rows than the large groups of the small tables have.
+HOT_ROWS = 1_000
 
 
 @query("SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1::DOUBLE AS adjusted_price FROM part")
@@ -262,3 +265,39 @@ SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, NULL::DATE AS sinc
 """)
 def conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "supplier"), "s_suppkey BIGINT, s_name STRING, s_nationkey BIGINT, since DATE")
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, row_number() OVER w AS place,
+       (sum(o_totalprice::DECIMAL(18,2)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::DOUBLE AS so_far
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderkey)
+""")
+def running_sums_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and running sums in a few large groups, each cut into ranges."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    numbered = number_rows(
+        orders, "o_orderkey", "o_orderstatus", into="place", rows_per_task=HOT_ROWS,
+        running={"so_far": F.col("o_totalprice").cast("decimal(18,2)")},
+    )
+    return numbered.select("o_orderkey", "o_orderstatus", "place", F.col("so_far").cast("double").alias("so_far"))
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) <= 1500
+""")
+def batch_top_many_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More first rows per batch than Spark limits before the shuffle by itself."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return top_per_batch(orders, "o_orderstatus", [F.desc("o_totalprice"), F.asc("o_orderkey")], 1500)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_returnflag, n FROM lineitem
+JOIN (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag) USING (l_returnflag)
+""")
+def look_up_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A join to one row per key where each key has a large share of the rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    counts = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    return look_up(lines, counts, ["l_returnflag"], rows_per_task=HOT_ROWS)

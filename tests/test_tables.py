@@ -246,3 +246,19 @@ def test_upsert_by_two_keys_fills_missing_columns(spark, target, rows):
     load_table(spark.createDataFrame([(1, 1, "a", 5), (1, 2, "b", 6)], "i int, j int, s string, x int"), target)
     upsert(target, spark.createDataFrame([(1, 2, "B"), (2, 2, "new")], "i int, j int, s string"), ["i", "j"])
     assert rows(spark.table(target)) == [(1, 1, "a", 5), (1, 2, "B", None), (2, 2, "new", None)]
+
+
+def test_nothing_is_left_behind(spark):
+    from tablemill import session
+    from tablemill.operators.staging import drop_scratch
+    from tablemill.plans.registry import QUERIES
+
+    for name in ("csv_round_trip", "incremental_refresh", "batch_any_sql_by_tag"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    folder = session.application_dir(spark)
+    assert Path(folder.removeprefix("file://").removeprefix("file:")).exists()
+    drop_scratch(spark)
+    assert not Path(folder.removeprefix("file://").removeprefix("file:")).exists()
+    assert not spark.catalog.databaseExists(f"tablemill_{spark.sparkContext.applicationId.replace('-', '_')}")
+    # and what comes later starts afresh
+    assert spark.table(store(spark.range(3), "later")).count() == 3
