@@ -68,20 +68,26 @@ def is_other(name: str, rest: str, in_main: bool) -> bool:
     return bool(said & OTHER_NAMES) or (not in_main and bool(said & HEAD_NAMES)) or bool(HIDDEN.search(rest))
 
 
-def events(page: str) -> Iterator[Event]:
-    """("text", decoded), ("tag", name), ("other", name) for a whole element without main text, ("note", comment).
+def events(page: str) -> list[Event]:
+    """("tag", name), ("other", name) for a whole element without main text, ("note", comment), and texts, decoded.
 
-    Texts are tagged by where they stand: ("article", text) inside an article or main element, ("outside",
-    text) elsewhere on a page that has one, ("link", text) in a link and ("plain", text) on other pages.
+    Texts are told apart by where they stand: ("article", text) inside an article or main element, ("outside",
+    text) elsewhere on a page that has text in one, ("link", text) in a link and ("plain", text) on other pages.
     """
-    has_main = any(m["name"] and not m["end"] and m["name"].lower() in MAIN_NAMES for m in TAG.finditer(page))
+    found = list(_scan(page))
+    if any(kind == "article" and not value.isspace() for kind, value in found):
+        found = [("outside", value) if kind in ("link", "plain") else (kind, value) for kind, value in found]
+    return found
+
+
+def _scan(page: str) -> Iterator[Event]:
     stack: list[str] = []
     at, other, depth_main, links = 0, 0, 0, 0
     while at < len(page):
         found = TAG.search(page, at)
         until = found.start() if found else len(page)
         if until > at and not other:
-            where = "article" if depth_main else "outside" if has_main else "link" if links else "plain"
+            where = "article" if depth_main else "link" if links else "plain"
             yield where, html.unescape(page[at:until])
         if not found:
             return
