@@ -4,11 +4,12 @@ Documents with the same set of shingles form a class, known by a hash of the set
 stands for it.  Signatures of the classes are cut into bands, and classes that agree in a band meet in a
 bucket.  A bucket never gives all its pairs: its first member is compared with all others, and links
 join members to components.  Pairs inside one component cannot change the result, so what is left to compare
-is pairs across components of a bucket; most buckets have none.
+is pairs across components of a bucket; most buckets have none, and in the others signatures are compared first.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +24,9 @@ from tablemill.llm.staged import stage
 
 # At a similarity of 0.8 a pair agrees in none of 40 bands of 5 with a chance of 1.3e-7.
 BANDS, ROWS = 40, 5
+# Members of a bucket that one task compares at a time.
+BLOCK = 5_000
+PART_BYTES = 16 << 20
 _draw = np.random.default_rng(20240611)
 FACTORS = _draw.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SUMMANDS = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -53,16 +57,36 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.searchsorted(row[new], np.arange(len(counts) + 1))
 
 
+def minima_of(hashes: np.ndarray, begins: np.ndarray, times: int) -> np.ndarray:
+    """The smallest hash of each set under each of the first universal hash functions; no set is empty."""
+    minima = np.zeros((times, len(begins)), np.uint64)
+    if len(begins):
+        for at in range(times):
+            minima[at] = np.minimum.reduceat(hashes * FACTORS[at] + SUMMANDS[at], begins)
+    return minima
+
+
+def short_sets(width: int):
+    """A task that gives each document's set with 32 bits a shingle; few shingles of a set fall together."""
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 19):
+            hashes, bounds = shingle_sets(part.column("text"), width)
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            sets = [np.unique(short[start:end]).tobytes() for start, end in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_pydict(
+                {**{name: part.column(name) for name in ("set_key", "bytes_of")}, "short": pa.array(sets, pa.binary())}
+            )
+
+    return rows
+
+
 def sign(width: int):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             hashes, bounds = shingle_sets(part.column("text"), width)
             sizes = np.diff(bounds)
             full = np.nonzero(sizes)[0]
-            minima = np.zeros((BANDS * ROWS, len(full)), np.uint64)
-            for at, (factor, summand) in enumerate(zip(FACTORS, SUMMANDS)):
-                if len(full):
-                    minima[at] = np.minimum.reduceat(hashes * factor + summand, bounds[full])
+            minima = minima_of(hashes, bounds[full], BANDS * ROWS)
             bands = np.zeros((len(full), BANDS), np.uint64)
             for band in range(BANDS):
                 key = np.full(len(full), band + 1, np.uint64)
@@ -90,13 +114,18 @@ def sign(width: int):
     return rows
 
 
+def least_equal(percent: int, times: int) -> int:
+    """Equal minima of so many that a pair of that similarity has, but for a chance of about 1e-7."""
+    share = percent / 100
+    return math.floor(share * times - 5.3 * math.sqrt(share * (1 - share) * times))
+
+
 def verify(width: int, percent: int):
     """Links among pairs: first by the share of equal minima, then by the sets themselves."""
-    # equal bytes of minima fall short of the similarity by more than 0.2 with a chance below 1e-9
-    least = int((percent / 100 - 0.2) * BANDS * ROWS)
+    least = least_equal(percent, BANDS * ROWS)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text_b", 1 << 20):
+        for part in slices(batches, "text_b", 1 << 19):
             column = {name: part.column(name) for name in part.schema.names}
             signs = [
                 np.frombuffer(b"".join(column[name].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for name in ("bytes_a", "bytes_b")
@@ -116,6 +145,58 @@ def verify(width: int, percent: int):
     return rows
 
 
+def across_components(percent: int):
+    """A task that gives the pairs of buckets' members in different components that are similar enough.
+
+    Only members outside the component of the bucket's first one look for partners.  Signatures are
+    compared first, then short sets, with the shingles that fall together there counted as shared.
+    """
+    least = least_equal(percent, BANDS * ROWS)
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        band, block, own, d, size, component, outside = (
+            table.column(name).to_numpy() for name in ("band", "block", "own", "d", "size", "component", "outside")
+        )
+        signs = np.frombuffer(b"".join(table.column("bytes_of").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        sets = [np.frombuffer(one, np.uint32) for one in table.column("short").to_pylist()]
+        order = np.lexsort((block, band))
+        new = np.append(True, (band[order[1:]] != band[order[:-1]]) | (block[order[1:]] != block[order[:-1]]))
+        left, right = [], []
+        for group in np.split(order, np.nonzero(new)[0][1:]):
+            here = group[own[group] == block[group]]
+            for one in group[outside[group]]:
+                fits = (component[here] != component[one]) & (
+                    100 * np.minimum(size[here], size[one]) >= percent * np.maximum(size[here], size[one])
+                )
+                # of two outsiders the one with the smaller id looks for the other
+                fits &= ~outside[here] | (d[here] > d[one])
+                found = here[fits]
+                found = found[(signs[found] == signs[one]).sum(axis=1) >= least]
+                if not len(found):
+                    continue
+                # all partners at once: how many of their shingles does this set hold
+                lengths = np.array([len(sets[other]) for other in found])
+                held_by = np.isin(np.concatenate([sets[other] for other in found]), sets[one])
+                shared = np.add.reduceat(held_by, np.cumsum(lengths) - lengths, dtype=np.int64)
+                shared += size[found] - lengths + size[one] - len(sets[one])
+                found = found[100 * shared >= percent * (size[found] + size[one] - shared)]
+                left += [one] * len(found)
+                right += found.tolist()
+        first, second = pa.array(left, pa.int64()), pa.array(right, pa.int64())
+        yield from pa.table(
+            {
+                "key_a": table.column("set_key").take(first), "d_a": table.column("d").take(first),
+                "set_key": table.column("set_key").take(second), "d": table.column("d").take(second),
+            }
+        ).to_batches()
+
+    return rows
+
+
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, d, h, n_shingles, component_id and kept of every row of ``df`` (doc_id, text).
 
@@ -125,7 +206,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     NULL and empty texts have no set and are linked with nothing.  Rows that agree in doc_id and are the first
     of their sets count as one document.  An empty frame gives no rows; other columns are ignored.
     """
-    rows = keyed(df)
+    spark, rows = df.sparkSession, keyed(df)
     signed = stage(rows.mapInArrow(sign(width), SIGNED), "signed")
     classes = stage(
         signed.where("n_shingles > 0").groupBy("set_key").agg(
@@ -166,33 +247,35 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
 
     links = compare(members.select("key_a", "d_a", "set_key", "d"))
     reached = stage(components(links), "reached")
-    # members with their components; those outside the first member's component are left to compare
+    # members with their components; in a bucket with several, those outside its first member's are left to compare
     apart = (
         members.join(reached.withColumnRenamed("node", "d"), "d", "left")
         .withColumn("component", F.coalesce("component", "d"))
         .join(reached.select(F.col("node").alias("d_a"), F.col("component").alias("component_a")), "d_a", "left")
-        .withColumn("component_a", F.coalesce("component_a", "d_a"))
+        .withColumn("outside", F.col("component") != F.coalesce("component_a", "d_a"))
+        .select("band", "set_key", "d", "size", "component", "outside")
     )
-    outside = stage(apart.where("component <> component_a"), "outside")
-    open_bands = outside.select("band").distinct()
-    inside = stage(apart.join(open_bands, "band").select("band", "set_key", "d", "size", "component"), "open-members")
-    one = outside.select(
-        "band", F.col("set_key").alias("key_a"), F.col("d").alias("d_a"), F.col("size").alias("size_a"), F.col("component").alias("of_a")
+    apart = stage(apart, "members-apart")
+    open_bands = stage(
+        apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("outside").alias("open")).where("open")
+        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        "open-bands",
     )
-    pairs = one.join(inside, "band").where(
-        f"of_a <> component AND 100 * least(size_a, size) >= {percent} * greatest(size_a, size)"
+    # a large bucket is dealt out in blocks; those outside go to every block and meet all its members there
+    still = stage(apart.join(open_bands, "band"), "still-apart")
+    sets = content.join(still.select("set_key").distinct(), "set_key", "left_semi")
+    sets = stage(sets.mapInArrow(short_sets(width), "set_key binary, bytes_of binary, short binary"), "short-sets")
+    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
+    blocks = F.when(F.col("outside"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    dealt = still.select("band", "set_key", "d", "size", "component", "outside", own.alias("own"), F.explode(blocks).alias("block"))
+    n_bytes = dealt.agg(F.sum(F.col("size") * 4 + 300)).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(n_bytes / PART_BYTES))
+    pairs = dealt.join(sets, "set_key").repartition(parts, "band", "block").mapInArrow(
+        across_components(percent), "key_a binary, d_a long, set_key binary, d long"
     )
-    # a pair with the bucket's first member has been compared; of two outsiders one order is enough
-    pairs = pairs.select(
-        *[F.when(F.col("d_a") <= F.col("d"), F.struct("key_a", "d_a", "set_key", "d")).otherwise(
-            F.struct(F.col("set_key").alias("key_a"), F.col("d").alias("d_a"), F.col("key_a").alias("set_key"), F.col("d_a").alias("d"))
-        ).alias("pair")]
-    ).select("pair.*").distinct()
-    known = members.select("key_a", "set_key")
-    more = compare(pairs.join(known, ["key_a", "set_key"], "left_anti"))
+    more = compare(pairs)
     if not more.isEmpty():
-        links = links.unionByName(more)
-        reached = stage(components(links), "reached")
+        reached = stage(components(links.unionByName(more)), "reached")
     of_class = stage(
         classes.join(reached.withColumnRenamed("node", "d"), "d", "left").select("set_key", F.coalesce("component", "d").alias("component")),
         "class-components",
