@@ -76,7 +76,8 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     wanted = stage(
         hashed.join(shared, "key").groupBy("_d", "_h").agg(F.collect_set("no").alias("wanted")), "wanted-chunks"
     )
-    read = chunked.join(wanted, ["_d", "_h"])
+    # the hint keeps one way of joining at every size
+    read = chunked.join(wanted.hint("merge"), ["_d", "_h"])
     chosen = F.filter("_chunks", lambda chunk: F.array_contains("wanted", chunk["no"]))
     texts = stage(
         read.select(
@@ -105,7 +106,7 @@ def remove_repeated_chunks(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), F.hash("text").alias("_h"),
     )
     gone = repeated_chunks(rows).groupBy("_d", "_h").agg(F.collect_set("no").alias("_gone"))
-    met = with_chunks(rows.join(gone, ["_d", "_h"], "left"))
+    met = with_chunks(rows.join(gone.hint("merge"), ["_d", "_h"], "left"))
     left = F.when(F.col("_gone").isNull(), F.col("_chunks")).otherwise(
         F.filter("_chunks", lambda chunk: ~F.array_contains("_gone", chunk["no"]))
     )
