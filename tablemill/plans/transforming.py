@@ -19,10 +19,12 @@ from tablemill.sources.keyranges import pk_bounds, with_pk_batches
 
 UPPER_SQL = "SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1 AS adjusted_price FROM input_df"
 
-# Small enough that tables of any size are numbered range by range, as large ones are.
-RANGE_ROWS = 5_000
+# Small enough that the tables are numbered range by range, as large ones are.
+RANGE_ROWS = 12_000
 # Fewer rows than the large groups of the small tables have.
 HOT_ROWS = 1_000
+# For the smallest of the tables.
+FEW_ROWS = 100
 
 
 @query("SELECT p_partkey, upper(p_name) AS name, p_retailprice * 1.1::DOUBLE AS adjusted_price FROM part")
@@ -203,7 +205,7 @@ SELECT doc_id, quality, toxic, batch_no, min(doc_id) OVER (PARTITION BY batch_no
 def split_with_key_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 50 rows, however far apart their keys are."""
     labels = table(spark, sf_dir, "labels")
-    return split_by_position(labels, "doc_id", 50, rows_per_task=RANGE_ROWS)
+    return split_by_position(labels, "doc_id", 50, rows_per_task=FEW_ROWS)
 
 
 @query("""
@@ -215,7 +217,7 @@ SELECT c_nationkey, c_custkey, batch_no, min(c_nationkey) OVER (PARTITION BY bat
 def split_with_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 distinct keys with many rows each: ties go by the second column."""
     rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
-    return split_by_position(rows, "c_nationkey", 40, rows_per_task=RANGE_ROWS, tie_break="c_custkey")
+    return split_by_position(rows, "c_nationkey", 40, rows_per_task=HOT_ROWS, tie_break="c_custkey")
 
 
 @query(_BATCHED.replace("50", "200") + """
