@@ -8,29 +8,43 @@ chunks are counted by the tokenizer once, joined back to the chunks, and summed
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from tablemill.llm.arrow_text import byte_lengths, numbered, slices
+from tablemill.llm.arrow_text import byte_lengths, slices
 from tablemill.llm.staged import stage
 
 # The pre-token pattern of the byte-level vocabulary and its special string.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = "<|endoftext|>"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 16 << 20
 
 CHUNKS = (
     "chunk string, doc_ids array<long>, n_bytes array<long>, n_specials array<long>, "
-    "starts array<int>, terms array<int>, times array<int>, pre_tokens array<string>"
+    "starts array<int>, frequencies binary, pre_tokens array<string>"
 )
 
 
+def pack(terms: np.ndarray, times: np.ndarray) -> bytes:
+    """Terms, as differences from one to the next, and times, byte by byte of all and compressed."""
+    both = np.concatenate([np.diff(terms, prepend=0), times]).astype("<i4")
+    return zlib.compress(np.ascontiguousarray(both.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
+    half = len(both) // 2
+    return np.cumsum(both[:half]), both[half:]
+
+
 def pre_tokens(text: str, find=regex.compile(PATTERN).findall) -> tuple[list[str], int]:
     """The pre-tokens of a text and the number of special strings in it, each one token of its own."""
     parts = text.split(SPECIAL)
@@ -44,38 +58,50 @@ def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per chunk of documents: their frequencies, and the distinct pre-tokens."""
     from pyspark import TaskContext
 
-    task = TaskContext.get()
-    for number, part in enumerate(slices(batches, "text", CHUNK_BYTES)):
-        found, counts, specials = [], [], []
-        for text in part.column("text").to_pylist():
-            own, special = pre_tokens(text or "")
-            found += own
-            counts.append(len(own))
-            specials.append(special)
-        ids, distinct = numbered(pa.array(found, pa.string()))
-        del found
-        row = np.repeat(np.arange(len(counts)), counts)
-        pairs, times = np.unique(row * max(1, len(distinct)) + ids, return_counts=True)
-        row, terms = np.divmod(pairs, max(1, len(distinct)))
-        starts = np.searchsorted(row, np.arange(len(counts) + 1))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "chunk": [f"{task.partitionId()}-{number}"],
-                "doc_ids": [part.column("doc_id").to_pylist()],
-                "n_bytes": [byte_lengths(part.column("text"))],
-                "n_specials": [specials],
-                "starts": [starts.astype(np.int32)],
-                "terms": [terms.astype(np.int32)],
-                "times": [times.astype(np.int32)],
-                "pre_tokens": [distinct],
-            },
-            schema=pa.schema(
-                [("chunk", pa.string())]
-                + [(name, pa.list_(pa.int64())) for name in ("doc_ids", "n_bytes", "n_specials")]
-                + [(name, pa.list_(pa.int32())) for name in ("starts", "terms", "times")]
-                + [("pre_tokens", pa.list_(pa.string()))]
-            ),
-        )
+    task, number = TaskContext.get().partitionId(), 0
+    chunk = Chunk()
+    for batch in batches:
+        sizes = byte_lengths(batch.column("text")).tolist()
+        for doc_id, text, size in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), sizes):
+            chunk.add(doc_id, text or "", size)
+            if chunk.size >= CHUNK_BYTES:
+                yield chunk.row(f"{task}-{number}")
+                chunk, number = Chunk(), number + 1
+    if chunk.doc_ids:
+        yield chunk.row(f"{task}-{number}")
+
+
+class Chunk:
+    """Documents as counts of numbered pre-tokens."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.doc_ids, self.sizes, self.specials, self.starts = [], [], [], [0]
+        self.terms, self.times, self.size = [], [], 0
+
+    def add(self, doc_id: int | None, text: str, size: int) -> None:
+        found, special = pre_tokens(text)
+        counts, numbers = Counter(found), self.numbers
+        terms = np.fromiter((numbers.setdefault(term, len(numbers)) for term in counts), np.int32, len(counts))
+        order = np.argsort(terms)
+        self.terms.append(terms[order])
+        self.times.append(np.fromiter(counts.values(), np.int32, len(counts))[order])
+        self.starts.append(self.starts[-1] + len(counts))
+        self.doc_ids.append(doc_id)
+        self.sizes.append(size)
+        self.specials.append(special)
+        # rows without text count as well, so that a chunk's rows are bounded
+        self.size += size + 64
+
+    def row(self, name: str) -> pa.RecordBatch:
+        longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+        values = {
+            "chunk": ([name], pa.string()), "doc_ids": ([self.doc_ids], longs), "n_bytes": ([self.sizes], longs),
+            "n_specials": ([self.specials], longs), "starts": ([self.starts], ints),
+            "frequencies": ([pack(np.concatenate(self.terms), np.concatenate(self.times))], pa.binary()),
+            "pre_tokens": ([list(self.numbers)], pa.list_(pa.string())),
+        }
+        return pa.RecordBatch.from_pydict({key: pa.array(value, kind) for key, (value, kind) in values.items()})
 
 
 def pieces_of(path: str):
@@ -94,18 +120,15 @@ def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Frequencies times pieces, summed per document."""
     for batch in batches:
         for at in range(batch.num_rows):
-            column = {name: batch.column(name)[at].values for name in batch.schema.names}
-            if column["doc_ids"] is None or not len(column["doc_ids"]):
-                continue
-            pieces = np.zeros(len(column["counted"]), np.int64)
-            counted = column["counted"].flatten()
-            pieces[counted[0].to_numpy(zero_copy_only=False)] = counted[1].to_numpy(zero_copy_only=False)
-            worth = np.concatenate([[0], np.cumsum(column["times"].to_numpy().astype(np.int64) * pieces[column["terms"].to_numpy()])])
-            starts = column["starts"].to_numpy()
-            tokens = worth[starts[1:]] - worth[starts[:-1]] + column["n_specials"].to_numpy()
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": column["doc_ids"], "n_bytes": column["n_bytes"], "n_tokens": pa.array(tokens)}
+            doc_ids, n_bytes, specials, starts, counted = (
+                batch.column(name)[at].values for name in ("doc_ids", "n_bytes", "n_specials", "starts", "counted")
             )
+            terms, times = unpack(batch.column("frequencies")[at].as_py())
+            counts = np.zeros(len(counted), np.int64)
+            counts[counted.field("term").to_numpy()] = counted.field("pieces").to_numpy()
+            worth = np.concatenate([[0], np.cumsum(times * counts[terms])])
+            tokens = np.diff(worth[starts.to_numpy()]) + specials.to_numpy()
+            yield pa.RecordBatch.from_pydict({"doc_id": doc_ids, "n_bytes": n_bytes, "n_tokens": pa.array(tokens)})
 
 
 def count_tokens(df: DataFrame, path: str) -> DataFrame:
@@ -120,10 +143,9 @@ def count_tokens(df: DataFrame, path: str) -> DataFrame:
     terms = chunks.select("chunk", F.posexplode("pre_tokens").alias("term", "pre_token"))
     distinct = terms.select("pre_token").distinct()
     counted = stage(distinct.mapInArrow(pieces_of(path), "pre_token string, pieces int"), "token-pieces")
-    by_chunk = (
-        terms.join(counted, "pre_token")
-        .groupBy("chunk")
-        .agg(F.collect_list(F.struct("term", "pieces")).alias("counted"))
+    by_chunk = stage(
+        terms.join(counted, "pre_token").groupBy("chunk").agg(F.collect_list(F.struct("term", "pieces")).alias("counted")),
+        "chunk-pieces",
     )
     met = chunks.drop("pre_tokens").join(by_chunk, "chunk", "left")
     met = met.withColumn("counted", F.coalesce("counted", F.array().cast("array<struct<term:int,pieces:int>>")))
