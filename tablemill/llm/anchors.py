@@ -2,7 +2,8 @@
 
 Each window of ``length`` items picks the k-gram in it with the smallest hash, the leftmost of equal
 ones.  Equal windows pick equal k-grams, so a window whose k-gram stands nowhere else in the corpus has
-no equal.  Consecutive windows that pick the same place form one segment.
+no equal.  Consecutive windows that pick equal k-grams form one segment, which ends at the latest where its
+first window no longer reaches: periodic text gives few segments too, and none is longer than two windows.
 """
 
 from __future__ import annotations
@@ -92,19 +93,24 @@ def segments(items: np.ndarray, starts: np.ndarray, length: int, k: int) -> tupl
     # the place fills the low bits, so of equal hashes the leftmost is the smallest
     bits = np.uint64(max(20, len(hashes).bit_length()))
     packed = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
-    place = (sliding_min(packed, length - k + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    width = length - k + 1
+    place = (sliding_min(packed, width) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    picked = hashes[place]
     fits = np.diff(starts) >= length
     usable = np.zeros(len(place) + 1, np.int8)
     np.add.at(usable, starts[:-1][fits], 1)
     ends = starts[1:][fits] - length + 1
     np.add.at(usable, np.minimum(ends, len(place)), -1)
     inside = np.cumsum(usable[:-1]) > 0
-    first = inside.copy()
-    first[1:] &= (place[1:] != place[:-1]) | ~inside[:-1]
-    # windows of neighbouring rows pick different places, so a run never crosses rows
-    at = np.nonzero(first)[0]
-    if not len(at):
+    before = np.concatenate([[False], inside[:-1]])
+    # windows of neighbouring rows may pick equal k-grams, so rows are told apart by where they begin
+    before[starts[:-1][starts[:-1] < len(place)]] = False
+    run = inside & ~before
+    run[1:] |= inside[1:] & (picked[1:] != picked[:-1])
+    if not run.any():
         return nothing
+    since = np.arange(len(place)) - np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))
+    at = np.nonzero(inside & (since % width == 0))[0]
     counts = np.add.reduceat(inside, at, dtype=np.int64)
     row = np.searchsorted(starts, at, "right") - 1
-    return hashes[place[at]].astype(np.int64), row, at - starts[row], counts
+    return picked[at].astype(np.int64), row, at - starts[row], counts

@@ -7,8 +7,8 @@ Comparing all windows of all texts would move each text many times over.  Instea
 2. segments that are equal as a whole are represented by the first of them;
 3. the representatives' contents go to shards by anchor, so equal windows meet in a shard, which an
    index over the shard's contents compares exactly;
-4. an anchor with very many different segments is not put into one shard: its windows are counted one
-   by one, by hash.
+4. an anchor with more different segments than fill a shard is not put into one: its windows are counted
+   one by one, by hash.
 5. what is found goes back to the texts by row.
 
 Rows are known by doc_id and a hash of their text.  NULL ids come last.
@@ -30,9 +30,7 @@ from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.staged import stage
 
 NO_ID = (1 << 63) - 1
-# Different segments of one anchor from which its windows are counted one by one.
-MANY_SEGMENTS = 200
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 
 CANDIDATE = "anchor long, whole long, d long, h int, start int, n_windows int"
 PIECE = "anchor long, copies long, d long, h int, start int, n_windows int, content binary"
@@ -49,6 +47,15 @@ class Cut:
     length: int
     gram: int
 
+    @property
+    def item_bytes(self) -> int:
+        return 8 if self.words else 1
+
+    @property
+    def most_segments(self) -> int:
+        """How many different segments of one anchor fill a shard; a segment has less than twice a window's items."""
+        return SHARD_BYTES // (2 * self.length * self.item_bytes)
+
     def items(self, raw: np.ndarray, starts: np.ndarray, table: np.ndarray = BYTE_HASH) -> tuple[np.ndarray, np.ndarray]:
         """A hash of each item of all texts, and the bounds of each text in items."""
         if not self.words:
@@ -67,7 +74,7 @@ def keyed(df: DataFrame) -> DataFrame:
 
 def find_segments(cut: Cut):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             raw, starts = raw_bytes(part.column("text"))
             items, bounds = cut.items(raw, starts)
             anchor, row, start, count = segments(items, bounds, cut.length, cut.gram)
@@ -87,7 +94,7 @@ def find_segments(cut: Cut):
 def contents(cut: Cut, hot: bool):
     """The contents of the wanted segments of each row, or of hot ones a hash of every window."""
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             out = {name: [] for name in ("anchor", "copies", "d", "h", "start", "n_windows", "content")}
             for text, d, h, wanted in zip(*(part.column(name).to_pylist() for name in ("text", "d", "h", "wanted"))):
                 whole = (text or "").encode()
@@ -112,7 +119,7 @@ def contents(cut: Cut, hot: bool):
             )
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             raw, starts = raw_bytes(part.column("text"))
             both = [cut.items(raw, starts, table) for table in (BYTE_HASH, OTHER_BYTE_HASH)]
             bounds = both[0][1]
@@ -213,10 +220,9 @@ def repeated_windows(keyed_rows: DataFrame, cut: Cut, search: Index, keep_first:
         chosen.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.sum(F.col("n_windows") + cut.length).alias("items")),
         "per-anchor",
     )
-    width = 8 if cut.words else 1
-    items = per_anchor.where(F.col("different") <= MANY_SEGMENTS).agg(F.sum("items")).first()[0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, math.ceil(items * width / SHARD_BYTES))
-    many = per_anchor.where(F.col("different") > MANY_SEGMENTS).select("anchor", F.lit(True).alias("many"))
+    items = per_anchor.where(F.col("different") <= cut.most_segments).agg(F.sum("items")).first()[0] or 0
+    shards = max(spark.sparkContext.defaultParallelism, math.ceil(items * cut.item_bytes / SHARD_BYTES))
+    many = per_anchor.where(F.col("different") > cut.most_segments).select("anchor", F.lit(True).alias("many"))
     wanted = chosen.join(many, "anchor", "left").groupBy("d", "h").agg(
         F.collect_list(F.when(F.col("many").isNull(), F.struct("anchor", "copies", "start", "n_windows"))).alias("wanted"),
         F.collect_list(F.when(F.col("many"), F.struct("anchor", "copies", "start", "n_windows"))).alias("hot"),

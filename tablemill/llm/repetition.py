@@ -51,18 +51,25 @@ def suffix_ranks(key: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[np.
     while len(open_) and reach < longest:
         far = open_ + reach
         next_ = np.where(far < end[open_], rank[np.minimum(far, n - 1)] + 1, 0)
-        own = rank[open_]
-        by = np.lexsort((next_, own))
-        open_, own, next_ = open_[by], own[by], next_[by]
+        # one number for both, so that one sort will do; n is far below the root of its range
+        both = rank[open_] * (n + 1) + next_
+        by = np.argsort(both)
+        open_, both = open_[by], both[by]
+        own = both // (n + 1)
         at = np.arange(len(open_))
+        split = np.concatenate([[True], both[1:] != both[:-1]])
         group = np.concatenate([[True], own[1:] != own[:-1]])
-        split = group | np.concatenate([[True], next_[1:] != next_[:-1]])
         begins = np.maximum.accumulate(np.where(split, at, 0))
         rank[open_] = own + begins - np.maximum.accumulate(np.where(group, at, 0))
         order[rank[open_] + at - begins] = open_
         levels.append(rank.copy())
         reach *= 2
         open_ = open_[~(split & np.concatenate([split[1:], [True]]))]
+    if len(open_):
+        open_ = open_[np.lexsort((open_, rank[open_]))]
+        own = rank[open_]
+        at = np.arange(len(open_))
+        order[own + at - np.maximum.accumulate(np.where(np.concatenate([[True], own[1:] != own[:-1]]), at, 0))] = open_
     return order, levels
 
 

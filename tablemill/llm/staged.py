@@ -10,17 +10,21 @@ from tablemill.session import fresh_path
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+# Rows that go to Python at once; texts may be long.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and read it back: what follows neither recomputes it nor loses it with an executor."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+    settings = {CLEAN_UP: "true", ARROW_ROWS: "1000"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(df.schema).parquet(path)

@@ -45,10 +45,10 @@ def sample(seed):
     return rows
 
 
-@pytest.mark.parametrize("many", [repeats.MANY_SEGMENTS, 1])
+@pytest.mark.parametrize("many", [1000, 1])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_windows(spark, monkeypatch, many, seed):
-    monkeypatch.setattr(repeats, "MANY_SEGMENTS", many)
+    monkeypatch.setattr(repeats.Cut, "most_segments", many)
     rows = sample(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit("x")).withColumn("d", F.lit(1))
     for words, length, operator in ((True, 5, remove_repeated_words), (False, 17, remove_repeated_bytes)):
