@@ -23,7 +23,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -24,7 +24,7 @@ from tablemill.llm.staged import stage
 # The pre-token pattern of the byte-level vocabulary and its special string.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = "<|endoftext|>"
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 
 CHUNKS = (
     "chunk string, doc_ids array<long>, n_bytes array<long>, n_specials array<long>, "
