@@ -4,6 +4,7 @@ Each window of ``length`` items picks the k-gram in it with the smallest hash, t
 ones.  Equal windows pick equal k-grams, so a window whose k-gram stands nowhere else in the corpus has
 no equal.  Consecutive windows that pick equal k-grams form one segment, which ends at the latest where its
 first window no longer reaches: periodic text gives few segments too, and none is longer than two windows.
+Equal windows of one segment pick different places, so only a segment that picks several can hold them.
 """
 
 from __future__ import annotations
@@ -81,12 +82,12 @@ def range_hashes(items: np.ndarray, begins: np.ndarray, ends: np.ndarray, prime:
     return mixed((running[ends] - running[begins]) * inverse[begins] + (ends - begins).astype(np.uint64) * prime)
 
 
-def segments(items: np.ndarray, starts: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, row, start within the row, number of windows) of every segment.
+def segments(items: np.ndarray, starts: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """(key, row, start within the row, number of windows, whether it picks several places) of every segment.
 
     ``items`` are 64-bit hashes of the rows' items one after the other, ``starts`` the bounds of the rows.
     """
-    nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64))
+    nothing = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, bool))
     if len(items) < length:
         return nothing
     hashes = mixed(gram_hashes(items, k))
@@ -112,5 +113,7 @@ def segments(items: np.ndarray, starts: np.ndarray, length: int, k: int) -> tupl
     since = np.arange(len(place)) - np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))
     at = np.nonzero(inside & (since % width == 0))[0]
     counts = np.add.reduceat(inside, at, dtype=np.int64)
+    # places never move back from a window to the next
+    periodic = place[at + counts - 1] != place[at]
     row = np.searchsorted(starts, at, "right") - 1
-    return picked[at].astype(np.int64), row, at - starts[row], counts
+    return picked[at].astype(np.int64), row, at - starts[row], counts, periodic

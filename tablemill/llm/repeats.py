@@ -3,7 +3,8 @@
 Comparing all windows of all texts would move each text many times over.  Instead:
 
 1. each text is cut into segments by its anchors (see ``anchors``); only segments whose anchor stands
-   elsewhere too can hold a window that does, and only their hashes are shuffled to find them;
+   elsewhere too, or that pick it in several places, can hold a window that stands more than once, and only
+   hashes of segments are shuffled to find them;
 2. segments that are equal as a whole are represented by the first of them;
 3. the representatives' contents go to shards by anchor, so equal windows meet in a shard, which an
    index over the shard's contents compares exactly;
@@ -32,7 +33,7 @@ from tablemill.llm.staged import stage
 NO_ID = (1 << 63) - 1
 SHARD_BYTES = 3 << 20
 
-CANDIDATE = "anchor long, whole long, d long, h int, start int, n_windows int"
+CANDIDATE = "anchor long, whole long, d long, h int, start int, n_windows int, periodic boolean"
 PIECE = "anchor long, copies long, d long, h int, start int, n_windows int, content binary"
 FOUND = "d long, h int, start int, n_windows int"
 BYTE_HASH = mixed(np.arange(1, 257, dtype=np.uint64))
@@ -77,7 +78,7 @@ def find_segments(cut: Cut):
         for part in slices(batches, "text", 1 << 19):
             raw, starts = raw_bytes(part.column("text"))
             items, bounds = cut.items(raw, starts)
-            anchor, row, start, count = segments(items, bounds, cut.length, cut.gram)
+            anchor, row, start, count, periodic = segments(items, bounds, cut.length, cut.gram)
             begin = bounds[row] + start
             whole = range_hashes(items, begin, begin + count - 1 + cut.length).astype(np.int64)
             yield pa.RecordBatch.from_pydict(
@@ -85,6 +86,7 @@ def find_segments(cut: Cut):
                     "anchor": pa.array(anchor), "whole": pa.array(whole),
                     "d": part.column("d").take(pa.array(row)), "h": part.column("h").take(pa.array(row)),
                     "start": pa.array(start, pa.int32()), "n_windows": pa.array(count, pa.int32()),
+                    "periodic": pa.array(periodic),
                 }
             )
 
@@ -200,8 +202,9 @@ def repeated_windows(keyed_rows: DataFrame, cut: Cut, search: Index, keep_first:
     """
     spark = keyed_rows.sparkSession
     found = keyed_rows.select("d", "h", "text").mapInArrow(find_segments(cut), CANDIDATE)
-    counts = found.groupBy("anchor").count().where("count > 1").select("anchor")
-    candidates = stage(found.join(stage(counts, "anchors"), "anchor"), "candidates")
+    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("periodic").alias("periodic"))
+    several = stage(counts.where("n > 1 OR periodic").select("anchor"), "anchors")
+    candidates = stage(found.drop("periodic").join(several, "anchor"), "candidates")
     first = F.min(F.struct("d", "start", "h", "n_windows")).alias("first")
     chosen = stage(
         candidates.groupBy("anchor", "whole").agg(first, F.count(F.lit(1)).alias("copies")).select(

@@ -69,3 +69,19 @@ def test_long_text(spark):
     assert got == {1: (150_000, 149_997), 2: (2, 0), 3: (0, 0)}
     got = {r.doc_id: (r.n_items, r.n_removed) for r in remove_repeated_bytes(df).collect()}
     assert got == {1: (700_000, 700_000), 2: (5, 0), 3: (0, 0)}
+
+
+def test_repeats_inside_one_segment(spark):
+    """Short periodic rows, whose windows all pick equal grams, with windows longer than a gram."""
+    phrase = "one two three four five six seven"
+    words = [
+        (1, "same " * 21), (2, " ".join(f"a{i}" for i in range(30)) + " word" * 34), (3, f"{phrase} " * 4), (4, "once " * 20),
+        (5, " ".join(f"b{i}" for i in range(60))), (None, "last " * 25), (6, "twice " * 22), (7, "twice " * 23),
+    ]
+    letters = [(1, "=" * 201), (2, "-" * 368), (3, "x" * 200), (4, "head " + "ab" * 150 + " tail"), (None, "~" * 300), (5, "+" * 210), (6, "+" * 220)]
+    for rows, length, operator in ((words, 20, remove_repeated_words), (letters, 200, remove_repeated_bytes)):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = [(LAST if r.doc_id is None else r.doc_id, r.n_items, r.n_removed, r.n_spans, r.kept_sha256) for r in operator(df, length).collect()]
+        want = expected(rows, length, operator is remove_repeated_words)
+        assert sorted(got, key=str) == want
+        assert {row[0] for row in want if row[2]} >= {1, 2, LAST}
