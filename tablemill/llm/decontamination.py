@@ -1,9 +1,10 @@
 """Benchmark decontamination by templates: the same question with other numbers, names or units.
 
-Texts become templates: numbers, names and units give way to placeholders of their type.  Windows of
-template tokens are joined by hash with those of the benchmark.  Windows of a document that follow an
-item in step must fill its slots consistently, each value of the item by one value of the document, and
-the other way round.
+Texts become templates: numbers, names and units give way to placeholders of their type, a run of names
+or of numbers to one.  Whether a word with a capital is a name cannot be told for sure, so a text is read
+in several ways, among them word by word, and the windows of all readings are joined by hash with those of the
+benchmark.  Windows of a document that follow an item nearly in step must fill its slots consistently, each
+value of the item by one value of the document, and the other way round.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WINDOW = 8
 # Items of fewer tokens than a window are matched whole, down to this many.
 SHORTEST = 5
 LEAST_SHARE = 0.8
+# Windows of one copy of an item stand at steps at most so many tokens apart.
+GAP = 0
 BLOCK = 1_000_000
 
 UNITS = set(
@@ -35,71 +38,139 @@ UNITS = set(
     "month months year years cent cents dollar dollars euro euros usd eur percent degree degrees mph kph".split()
 )
 NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
+WITH_UNIT = re.compile(r"([+-]?\d(?:[\d.,:/]*\d)?)([^\W\d_]+)")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+# Words that are no names, wherever they stand and however they are written.
+NO_NAMES = set(
+    "a an the this that these those what which who whom whose when where why how if then than and or but so as at by for from in into of "
+    "on to with without after before during while until since because although though however there here it its he she they we you i his "
+    "her their our your my him them us me is are was were be been do does did has have had can could will would shall should may might must "
+    "not no yes each every all some any both one two let find given suppose assume calculate compute determine".split()
+)
 LITERAL, NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = range(4)
 SLOT_NAMES = ("", "number", "unit", "name")
+# Readings: word by word; no word a name; names inside sentences only; of the capitals that open a sentence all,
+# or every other one, as well.  So a window with two such capitals has every combination of kinds.
+WORDS, NO_CAPITALS, INSIDE, OPENERS, EVEN, ODD = range(6)
 
-WINDOWS = "at int, width int, key long, slots array<string>"
+WINDOWS = "at int, until int, key long, slots array<string>"
 
 
 class Templates:
-    """The template tokens of a batch of texts, with the bounds of each text's."""
+    """The tokens of a batch of texts and their templates in each reading.
+
+    Places are counted in tokens of the reading INSIDE, whatever the reading of a window.
+    """
 
     def __init__(self, texts: pa.Array):
         counts, flat = words(texts)
         raw, starts = raw_bytes(texts)
         begins, ends, first = word_places(raw, starts)
         ids, distinct = numbered(flat)
-        forms, kinds, capital, closes = [], [], [], []
+        # a word is one token, or two if it is a number with its unit; words without letters and digits are none
+        forms, kinds, capital, token_of, closes, ends_run = [], [], [], [0], [], []
         for word in distinct.to_pylist():
             bare = EDGES.sub("", word)
             form = bare.lower()
-            forms.append(form)
-            kinds.append(NUMBER_SLOT if NUMBER.fullmatch(bare) else UNIT_SLOT if form in UNITS else LITERAL)
-            capital.append(len(bare) > 1 and bare[0].isupper() and not bare.isupper())
-            closes.append(word.rstrip("\"')]»”’")[-1:] in tuple(".!?:;"))
+            joined = WITH_UNIT.fullmatch(form)
+            if joined and joined[2] in UNITS:
+                forms += joined.groups()
+                kinds += [NUMBER_SLOT, UNIT_SLOT]
+                capital += [False, False]
+            elif form:
+                forms.append(form)
+                kinds.append(NUMBER_SLOT if NUMBER.fullmatch(bare) else UNIT_SLOT if form in UNITS else LITERAL)
+                capital.append(len(bare) > 1 and bare[0].isupper() and not bare.isupper() and form not in NO_NAMES)
+            token_of.append(len(forms))
+            end = word.rstrip("\"')]»”’")[-1:]
+            closes.append(end in tuple(".!?:;"))
+            ends_run.append(end in tuple(".!?:;,"))
         form_raw, form_starts = raw_bytes(pa.array(forms, pa.string()))
         hashes = range_hashes(BYTE_HASH[form_raw], form_starts[:-1], form_starts[1:]) if forms else np.zeros(0, np.uint64)
-        # a capital makes a name unless a sentence, a line or the text begins there
-        opens = np.ones(len(ids), bool)
-        lines = np.concatenate([[0], np.cumsum(raw == 10)])
-        opens[1:] = np.array(closes, bool)[ids[:-1]] | (lines[begins[1:]] > lines[ends[:-1]]) if len(ids) > 1 else True
+        # a sentence, a line or the text begins at a word, or a run of names or numbers cannot go on with it
+        opens, breaks = np.ones(len(ids), bool), np.ones(len(ids), bool)
+        if len(ids) > 1:
+            lines = np.concatenate([[0], np.cumsum(raw == 10)])
+            new_line = lines[begins[1:]] > lines[ends[:-1]]
+            opens[1:] = np.array(closes, bool)[ids[:-1]] | new_line
+            breaks[1:] = np.array(ends_run, bool)[ids[:-1]] | new_line
         opens[first[:-1][np.diff(first) > 0]] = True
-        kind = np.array(kinds, np.int8)[ids] if forms else np.zeros(0, np.int8)
-        kind[(kind == LITERAL) & np.array(capital, bool)[ids] & ~opens] = NAME_SLOT
-        # words without letters and digits are no tokens
-        token = np.array([bool(form) for form in forms], bool)[ids]
-        row = np.repeat(np.arange(len(counts)), counts)[token]
+        breaks[first[:-1][np.diff(first) > 0]] = True
+        token_bounds = np.array(token_of)
+        n_tokens = np.diff(token_bounds)[ids]
+        each = np.repeat(np.arange(len(ids)), n_tokens)
+        part = np.arange(len(each)) - np.repeat(np.cumsum(n_tokens) - n_tokens, n_tokens)
+        self.forms, self.ids = forms, token_bounds[ids[each]] + part
+        # a word without letters that ends a run ends it also for the token after it
+        breaks_before = np.cumsum(breaks)[each]
+        self.breaks = np.ones(len(each), bool)
+        self.breaks[1:] = breaks_before[1:] > breaks_before[:-1]
+        row = np.repeat(np.arange(len(counts)), counts)[each]
         self.bounds = bounds(np.bincount(row, minlength=len(counts)))
-        self.ids, self.kind, self.forms = ids[token], kind[token], forms
         self.literal = hashes[self.ids]
-        self.template = np.where(self.kind == LITERAL, self.literal, mixed(self.kind.astype(np.uint64) + np.uint64(77)))
+        kind = np.array(kinds, np.int8)[self.ids] if forms else np.zeros(0, np.int8)
+        named = (np.array(capital, bool)[self.ids] if forms else np.zeros(0, bool)) & (kind == LITERAL)
+        opener = named & opens[each]
+        second = np.cumsum(opener) % 2 == 1
+        self.kinds = [np.zeros(len(kind), np.int8)]
+        for names in (np.zeros(len(kind), bool), named & ~opener, named, named & ~(opener & second), named & ~(opener & ~second)):
+            self.kinds.append(np.where(names, np.int8(NAME_SLOT), kind))
+        # where the tokens of each reading begin
+        self.heads = [np.nonzero(self.runs(kind))[0] for kind in self.kinds]
+        self.place = np.cumsum(self.runs(self.kinds[INSIDE])) - 1
+        base = np.append(self.place, self.place[-1:] + 1)[self.bounds] if len(row) else np.zeros(len(counts) + 1, np.int64)
+        self.base, self.sizes = base[:-1], np.diff(base)
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, place, key) of each window of ``width`` tokens that lies within a text.
+    def runs(self, kind: np.ndarray) -> np.ndarray:
+        heads = np.ones(len(kind), bool)
+        heads[1:] = (kind[1:] != kind[:-1]) | ((kind[1:] != NAME_SLOT) & (kind[1:] != NUMBER_SLOT)) | self.breaks[1:]
+        return heads
 
-        A window with fewer than half of its tokens literal says too little as a template, and is known by
-        its words instead.
+    def windows(self, reading: int, width: int, wanted: np.ndarray | None) -> list[tuple[int, int, int, int]]:
+        """(row, first token, end, key) of the windows of ``width`` tokens within a text that are wanted.
+
+        ``wanted`` holds sorted keys; without it all windows are given that are full, or a whole text.  A
+        window with fewer than half of its tokens literal says too little as a template and is left to the
+        reading by words.
         """
-        n = len(self.ids) - width + 1
-        if n <= 0:
-            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64))
-        literal = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
-        enough = 2 * (literal[width:] - literal[:-width]) >= width
-        salt = np.uint64(width)
-        key = np.where(
-            enough, mixed(gram_hashes(self.template, width) ^ salt), mixed(gram_hashes(self.literal, width) ^ (salt + np.uint64(1000)))
-        )
-        at = np.arange(n)
-        row = np.searchsorted(self.bounds, at, "right") - 1
-        inside = at + width <= self.bounds[row + 1]
-        return row[inside], at[inside] - self.bounds[row[inside]], key[inside]
+        heads, kind = self.heads[reading], self.kinds[reading]
+        n = len(heads) - width + 1
+        if n <= 0 or wanted is not None and not len(wanted):
+            return []
+        of_head = kind[heads]
+        if reading == WORDS:
+            key = mixed(gram_hashes(self.literal, width) ^ np.uint64(width + 1000))
+            some = np.ones(n, bool)
+        else:
+            template = np.where(of_head == LITERAL, self.literal[heads], mixed(of_head.astype(np.uint64) + np.uint64(77)))
+            key = mixed(gram_hashes(template, width) ^ np.uint64(width))
+            literal = np.concatenate([[0], np.cumsum(of_head == LITERAL)])
+            some = 2 * (literal[width:] - literal[:-width]) >= width
+        if wanted is not None:
+            some &= wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+        at = np.nonzero(some)[0]
+        row = np.searchsorted(self.bounds, heads[at], "right") - 1
+        ends = np.append(heads, len(kind))[at + width]
+        inside = ends <= self.bounds[row + 1]
+        if wanted is None and width < WINDOW:
+            inside &= (heads[at] == self.bounds[row]) & (ends == self.bounds[row + 1])
+        at, row, ends = at[inside], row[inside], ends[inside]
+        return list(zip(row.tolist(), heads[at].tolist(), ends.tolist(), key[at].view(np.int64).tolist()))
 
-    def slots(self, row: int, at: int, width: int) -> list[str]:
-        begin = self.bounds[row] + at
-        return [
-            f"{SLOT_NAMES[self.kind[i]]}:{self.forms[self.ids[i]]}" for i in range(begin, begin + width) if self.kind[i] != LITERAL
-        ]
+    def slots(self, reading: int, begin: int, end: int) -> list[str]:
+        """The fillings of a window's slots; those of the reading by words are numbers and units, told by their spelling."""
+        out: list[str] = []
+        kinds = self.kinds[reading] if reading != WORDS else self.kinds[NO_CAPITALS]
+        for i in range(begin, end):
+            if kinds[i] == LITERAL:
+                continue
+            form = self.forms[self.ids[i]]
+            goes_on = i > begin and kinds[i] == kinds[i - 1] and kinds[i] in (NAME_SLOT, NUMBER_SLOT) and not self.breaks[i]
+            if goes_on:
+                out[-1] += form if kinds[i] == NUMBER_SLOT else f" {form}"
+            else:
+                out.append(f"{SLOT_NAMES[kinds[i]]}:{form}")
+        return out
 
 
 def template_windows(wanted: dict[int, np.ndarray] | None):
@@ -110,44 +181,80 @@ def template_windows(wanted: dict[int, np.ndarray] | None):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             found = Templates(part.column("text"))
-            sizes = np.diff(found.bounds)
-            widths = range(SHORTEST, WINDOW + 1) if wanted is None else wanted
-            taken: list[tuple[int, int, int, int]] = []
-            for width in widths:
-                row, at, key = found.windows(width)
-                if wanted is None:
-                    some = (sizes[row] == width) | (width == WINDOW)
-                elif len(wanted[width]):
-                    place = np.minimum(np.searchsorted(wanted[width], key), len(wanted[width]) - 1)
-                    some = wanted[width][place] == key
-                else:
-                    continue
-                taken += zip(row[some].tolist(), at[some].tolist(), [width] * int(some.sum()), key[some].view(np.int64).tolist())
-            rows_ = pa.array([one[0] for one in taken], pa.int64())
+            taken: dict[tuple[int, int, int, int, int], int] = {}
+            for width in range(SHORTEST, WINDOW + 1) if wanted is None else wanted:
+                for reading in range(WORDS, ODD + 1):
+                    for one in found.windows(reading, width, None if wanted is None else wanted[width]):
+                        taken.setdefault((*one, width), reading)
+            row = [one[0] for one in taken]
+            rows_ = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_pydict(
                 {
                     **{name: part.column(name).take(rows_) for name in ("d", "h")},
-                    "at": pa.array([one[1] for one in taken], pa.int32()),
-                    "width": pa.array([one[2] for one in taken], pa.int32()),
+                    "at": pa.array([found.place[one[1]] - found.base[one[0]] for one in taken], pa.int32()),
+                    "until": pa.array([found.place[one[2] - 1] + 1 - found.base[one[0]] for one in taken], pa.int32()),
                     "key": pa.array([one[3] for one in taken], pa.int64()),
-                    "slots": pa.array([found.slots(*one[:3]) for one in taken], pa.list_(pa.string())),
-                    "n_tokens": pa.array(sizes).take(rows_),
+                    "slots": pa.array([found.slots(reading, *one[1:3]) for one, reading in taken.items()], pa.list_(pa.string())),
+                    "width": pa.array([one[4] for one in taken], pa.int32()),
+                    "n_tokens": pa.array(found.sizes, pa.int64()).take(rows_),
                 }
             )
 
     return rows
 
 
-SCHEMA = f"d long, h int, {WINDOWS}, n_tokens long"
+Window = tuple[int, int, int, int, tuple[str, ...], tuple[str, ...]]
+
+
+def share_held(windows: Iterable[Window], n_tokens: int) -> float:
+    """The share of an item of ``n_tokens`` that a document holds best in one place.
+
+    ``windows`` are (step, item's place, its end, ... ) of the windows that both have, with the fillings of
+    the item and of the document.  Those of one step count together.  If they agree on the filling of
+    every slot, both ways, the share is that of the item's tokens they cover, else 0.
+    """
+    best, band = 0.0, []
+    for one in sorted(windows):
+        if band and one[0] > band[-1][0] + GAP:
+            best, band = max(best, _share(band, n_tokens)), []
+        band.append(one)
+    return max(best, _share(band, n_tokens)) if band else 0.0
+
+
+def _share(band: list[Window], n_tokens: int) -> float:
+    pairs = {pair for *_, of_item, of_document in band for pair in zip(of_item, of_document)}
+    if not len(pairs) == len({one for one, _ in pairs}) == len({other for _, other in pairs}):
+        return 0.0
+    return len({at for w in band for at in range(w[1], w[2])}) / n_tokens
+
+
+def judge_shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task that gives the share of each item that a row holds."""
+    for batch in batches:
+        shares = []
+        for at in range(batch.num_rows):
+            met = batch.column("met")[at].as_py()
+            shares.append(
+                share_held(
+                    {(w["at"] - w["item_at"], w["item_at"], w["item_until"], w["at"], tuple(w["item_slots"]), tuple(w["slots"])) for w in met},
+                    batch.column("n_tokens")[at].as_py(),
+                )
+            )
+        yield pa.RecordBatch.from_pydict({**{name: batch.column(name) for name in ("d", "h", "item_id")}, "share": pa.array(shares, pa.float64())})
+
+
+SCHEMA = f"d long, h int, {WINDOWS}, width int, n_tokens long"
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(d, h, item_id, share) for each row of ``df`` (doc_id, text) and item of ``benchmark`` (item_id, text) it holds.
 
-    A row holds an item if, in step with it and with consistent slots, it has at least 0.8 of the item's
-    windows.  Items of fewer than 8 tokens are one window, matched whole; those of fewer than 5, or
+    A row holds an item if the windows they share at nearly the same places, with consistent slots, cover at
+    least 0.8 of the item's tokens.  Tokens are words, runs of names or of numbers, and units.  Items of fewer
+    than 8 tokens are one window, matched whole; those of fewer than 5, or
     without text, are too short to tell and match nothing.  Rows with NULL or empty texts hold nothing.  Items
-    may repeat.  (d, h) is the row's key: doc_id with NULL as the largest number, and a hash of the text.
+    may repeat; those that share an item_id are told apart by their texts.  (d, h) is the row's key: doc_id with NULL as the
+    largest number, and a hash of the text.
 
     Documents are read once for every million different windows of the benchmark, whose keys are sent
     to the tasks; the windows found are joined with the benchmark's.
@@ -156,7 +263,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").alias("doc_id"), "text")
     known = stage(
         keyed(items).select("d", "h", "text").mapInArrow(template_windows(None), SCHEMA)
-        .select(F.col("d").alias("item_id"), F.col("at").alias("item_at"), "width", "key", F.col("slots").alias("item_slots"), "n_tokens")
+        .select(
+            F.col("d").alias("item_id"), F.col("h").alias("item_h"), F.col("at").alias("item_at"), F.col("until").alias("item_until"),
+            "width", "key", F.col("slots").alias("item_slots"), "n_tokens",
+        )
         .distinct(),
         "benchmark-windows",
     )
@@ -169,21 +279,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
         for row in keys:
             wanted.setdefault(row["width"], []).append(row["key"])
         sorted_keys = {width: np.sort(np.array(values, np.int64).view(np.uint64)) for width, values in wanted.items()}
-        part = rows.mapInArrow(template_windows(sorted_keys), SCHEMA).drop("n_tokens")
+        part = rows.mapInArrow(template_windows(sorted_keys), SCHEMA).drop("n_tokens", "until")
         found = part if found is None else found.unionByName(part)
     found = stage(found, "document-windows")
-    met = found.join(known, ["key", "width"]).withColumn("step", F.col("at") - F.col("item_at"))
-    fillings = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots"))))
-    in_step = met.groupBy("d", "h", "item_id", "step", "n_tokens", "width").agg(
-        F.countDistinct("item_at").alias("n"), fillings.alias("fillings")
-    )
-    size = F.size("fillings")
-    consistent = (size == F.size(F.array_distinct("fillings.item_slots"))) & (size == F.size(F.array_distinct("fillings.slots")))
-    share = F.col("n") / F.greatest(F.lit(1), F.col("n_tokens") - F.col("width") + 1)
-    return (
-        in_step.where(consistent).withColumn("share", share).where(F.col("share") >= LEAST_SHARE)
-        .groupBy("d", "h", "item_id").agg(F.max("share").alias("share"))
+    met = found.join(known, ["key", "width"]).groupBy("d", "h", "item_id", "item_h", "n_tokens").agg(
+        F.collect_set(F.struct("at", "item_at", "item_until", "item_slots", "slots")).alias("met")
     )
+    shares = met.mapInArrow(judge_shares, "d long, h int, item_id long, share double")
+    return shares.where(F.col("share") >= LEAST_SHARE).groupBy("d", "h", "item_id").agg(F.max("share").alias("share"))
 
 
 def judge_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:

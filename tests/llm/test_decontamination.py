@@ -54,3 +54,17 @@ def test_whole_items_are_found_and_clean_documents_kept(spark):
     want = {r.doc_id for r in docs.collect() if any(text in bare(r.text) for text in texts)}
     assert want
     assert {r.doc_id for r in judge_documents(docs, items).collect() if not r.kept} == want
+
+
+def test_capitals_are_read_in_every_way(spark):
+    question, sells = "What is the capital of Peru?", "Anna sells 12 cows. Anna buys 5 goats with the money. How many animals does Anna own?"
+    rows = [
+        (1, "so What is the capital of Peru?"), (2, "so What is the capital of Chile?"), (3, "WHAT IS the capital of peru"),
+        (4, "Peter sells 31 cows. Peter buys 7 goats with the money. How many animals does Peter own?"),
+        (5, "then Peter sells 31 cows. Peter buys 7 goats with the money. how many animals does Peter own?"),
+        (6, sells.lower()), (7, sells.lower().replace("12", "31")), (8, "Lima is the capital of Peru."),
+        (9, "Peter walks 31 miles. Peter eats 7 apples on the road. How many days does Peter rest?"),
+        (10, "so, Long words of Peru stand Here in this one line"),
+    ]
+    got = judged(spark, rows, [(1, question), (2, sells), (3, "Long words of Peru stand here in this one line")])
+    assert {d: r.item_id for d, r in got.items() if not r.kept} == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2, 7: 2, 10: 3}
