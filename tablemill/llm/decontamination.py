@@ -28,8 +28,8 @@ WINDOW = 8
 # Items of fewer tokens than a window are matched whole, down to this many.
 SHORTEST = 5
 LEAST_SHARE = 0.8
-# Windows of one copy of an item stand at steps at most so many tokens apart.
-GAP = 0
+# Neighbouring steps of one copy of an item are at most so many tokens apart: words put in or left out.
+GAP = 3
 BLOCK = 1_000_000
 
 UNITS = set(
@@ -210,7 +210,7 @@ def share_held(windows: Iterable[Window], n_tokens: int) -> float:
     """The share of an item of ``n_tokens`` that a document holds best in one place.
 
     ``windows`` are (step, item's place, its end, ... ) of the windows that both have, with the fillings of
-    the item and of the document.  Those of one step count together.  If they agree on the filling of
+    the item and of the document.  Those of neighbouring steps count together.  If they agree on the filling of
     every slot, both ways, the share is that of the item's tokens they cover, else 0.
     """
     best, band = 0.0, []

@@ -68,3 +68,15 @@ def test_capitals_are_read_in_every_way(spark):
     ]
     got = judged(spark, rows, [(1, question), (2, sells), (3, "Long words of Peru stand here in this one line")])
     assert {d: r.item_id for d, r in got.items() if not r.kept} == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2, 7: 2, 10: 3}
+
+
+def test_values_of_other_lengths_and_words_put_in(spark):
+    item = "A farmer has 12 cows and sells 5 kg of cheese to Anna for 1000 dollars, then buys some goats; how many animals does Anna see?"
+    rows = [
+        (1, item.replace("Anna", "Mary Ann")), (2, item.replace("1000", "2 000")), (3, item.replace("5 kg", "7kg")),
+        (4, item.replace("12", "31").replace("cheese", "fresh cheese")), (5, item.replace("to Anna", "Anna")),
+        (6, item.replace("Anna", "Mary Ann").replace("1000", "2 000").replace("5 kg", "7kg")), (7, item[:60]),
+        (8, "Anna has " + item[:40] + " and much else stands here before the rest of it, so " + item[90:]),
+    ]
+    got = judged(spark, rows, [(1, item)])
+    assert {d for d, r in got.items() if not r.kept} == {1, 2, 3, 4, 5, 6}
