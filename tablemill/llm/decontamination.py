@@ -4,13 +4,14 @@ Texts become templates: numbers, names and units give way to placeholders of the
 or of numbers to one.  Whether a word with a capital is a name cannot be told for sure, so a text is read
 in several ways, among them word by word, and the windows of all readings are joined by hash with those of the
 benchmark.  Windows of a document that follow an item nearly in step must fill its slots consistently, each
-value of the item by one value of the document, and the other way round.
+value of the item by one value of the document.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -48,6 +49,7 @@ NO_NAMES = set(
     "not no yes each every all some any both one two let find given suppose assume calculate compute determine".split()
 )
 LITERAL, NUMBER_SLOT, UNIT_SLOT, NAME_SLOT = range(4)
+PLACEHOLDERS = mixed(np.arange(77, 81, dtype=np.uint64))
 SLOT_NAMES = ("", "number", "unit", "name")
 # Readings: word by word; no word a name; names inside sentences only; of the capitals that open a sentence all,
 # or every other one, as well.  So a window with two such capitals has every combination of kinds.
@@ -126,29 +128,33 @@ class Templates:
         heads[1:] = (kind[1:] != kind[:-1]) | ((kind[1:] != NAME_SLOT) & (kind[1:] != NUMBER_SLOT)) | self.breaks[1:]
         return heads
 
-    def windows(self, reading: int, width: int, wanted: np.ndarray | None) -> list[tuple[int, int, int, int]]:
+    def windows(self, reading: int, width: int, wanted: tuple[np.ndarray, np.ndarray] | None) -> list[tuple[int, int, int, int]]:
         """(row, first token, end, key) of the windows of ``width`` tokens within a text that are wanted.
 
-        ``wanted`` holds sorted keys; without it all windows are given that are full, or a whole text.  A
+        ``wanted`` holds sorted keys and their ``leading_bits``; without it all windows are given that are full, or a whole text.  A
         window with fewer than half of its tokens literal says too little as a template and is left to the
         reading by words.
         """
         heads, kind = self.heads[reading], self.kinds[reading]
         n = len(heads) - width + 1
-        if n <= 0 or wanted is not None and not len(wanted):
+        if n <= 0 or wanted is not None and not len(wanted[0]):
             return []
         of_head = kind[heads]
         if reading == WORDS:
             key = mixed(gram_hashes(self.literal, width) ^ np.uint64(width + 1000))
             some = np.ones(n, bool)
         else:
-            template = np.where(of_head == LITERAL, self.literal[heads], mixed(of_head.astype(np.uint64) + np.uint64(77)))
+            template = np.where(of_head == LITERAL, self.literal[heads], PLACEHOLDERS[of_head])
             key = mixed(gram_hashes(template, width) ^ np.uint64(width))
             literal = np.concatenate([[0], np.cumsum(of_head == LITERAL)])
             some = 2 * (literal[width:] - literal[:-width]) >= width
         if wanted is not None:
-            some &= wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
-        at = np.nonzero(some)[0]
+            # most keys are ruled out by their leading bits
+            known, bits = wanted
+            at = np.nonzero(some & bits[key >> np.uint64(64 - len(bits).bit_length() + 1)])[0]
+            at = at[known[np.minimum(np.searchsorted(known, key[at]), len(known) - 1)] == key[at]]
+        else:
+            at = np.nonzero(some)[0]
         row = np.searchsorted(self.bounds, heads[at], "right") - 1
         ends = np.append(heads, len(kind))[at + width]
         inside = ends <= self.bounds[row + 1]
@@ -173,18 +179,27 @@ class Templates:
         return out
 
 
+def leading_bits(keys: np.ndarray) -> np.ndarray:
+    """Which leading bits the keys have, at a few times as many places as keys."""
+    width = min(24, max(10, len(keys).bit_length() + 4))
+    out = np.zeros(1 << width, bool)
+    out[keys >> np.uint64(64 - width)] = True
+    return out
+
+
 def template_windows(wanted: dict[int, np.ndarray] | None):
     """A task that gives the windows of each row; ``wanted`` holds the widths and sorted keys to look for.
 
     Without it the rows are benchmark items: each gives its windows, or itself as one if it is shorter.
     """
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        looked_for = None if wanted is None else {width: (keys, leading_bits(keys)) for width, keys in wanted.items()}
         for part in slices(batches, "text"):
             found = Templates(part.column("text"))
             taken: dict[tuple[int, int, int, int, int], int] = {}
             for width in range(SHORTEST, WINDOW + 1) if wanted is None else wanted:
                 for reading in range(WORDS, ODD + 1):
-                    for one in found.windows(reading, width, None if wanted is None else wanted[width]):
+                    for one in found.windows(reading, width, None if looked_for is None else looked_for[width]):
                         taken.setdefault((*one, width), reading)
             row = [one[0] for one in taken]
             rows_ = pa.array(row, pa.int64())
@@ -211,7 +226,8 @@ def share_held(windows: Iterable[Window], n_tokens: int) -> float:
 
     ``windows`` are (step, item's place, its end, ... ) of the windows that both have, with the fillings of
     the item and of the document.  Those of neighbouring steps count together.  If they agree on the filling of
-    every slot, both ways, the share is that of the item's tokens they cover, else 0.
+    every slot, the share is that of the item's tokens they cover; else those against the commonest filling are
+    left out, and the share is that of the item's windows.
     """
     best, band = 0.0, []
     for one in sorted(windows):
@@ -222,10 +238,16 @@ def share_held(windows: Iterable[Window], n_tokens: int) -> float:
 
 
 def _share(band: list[Window], n_tokens: int) -> float:
-    pairs = {pair for *_, of_item, of_document in band for pair in zip(of_item, of_document)}
-    if not len(pairs) == len({one for one, _ in pairs}) == len({other for _, other in pairs}):
-        return 0.0
-    return len({at for w in band for at in range(w[1], w[2])}) / n_tokens
+    votes: dict[str, Counter] = {}
+    for *_, of_item, of_document in band:
+        for one, other in set(zip(of_item, of_document)):
+            votes.setdefault(one, Counter())[other] += 1
+    chosen = {one: min(found, key=lambda other: (-found[other], other)) for one, found in votes.items()}
+    agreed = [w for w in band if all(chosen[one] == other for one, other in zip(w[-2], w[-1]))]
+    if len(agreed) == len(band):
+        covered = {at for w in band for at in range(w[1], w[2])}
+        return len(covered) / n_tokens
+    return min(1.0, len({w[1] for w in agreed}) / max(1, n_tokens - WINDOW + 1))
 
 
 def judge_shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +272,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(d, h, item_id, share) for each row of ``df`` (doc_id, text) and item of ``benchmark`` (item_id, text) it holds.
 
     A row holds an item if the windows they share at nearly the same places, with consistent slots, cover at
-    least 0.8 of the item's tokens.  Tokens are words, runs of names or of numbers, and units.  Items of fewer
+    least 0.8 of the item's tokens; if slots contradict each other, the windows that agree with the commonest
+    fillings must be 0.8 of the item's.  Tokens are words, runs of names or of numbers, and units.  Items of fewer
     than 8 tokens are one window, matched whole; those of fewer than 5, or
     without text, are too short to tell and match nothing.  Rows with NULL or empty texts hold nothing.  Items
     may repeat; those that share an item_id are told apart by their texts.  (d, h) is the row's key: doc_id with NULL as the

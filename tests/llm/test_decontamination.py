@@ -80,3 +80,14 @@ def test_values_of_other_lengths_and_words_put_in(spark):
     ]
     got = judged(spark, rows, [(1, item)])
     assert {d for d, r in got.items() if not r.kept} == {1, 2, 3, 4, 5, 6}
+
+
+def test_new_values_may_coincide(spark):
+    start = "A farmer has 12 cows and sells 5 of them to a neighbour"
+    long = ITEM + " He then thinks about what to do with the goats that he bought from the other man on the market of the town, which cost 80 dollars and 12 cents."
+    rows = [
+        (1, start.replace("12", "7").replace("5", "7")), (2, long.replace("12 cents", "99 cents")),
+        (3, "He has 31 cows and 99 goats, so nothing of it is the same"),
+    ]
+    got = judged(spark, rows, [(1, start), (2, long)])
+    assert {d: r.item_id for d, r in got.items() if not r.kept} == {1: 1, 2: 2}
