@@ -45,12 +45,14 @@ OTHER_NAMES = set(
 )
 HEAD_NAMES = {"header", "masthead", "topbar"}
 MAIN_NAMES = {"article", "main"}
+# A class that begins or ends with one of these tells of another element: has-sidebar, no-comments, share-enabled.
+BEFORE, AFTER = {"has", "no", "not", "with", "without"}, {"enabled", "disabled", "off"}
 
 Event = tuple[str, str]
 
 
-def is_other(name: str, rest: str, in_main: bool) -> bool:
-    """Whether an element holds no main text, by its kind and by its names."""
+def is_other(name: str, rest: str, in_main: bool, by_name: bool = True) -> bool:
+    """Whether an element holds no main text, by its kind and, if ``by_name``, by its names."""
     if name in OTHER_TAGS:
         return True
     if name == "header" and not in_main:
@@ -62,9 +64,14 @@ def is_other(name: str, rest: str, in_main: bool) -> bool:
     said = set()
     for kind, *values in NAMED.findall(rest):
         if kind.lower() != "aria-label":
-            said.update(word.lower() for word in PARTS.findall("".join(values)))
+            for one in "".join(values).split():
+                parts = [word.lower() for word in PARTS.findall(one)]
+                if parts and parts[0] not in BEFORE and parts[-1] not in AFTER:
+                    said.update(parts)
     if name == "article":
         return "comment" in said
+    if not by_name:
+        return bool(HIDDEN.search(rest))
     return bool(said & OTHER_NAMES) or (not in_main and bool(said & HEAD_NAMES)) or bool(HIDDEN.search(rest))
 
 
@@ -74,14 +81,38 @@ def events(page: str) -> list[Event]:
     Texts are told apart by where they stand: ("article", text) inside an article or main element, ("outside",
     text) elsewhere on a page that has text in one, ("link", text) in a link and ("plain", text) on other pages.
     """
-    found = list(_scan(page))
+    found = list(_scan(page, _wrappers(page)))
     if any(kind == "article" and not value.isspace() for kind, value in found):
         found = [("outside", value) if kind in ("link", "plain") else (kind, value) for kind, value in found]
     return found
 
 
-def _scan(page: str) -> Iterator[Event]:
+def _wrappers(page: str) -> set[int]:
+    """Where the elements begin that hold the main part of a page, so that their names cannot leave it out.
+
+    They hold every main element, or without one every article, or without these every h1.  Articles beside a
+    headline elsewhere are teasers if there are several.
+    """
+    marks: dict[str, list] = {}
+    for _ in _scan(page, None, marks):
+        pass
+    for name in ("main", "article", "h1"):
+        if name not in marks:
+            continue
+        n, first, still_open, _ = marks[name]
+        around = set(first[:still_open])
+        if name == "article" and n > 1 and "h1" in marks:
+            around &= set(marks["h1"][1])
+        return around
+    return set()
+
+
+def _scan(page: str, wrappers: set[int] | None, marks: dict[str, list] | None = None) -> Iterator[Event]:
+    """The events of a page, told by names as well but for ``wrappers``; without these by kind alone, filling
+    ``marks``: how many elements of a kind there are, where those begin that hold the first, how many of them hold
+    the last as well, and how many are open."""
     stack: list[str] = []
+    begins: list[int] = []
     at, other, depth_main, links = 0, 0, 0, 0
     while at < len(page):
         found = TAG.search(page, at)
@@ -101,6 +132,7 @@ def _scan(page: str) -> Iterator[Event]:
             if name in stack:
                 while True:
                     gone = stack.pop()
+                    begins.pop()
                     depth_main -= gone in MAIN_NAMES
                     links -= gone == "a"
                     if other and len(stack) < other:
@@ -125,23 +157,33 @@ def _scan(page: str) -> Iterator[Event]:
             ends = "p" if name in BLOCK and "p" in stack else "li"
             while True:
                 gone = stack.pop()
+                begins.pop()
                 links -= gone == "a"
                 if other and len(stack) < other:
                     other = 0
                 if gone == ends:
                     break
         if name == "body" and other and stack[other - 1 :][:1] == ["head"]:
-            del stack[other - 1 :]
+            del stack[other - 1 :], begins[other - 1 :]
             other = 0
         stack.append(name)
+        begins.append(found.start())
+        for mark in marks.values() if marks else ():
+            mark[3] = min(mark[3], len(stack) - 1)
         depth_main += name in MAIN_NAMES
         links += name == "a"
         if other:
             continue
-        if is_other(name, found["rest"], depth_main - (name in MAIN_NAMES) > 0 or (depth_main > 0 and name not in MAIN_NAMES)):
+        in_main = depth_main - (name in MAIN_NAMES) > 0 or (depth_main > 0 and name not in MAIN_NAMES)
+        if is_other(name, found["rest"], in_main, wrappers is not None and found.start() not in wrappers):
             other = len(stack)
             yield "other", name
         else:
+            if marks is not None and name in ("main", "article", "h1"):
+                if name not in marks:
+                    marks[name] = [0, begins[:-1], 0, len(stack) - 1]
+                mark = marks[name]
+                mark[0], mark[2] = mark[0] + 1, mark[3]
             yield "tag", name
 
 

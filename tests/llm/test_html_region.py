@@ -58,3 +58,13 @@ def test_pages_of_the_table(spark):
         article = re.search(r"<article>(.*?)(?:</article>|\Z)", row.html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", block)).split()) for block in re.split(r"</?(?:p|h1)>", article)]
         assert row.text == "\n\n".join(block for block in blocks if block)
+
+
+def test_wrappers_named_after_other_parts():
+    text = "The text of the page stands here and is long enough to be told from the rest of it."
+    for name in ("has-sidebar", "no-comments", "with-banner", "post share-enabled", "related-posts-off", "sidebar layout"):
+        page = f'<body><div id="page" class="{name}"><article><h1>Title</h1><p>{text}</p></article><div class="sidebar">no</div></div></body>'
+        assert main_text(page, WEIGHTS) == f"Title\n\n{text}", name
+    teasers = '<div class="related"><article><p>One more.</p></article><article><p>Another.</p></article></div>'
+    assert main_text(f"<div><h1>Title</h1><p>{text}</p></div>{teasers}", WEIGHTS) == f"Title\n\n{text}"
+    assert main_text(f"<main><h1>Title</h1><p>{text}</p></main>{teasers}", WEIGHTS) == f"Title\n\n{text}"
