@@ -81,3 +81,17 @@ def word_places(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     ends[edge] = inside[edge]
     first = np.nonzero(begins)[0]
     return first, np.nonzero(ends)[0], np.searchsorted(first, starts)
+
+
+def gathered(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """All rows in batches whose texts fill about ``most`` bytes, or of one row if that is longer."""
+    waiting, size = [], 0
+    for part in slices(batches, column, most):
+        # rows without text count as well, so that a batch's rows are bounded
+        waiting.append(part)
+        size += int(byte_lengths(part.column(column)).sum()) + 64 * part.num_rows
+        if size >= most:
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+            waiting, size = [], 0
+    if waiting:
+        yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()

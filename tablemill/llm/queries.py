@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablemill.llm import sql
+from tablemill.llm.collocations import collocations
 from tablemill.llm.decontamination import judge_documents
 from tablemill.llm.fm_substrings import remove_repeated_words
 from tablemill.llm.hash_ring import assign_shards
@@ -18,9 +19,11 @@ from tablemill.llm.html_region import main_texts
 from tablemill.llm.line_chunks import remove_repeated_chunks
 from tablemill.llm.minhash import near_duplicates
 from tablemill.llm.mixing import mix, word_count
+from tablemill.llm.piece_codes import decode, encode
 from tablemill.llm.repetition import judge, repetition_stats
 from tablemill.llm.suffix_dedup import remove_repeated_bytes
 from tablemill.llm.token_counts import count_tokens
+from tablemill.llm.vector_codes import codebooks_sha256, compress
 
 TOKEN_LIMIT = 1024
 SHARDS = 24
@@ -108,3 +111,25 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (F.col("size") * F.col("_times")).alias("taken"),
     )
+
+
+@query(sql.COLLOCATIONS)
+def op11_rollup_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, covered=80, most=2000, scale=2_000_000)
+
+
+@query(sql.VECTOR_CODES)
+def op12_hadamard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    return coded.drop("label").withColumn("codebooks_sha256", F.lit(codebooks_sha256(books)))
+
+
+@query()
+def op13_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

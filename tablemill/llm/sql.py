@@ -158,3 +158,85 @@ SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::B
     coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM words, unnest(range(1, len(w) + 1)) AS t(i), unnest([1, 2, 3, 4]) AS u(k) WHERE i + k - 1 <= len(w)
+),
+counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30),
+cut AS MATERIALIZED (
+    SELECT lang, phrase, f AS a, i, array_to_string(w[:i], ' ') AS one, array_to_string(w[i + 1:], ' ') AS rest
+    FROM candidates, unnest(range(1, k)) AS t(i)
+),
+cuts AS (
+    SELECT cut.lang, cut.phrase, a, i, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+    FROM cut JOIN counts x ON x.lang = cut.lang AND x.phrase = cut.one JOIN counts y ON y.lang = cut.lang AND y.phrase = cut.rest
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (
+    SELECT c.lang, array_to_string(c.w[i:i + s - 1], ' ') AS phrase, max(c.f) AS f
+    FROM candidates c, unnest([2, 3]) AS t(s), unnest([1, 2, 3]) AS u(i) WHERE s < c.k AND i + s - 1 <= c.k GROUP BY ALL
+),
+ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+    FROM scored s LEFT JOIN inside USING (lang, phrase) WHERE inside.f IS NULL OR 100::HUGEINT * inside.f < 80::HUGEINT * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    """Rounds of exact k-means, one block of CTEs each."""
+    blocks = []
+    for step in range(rounds + 1):
+        blocks.append(f"""
+near{step} AS (
+    SELECT p.vec_id, p.part, p.x, min_by({{'entry': e.entry, 'd': d}}, (d, e.entry)) AS hit
+    FROM parts p JOIN book{step} e ON e.part = p.part,
+        LATERAL (SELECT list_sum(list_transform(list_zip(p.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d)
+    GROUP BY ALL
+)""")
+        if step < rounds:
+            blocks.append(f"""
+mean{step} AS (
+    SELECT part, entry, list(mean ORDER BY place) AS x FROM (
+        SELECT part, hit.entry AS entry, place, floor(sum(x[place])::DECIMAL(38, 6) / count(*))::BIGINT AS rough,
+            rough - (rough * count(*) > sum(x[place]))::BIGINT + ((rough + 1) * count(*) <= sum(x[place]))::BIGINT AS mean
+        FROM near{step}, unnest(range(1, len(x) + 1)) AS t(place) GROUP BY part, hit.entry, place
+    ) GROUP BY part, entry
+),
+book{step + 1} AS (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM book{step} b LEFT JOIN mean{step} m USING (part, entry))""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda v: floor(v::DOUBLE * 1024)::BIGINT) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+),
+parts AS (
+    SELECT vec_id, part, x[part * (len(x) // 4) + 1:(part + 1) * (len(x) // 4)] AS x FROM kept, unnest([0, 1, 2, 3]) AS t(part)
+),
+book0 AS (
+    SELECT part, entry, p.x FROM parts p JOIN
+        (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256) USING (vec_id)
+),{",".join(blocks)},
+coded AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', hit.entry), '' ORDER BY part) AS code, sum(hit.d)::BIGINT AS error
+    FROM near{rounds} GROUP BY vec_id
+),
+digest AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
+VECTOR_CODES = _vector_codes()
