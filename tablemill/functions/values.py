@@ -44,17 +44,19 @@ def for_loading(df: DataFrame) -> DataFrame:
 
 def loading_columns(df: DataFrame, names: list[str]) -> list[Column]:
     """These columns of a frame as :func:`for_loading` stores them."""
-    def stored(field: T.StructField) -> Column:
-        value = column_named(field.name)
-        if isinstance(field.dataType, _WHOLE):
-            value = value.cast("bigint")
-        elif isinstance(field.dataType, _FLOATING):
-            value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-        elif isinstance(field.dataType, _STAMP):
-            value = to_milliseconds(value)
-        return value.alias(field.name)
-
-    return [stored(field) for field in df.schema.fields if field.name in names]
+    return [
+        stored_value(column_named(field.name), field.dataType).alias(field.name)
+        for field in df.schema.fields if field.name in names
+    ]
+
+
+def stored_value(value: Column, kind: T.DataType) -> Column:
+    """A value of this type as :func:`for_loading` stores it."""
+    if isinstance(kind, _WHOLE):
+        return value.cast("bigint")
+    if isinstance(kind, _FLOATING):
+        return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    return to_milliseconds(value) if isinstance(kind, _STAMP) else value
 
 
 def float_text(value: Column) -> Column:

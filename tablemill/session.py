@@ -66,8 +66,13 @@ def drop_application_dir(spark: SparkSession) -> None:
     with _lock:
         folder = _folders.pop(spark.sparkContext.applicationId, None)
     if folder:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(spark, folder)
+
+
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

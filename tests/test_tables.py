@@ -77,8 +77,8 @@ def test_failed_change_of_names_is_undone(spark, target, monkeypatch):
 
     monkeypatch.setattr(type(spark), "sql", broken)
     with pytest.raises(RuntimeError):
-        replace_table(spark.range(2), target)
-    assert spark.table(target).count() == 5
+        replace_table(spark.range(2).withColumnRenamed("id", "n"), target)
+    assert spark.table(target).count() == 5 and spark.table(target).columns == ["id"]
 
 
 def test_appending_a_table_to_itself(spark, target):
@@ -142,9 +142,96 @@ def test_upsert_of_chosen_columns(spark, target):
 
 def test_a_lost_name_is_found_again(spark, target):
     load_table(spark.range(3), target)
-    spark.sql(f"ALTER TABLE {target} RENAME TO {target}_old_0123")
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('tablemill.aside_of' = '{target}')")
+    spark.sql(f"ALTER TABLE {target} RENAME TO {target}_aside_0123")
     load_table(spark.range(2), target)
-    assert spark.table(target).count() == 5
+    assert spark.table(target).count() == 5 and not spark.catalog.tableExists(f"{target}_aside_0123")
+
+
+def test_foreign_tables_are_never_touched(spark, target):
+    """Names alone say nothing: neither a backup of the user's nor another table's content put aside is taken."""
+    for name, of in ((f"{target}_old_backup", None), (f"{target}_aside_mine", None), (f"{target}_aside_x", f"{target}_aside")):
+        load_table(spark.range(3), name)
+        if of:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('tablemill.aside_of' = '{of}')")
+    before = table_names(spark)
+    load_table(spark.range(1), target)
+    load_table(spark.range(1), target, recreate=True)
+    load_table(spark.createDataFrame([("x",)], "s string"), target, recreate=True)
+    assert spark.table(target).count() == 1 and table_names(spark) - before == {target.split(".")[1]}
+    assert all(spark.table(f"{target}_{end}").count() == 3 for end in ("old_backup", "aside_mine", "aside_x"))
+
+
+def test_readers_never_miss_a_table_that_is_replaced(spark, target):
+    import threading
+
+    load_table(spark.range(1000), target)
+    seen, problems, done = Counter(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen[spark.table(target).agg(F.count("id"), F.max("id")).first()[0]] += 1
+            except Exception as problem:  # noqa: BLE001 - counted
+                problems.append(problem)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for count in (2000, 3000, 4000):
+        load_table(spark.range(count), target, recreate=True)
+        update_rows(spark, target, F.col("id") < 10, {"id": F.col("id") + 0})
+        delete_rows(spark, target, F.col("id") >= count - 500)
+    done.set()
+    reader.join()
+    assert not problems and set(seen) <= {1000, 2000, 1500, 3000, 2500, 4000, 3500} and spark.table(target).count() == 3500
+
+
+def test_former_content_goes_with_the_next_replacement(spark, target):
+    from tablemill.operators.tables import described, drop_former
+
+    places = []
+    for count in range(1, 5):
+        load_table(spark.range(count), target, recreate=True)
+        places.append(Path(described(spark, target)["Location"].removeprefix("file:")))
+    assert [any(place.glob("part-*")) if place.exists() else False for place in places] == [False, False, True, True]
+    drop_former(spark, target)
+    assert not places[2].exists() and spark.table(target).count() == 4
+    spark.sql(f"DROP TABLE {target}")
+    assert not places[3].exists()
+    load_table(spark.range(7), target)
+    assert spark.table(target).count() == 7
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_a_lost_driver_leaves_a_replacement_that_is_finished(spark, target, monkeypatch, partition_by):
+    from tablemill.operators import tables
+
+    rows = spark.range(6).selectExpr("id", "id % 2 AS p")
+    load_table(rows, target, partition_by=partition_by)
+
+    def lost(*_, **__):
+        raise KeyboardInterrupt
+
+    real = tables._write_table
+    written = []
+
+    def once(df, table, by=()):
+        if table == target:
+            lost()
+        written.append(table)
+        return real(df, table, by)
+
+    monkeypatch.setattr(tables, "_write_table", once)
+    if not partition_by:
+        sql = type(spark).sql
+        monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: lost() if "_new_" in text and "RENAME" in text else sql(self, text, *a, **k))
+    with pytest.raises(KeyboardInterrupt):
+        load_table(rows.selectExpr("id * 2 AS twice", "p"), target, recreate=True, partition_by=partition_by)
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists(target)
+    load_table(spark.range(0).selectExpr("id AS p"), target)
+    # a plain table comes back as it was, a partitioned one with the rows that were on their way
+    assert spark.table(target).columns == (["twice", "p"] if partition_by else ["id", "p"]) and spark.table(target).count() == 6
 
 
 def test_stages_are_snapshots_and_go(spark, target):
