@@ -4,10 +4,11 @@ Only the longest windows are counted: each word with the three that follow it in
 the piece ends.  Counts of shorter phrases are sums over the windows that begin with them, and Spark's ROLLUP
 gives these sums for all shorter prefixes at once, so no n-grams of lower orders are made.
 
-Most windows of a corpus occur once.  A first pass therefore counts hashes of neighbouring words; a hash seen
-fewer than ``least`` times stands for pairs that no candidate can hold, and windows are padded from there on.
-Pairs that share a hash only make the count too large, and the pairs that pass travel as a Bloom filter of
-fixed size, which errs on that side as well: what is padded is never needed, so results stay exact at any size.
+Most windows of a corpus occur once.  First passes therefore count hashes of two and of three neighbouring words; a
+hash seen fewer than ``least`` times stands for words that no candidate can hold together, and windows are padded
+from there on.  Words that are in no other pairs begin no window and only add to the number of words.  Words that share
+a hash only make the count too large, and what passes travels as a Bloom filter of fixed size, which errs on that
+side as well: what is padded is never needed, so results stay exact at any size.
 """
 
 from __future__ import annotations
@@ -28,7 +29,12 @@ ORDER = 4
 WORDS = [f"w{number}" for number in range(1, ORDER + 1)]
 NO_LANGUAGE = "und"
 # Texts that are counted together before their windows are shuffled.
-COUNTED_BYTES = 8 << 20
+COUNTED_BYTES = 2 << 20
+WORDS_AT_ONCE = 1 << 15
+# Stands between a language and the first word of a window; words do not hold it.
+MARK = "\x0b"
+# Smaller partitions of the input are counted together, for fewer rows to shuffle.
+TASK_BYTES = 64 << 20
 # The Bloom filter's size in bits, whatever the input.
 FILTER_BITS = 1 << 27
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,8 +45,12 @@ ENDS_PIECE = np.zeros(256, bool)
 ENDS_PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 
 
+# One multiplier per place in a word; words that are longer use them again.
+PLACES = np.frombuffer(b"".join(xxhash.xxh3_128_digest(bytes([n])) for n in range(128)), np.uint64) | np.uint64(1)
+
+
 class Occurrences:
-    """All words of some texts in order, as numbers of distinct (language, word)."""
+    """All words of some texts in order, by hashes of language and word."""
 
     def __init__(self, texts: pa.Array, languages: pa.Array):
         raw, starts = raw_bytes(texts)
@@ -52,35 +62,66 @@ class Occurrences:
         edge = starts[(starts > 0) & (starts < len(raw))]
         begins[edge], ends[edge] = inside[edge + 1], inside[edge]
         first = np.nonzero(begins)[0]
-        lengths = np.nonzero(ends)[0] - first
-        text = np.searchsorted(starts, first, "right") - 1
-        piece = np.searchsorted(np.nonzero(ends_piece)[0], first)
+        self.lengths = (np.nonzero(ends)[0] - first).astype(np.int32)
+        self.letters = raw[inside[1:-1]]
         #: whether a word and the next one are in the same piece
-        self.joined = np.append((text[1:] == text[:-1]) & (piece[1:] == piece[:-1]), False)[: len(first)]
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        letters = np.ascontiguousarray(raw[inside[1:-1]])
-        spelled = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        self.joined = np.ones(len(first), bool)
+        for cuts in (np.nonzero(ends_piece)[0], starts[1:]):
+            following = np.searchsorted(first, cuts)
+            self.joined[following[following > 0] - 1] = False
         spoken = languages.dictionary_encode()
-        code = spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        of_text = spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        met, self.ids = np.unique(of_text[text] * max(1, len(spelled.dictionary)) + code, return_inverse=True)
-        #: languages and words by number
-        self.languages = spoken.dictionary.take(pa.array(met // max(1, len(spelled.dictionary))))
-        self.words = spelled.dictionary.take(pa.array(met % max(1, len(spelled.dictionary))))
-
-    def pair_hashes(self) -> np.ndarray:
-        """A hash for each word and the next one, whether joined or not; none for the last."""
-        names = zip(self.languages.to_pylist(), self.words.to_pylist())
-        each = np.array([xxhash.xxh3_64_intdigest(f"{language}\n{word}") for language, word in names], np.uint64)
-        hashed = each[self.ids]
-        mixed = (hashed[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashed[1:]) * np.uint64(0xD1B54A32D192ED03)
-        return mixed ^ (mixed >> np.uint64(32))
-
-
-def probes(hashes: np.ndarray) -> list[np.ndarray]:
-    """The filter's bits of each hash."""
+        self.languages = spoken.dictionary
+        of_text = spoken.indices.to_numpy(zero_copy_only=False)
+        #: the language of each word
+        self.spoken = np.repeat(of_text, np.diff(np.searchsorted(first, starts)))
+        self.hashes = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        """32 bits for each word in its language."""
+        bounds = np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
+        sums = np.zeros(len(self.lengths), np.uint64)
+        for start in range(0, len(sums), WORDS_AT_ONCE):
+            stop = min(start + WORDS_AT_ONCE, len(sums))
+            letters = self.letters[bounds[start] : bounds[stop]].astype(np.uint64) + np.uint64(1)
+            begins = bounds[start:stop] - bounds[start]
+            place = np.arange(len(letters)) - np.repeat(begins, self.lengths[start:stop])
+            letters *= PLACES[place % len(PLACES)]
+            sums[start:stop] = np.add.reduceat(letters, begins)
+        seeds = np.array([xxhash.xxh3_64_intdigest(name) for name in self.languages.to_pylist()], np.uint64)
+        mixed = (sums ^ seeds[self.spoken]) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+
+    def pairs(self) -> np.ndarray:
+        """The hashes of each word and the next one, whether joined or not; none for the last."""
+        return self.hashes[:-1] << np.uint64(32) | self.hashes[1:]
+
+    def triples(self) -> np.ndarray:
+        """A hash of each word and the next two, whether joined or not; none for the last two."""
+        mixed = self.pairs()[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ self.hashes[2:]
+        return (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+    def chosen(self, kept: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Numbers of the words that are kept, and languages and words by number."""
+        letters = np.ascontiguousarray(self.letters[np.repeat(kept, self.lengths)])
+        offsets = np.concatenate([[0], np.cumsum(self.lengths[kept])]).astype(np.int32)
+        spelled = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        code, size = spelled.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(spelled.dictionary))
+        met, ids = np.unique(self.spoken[kept] * size + code, return_inverse=True)
+        return ids, self.languages.take(pa.array(met // size)), spelled.dictionary.take(pa.array(met % size))
+
+
+def probes(keys: np.ndarray) -> list[np.ndarray]:
+    """The filter's bits of each pair, or of each word, whose keys are below 2 to the 32."""
+    mixed = (keys + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD1B54A32D192ED03)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
     size = np.uint64(FILTER_BITS)
-    return [(hashes % size).astype(np.int64), ((hashes >> np.uint64(37)) * np.uint64(0xBF58476D1CE4E5B9) % size).astype(np.int64)]
+    return [(mixed >> np.uint64(37)).astype(np.int64) % FILTER_BITS, ((mixed ^ (mixed >> np.uint64(31))) % size).astype(np.int64)]
+
+
+def passes(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter holds each key."""
+    one, two = ((seen[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool) for bit in probes(keys))
+    return one & two
 
 
 def occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[Occurrences]:
@@ -88,30 +129,61 @@ def occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[Occurrences]:
         yield Occurrences(pc.ascii_lower(part.column("text")), part.column("lang"))
 
 
+def joined_pairs(met: Occurrences, seen: np.ndarray) -> np.ndarray:
+    """Whether a word goes on to the next one by a pair that the filter holds; nothing for the last."""
+    held = passes(seen, met.hashes)
+    return met.joined[:-1] & held[:-1] & held[1:] & passes(seen, met.pairs())
+
+
 def count_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of neighbouring words, and how often each occurs in some texts."""
+    """Hashes of neighbouring words, and how often each pair occurs in some texts."""
     for met in occurrences(batches):
-        if len(met.ids) > 1:
-            pairs, times = np.unique(met.pair_hashes()[met.joined[:-1]], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs.view(np.int64)), "n": pa.array(times)})
+        if len(met.lengths) > 1:
+            yield _counted(met.pairs()[met.joined[:-1]])
 
 
-def to_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bits that hashes set in the filter, 64 of them in a word."""
-    for batch in batches:
-        bits = np.unique(np.concatenate(probes(batch.column("pair").to_numpy().view(np.uint64))))
-        values = (np.uint64(1) << (bits % 64).astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_pydict({"place": pa.array((bits // 64).astype(np.int32)), "bits": pa.array(values)})
+def count_triples(known):
+    """The same of three words in a row whose pairs the broadcast filter holds."""
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in occurrences(batches):
+            if len(met.lengths) > 2:
+                going = joined_pairs(met, known.value)
+                yield _counted(met.triples()[going[:-1] & going[1:]])
+
+    return count
 
 
-def frequent_pairs(rows: DataFrame, least: int) -> np.ndarray:
-    """The Bloom filter, as bytes of bits, of pairs that may occur ``least`` times in one language."""
-    counted = rows.mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    bits = counted.where(F.col("n") >= least).select("pair").mapInArrow(to_bits, "place int, bits long")
-    # at most one row of 12 bytes for each 64 bits of the filter comes to the driver
-    found = bits.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+def _counted(keys: np.ndarray) -> pa.RecordBatch:
+    found, times = np.unique(keys, return_counts=True)
+    return pa.RecordBatch.from_pydict({"gram": pa.array(found.view(np.int64)), "n": pa.array(times)})
+
+
+def bits_of(with_words: bool):
+    """A task that gives the bits that hashes set in the filter, 64 of them in a row; of pairs also those of their words."""
+    def to_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("gram").to_numpy().view(np.uint64)
+            if with_words:
+                keys = np.concatenate([keys, keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)])
+            bits = np.unique(np.concatenate(probes(keys)))
+            values = (np.uint64(1) << (bits % 64).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_pydict({"place": pa.array((bits // 64).astype(np.int32)), "bits": pa.array(values)})
+
+    return to_bits
+
+
+def frequent_grams(rows: DataFrame, least: int) -> np.ndarray:
+    """The Bloom filter, as bytes of bits, of two and three words that may occur ``least`` times in one language."""
     words = np.zeros(FILTER_BITS // 64, np.int64)
-    words[found.column("place").to_numpy()] = found.column("bits").to_numpy()
+    for order in (2, 3):
+        known = rows.sparkSession.sparkContext.broadcast(words.view(np.uint8))
+        counted = rows.mapInArrow(count_pairs if order == 2 else count_triples(known), "gram long, n long")
+        frequent = counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("gram")
+        bits = frequent.mapInArrow(bits_of(order == 2), "place int, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+        # at most one row of 12 bytes for each 64 bits of the filter comes to the driver
+        found = stage(bits, "frequent-grams").toArrow()
+        np.bitwise_or.at(words, found.column("place").to_numpy(), found.column("bits").to_numpy())
+        known.destroy()
     return words.view(np.uint8)
 
 
@@ -119,33 +191,49 @@ def windows_of(known):
     """A task that counts the padded windows of some texts; ``known`` is the broadcast filter."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for met in occurrences(batches):
-            if not len(met.ids):
-                continue
-            joined = met.joined.copy()
-            if len(joined) > 1:
-                seen, hashes = known.value, met.pair_hashes()
-                for bit in probes(hashes):
-                    joined[:-1] &= (seen[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-            yield tally(met, joined)
+            if len(met.lengths):
+                yield from tally(met, known.value)
 
     return count
 
 
-def tally(met: Occurrences, joined: np.ndarray) -> pa.RecordBatch:
-    """Distinct windows with their counts; a window goes on while words are joined to the next."""
-    count, size = len(met.ids), len(met.words) + 1
-    ids, joined = np.append(met.ids + 1, np.zeros(ORDER, np.int64)), np.append(joined, np.zeros(ORDER, bool))
-    leads, going = [ids[:count]], np.ones(count, bool)
-    for ahead in range(1, ORDER):
-        going = going & joined[ahead - 1 : ahead - 1 + count]
-        leads.append(np.where(going, ids[ahead : ahead + count], 0))
+def tally(met: Occurrences, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Distinct windows with their counts, the first word behind its language, and a language's words as an empty word.
+
+    A window goes on to its second word by a pair that the filter holds, to its third and fourth by three words.
+    """
+    kept = passes(seen, met.hashes)
+    spoken, times = np.unique(met.spoken, return_counts=True)
+    empty = pa.array([""] * len(spoken), pa.string())
+    alone = pc.binary_join_element_wise(met.languages.take(pa.array(spoken)), empty, MARK)
+    yield pa.RecordBatch.from_pydict({WORDS[0]: alone, **dict.fromkeys(WORDS[1:], empty), "n": pa.array(times)})
+    pairs, triples = np.zeros((2, len(kept)), bool)
+    if len(kept) > 1:
+        pairs[:-1] = joined_pairs(met, seen)
+    if len(kept) > 2:
+        triples[:-2] = pairs[:-2] & pairs[1:-1] & passes(seen, met.triples())
+    # a word that goes on is kept, and so are those that it goes on to
+    ids, languages, words = met.chosen(kept)
+    count, size = len(ids), len(words) + 1
+    ids, pairs, triples = (np.append(one, np.zeros(ORDER, one.dtype)) for one in (ids + 1, pairs[kept], triples[kept]))
+    goes_on = pairs[:count], triples[:count], triples[:count] & triples[1 : count + 1]
+    leads = [ids[:count], *(np.where(going, ids[ahead : ahead + count], 0) for ahead, going in enumerate(goes_on, 1))]
     halves = [np.unique(one * size + two, return_inverse=True) for one, two in (leads[:2], leads[2:])]
     keys, times = np.unique(halves[0][1] * len(halves[1][0]) + halves[1][1], return_counts=True)
-    front, back = halves[0][0][keys // len(halves[1][0])], halves[1][0][keys % len(halves[1][0])]
-    words = pa.concat_arrays([pa.array([""]), met.words])
-    columns = {"lang": met.languages.take(pa.array(front // size - 1))}
-    columns |= {name: words.take(pa.array(part)) for name, part in zip(WORDS, (front // size, front % size, back // size, back % size))}
-    return pa.RecordBatch.from_pydict(columns | {"n": pa.array(times)})
+    front, back = halves[0][0][keys // max(1, len(halves[1][0]))], halves[1][0][keys % max(1, len(halves[1][0]))]
+    first = pc.binary_join_element_wise(languages, words, MARK)
+    spelled = pa.concat_arrays([pa.array([""]), words])
+    columns = {WORDS[0]: first.take(pa.array(front // size - 1))}
+    columns |= {name: spelled.take(pa.array(part)) for name, part in zip(WORDS[1:], (front % size, back // size, back % size))}
+    yield pa.RecordBatch.from_pydict(columns | {"n": pa.array(times)})
+
+
+def in_larger_tasks(rows: DataFrame) -> DataFrame:
+    """The rows in fewer partitions, while all cores have some."""
+    spark = rows.sparkSession
+    together = TASK_BYTES // spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    parts = rows.rdd.getNumPartitions()
+    return rows.coalesce(max(parts // max(1, together), min(parts, spark.sparkContext.defaultParallelism), 1))
 
 
 def phrase_counts(df: DataFrame, least: int) -> DataFrame:
@@ -153,17 +241,22 @@ def phrase_counts(df: DataFrame, least: int) -> DataFrame:
     and all words of a language as its phrase of size 0."""
     spark = df.sparkSession
     rows = df.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    known = spark.sparkContext.broadcast(frequent_pairs(rows, least))
-    windows = rows.mapInArrow(windows_of(known), f"lang string, {', '.join(f'{name} string' for name in WORDS)}, n long")
+    rows = in_larger_tasks(rows)
+    known = spark.sparkContext.broadcast(frequent_grams(rows, least))
+    windows = rows.mapInArrow(windows_of(known), f"{', '.join(f'{name} string' for name in WORDS)}, n long")
     sums = spark.sql(
-        f"SELECT lang, {', '.join(WORDS)}, {ORDER} - bit_count(grouping_id()) AS size, sum(n) AS f "
-        f"FROM {{windows}} GROUP BY lang, ROLLUP ({', '.join(WORDS)})",
+        f"SELECT {', '.join(WORDS)}, {ORDER} - bit_count(grouping_id()) AS size, sum(n) AS f FROM {{windows}} GROUP BY ROLLUP ({', '.join(WORDS)})",
         windows=windows,
     )
+    first = F.substring_index(WORDS[0], MARK, -1)
+    lang = F.substr(F.col(WORDS[0]), F.lit(1), F.length(WORDS[0]) - F.length(first) - 1)
+    spelled = F.array(first, *WORDS[1:])
     # a prefix that ends in padding is a shorter phrase, whose own sum is there as well
-    last = F.element_at(F.array(F.lit("-"), *WORDS), F.col("size").cast("int") + 1)
-    kept = sums.where((F.col("size") == 0) | (last != "") & (F.col("f") >= least))
-    phrase = F.array_join(F.array_compact(F.array(*WORDS)), " ")
+    ended = F.element_at(spelled, F.greatest(F.col("size"), F.lit(1)).cast("int")) == ""
+    total = (F.col("size") == 1) & (first == "")
+    kept = sums.where((F.col("size") > 0) & (total | ~ended & (F.col("f") >= least)))
+    kept = kept.withColumns({"lang": lang, "size": F.when(total, 0).otherwise(F.col("size"))})
+    phrase = F.array_join(F.array_compact(spelled), " ")
     counts = stage(kept.select("lang", F.col("size").cast("int").alias("size"), phrase.alias("phrase"), "f"), "phrases")
     known.destroy()
     return counts

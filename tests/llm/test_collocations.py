@@ -69,7 +69,7 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     rows = [("en", text) for text in texts(5)]
     df = spark.createDataFrame(rows, "lang string, text string")
     want = sorted(tuple(row) for row in collocations(df, least=3).collect())
-    monkeypatch.setattr(module, "frequent_pairs", lambda *_: np.full(module.FILTER_BITS // 8, 255, np.uint8))
+    monkeypatch.setattr(module, "frequent_grams", lambda *_: np.full(module.FILTER_BITS // 8, 255, np.uint8))
     assert sorted(tuple(row) for row in collocations(df, least=3).collect()) == want != []
 
 
