@@ -4,10 +4,11 @@ Of all ways to write a text as pieces, the merges give the only one in which eac
 themselves, come out as they were.  It is found by backtracking from left to right: the longest piece that matches
 comes first, an Aho-Corasick automaton has it for each position; a piece must be compatible with the one before; else
 its longest prefix that is a piece is tried; if none is left, a bit marks the position as failed, so that no other
-way leads there again, and the piece before is taken back.
+way leads there again, and the piece before is taken back.  Mostly the longest pieces, one after the other, are compatible
+at once, and nothing has to be searched.
 
 Texts are cut where no piece reaches across, which for usual vocabularies is before each run of spaces.  What lies
-between is encoded once per task while a bounded memory holds it.
+between is encoded once per worker while a bounded memory holds it.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from tablemill.llm.arrow_text import slices
 
 SPACE = "▁"
 SLICE_BYTES = 1 << 20
-# What a task remembers: parts of texts with their ids, of limited length, and pairs of pieces.
-PARTS_KEPT, LONGEST_KEPT, PAIRS_KEPT = 200_000, 64, 1_000_000
+# What a worker remembers: parts of texts with their ids, of limited length, and pairs of pieces.
+PARTS_KEPT, LONGEST_KEPT, PAIRS_KEPT = 600_000, 64, 1_000_000
 
 
 class Vocabulary:
@@ -56,6 +57,7 @@ class Vocabulary:
             next((self.numbers[piece[:size]] for size in range(len(piece) - 1, 0, -1) if piece[:size] in self.numbers), -1)
             for piece in self.pieces
         ]
+        self.encoder: Encoder | None = None
         self.parts = None if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in spelled) else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 
     def fallback(self, letter: str) -> list[int]:
@@ -74,8 +76,15 @@ class Vocabulary:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
 
+    def search(self) -> Encoder:
+        """The search of this process, made when it is first needed."""
+        if self.encoder is None:
+            self.encoder = Encoder(self)
+        return self.encoder
+
+
 class Encoder:
-    """The search of a task."""
+    """The search of a worker, with what it remembers."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.known = vocabulary
@@ -84,17 +93,18 @@ class Encoder:
             self.matches.add_word(piece, number)
         self.matches.make_automaton()
         self.find = re.compile(vocabulary.parts).findall if vocabulary.parts else lambda text: [text] if text else []
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
 
     def compatible(self, one: int, two: int) -> bool:
         """Whether two pieces, merged anew from their letters, come out as they are."""
-        found = self.pairs.get((one, two))
+        key = one << 32 | two
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
             left, right = self.known.pieces[one], self.known.pieces[two]
-            found = self.pairs[one, two] = self.known.merged(list(left + right)) == [left, right]
+            found = self.pairs[key] = self.known.merged(list(left + right)) == [left, right]
         return found
 
     def longest_at(self, text: str) -> array:
@@ -108,6 +118,14 @@ class Encoder:
 
     def search(self, text: str) -> list[int]:
         """The pieces of a text whose letters all occur in pieces."""
+        straight, pairs = [number for _, number in self.matches.iter_long(text)], self.pairs
+        for one, two in zip(straight, straight[1:]):
+            fits = pairs.get(one << 32 | two)
+            if not (self.compatible(one, two) if fits is None else fits):
+                return self.backtrack(text)
+        return straight
+
+    def backtrack(self, text: str) -> list[int]:
         lengths, shorter, longest = self.known.lengths, self.known.shorter, self.longest_at(text)
         failed, found, at = bytearray(len(text) // 8 + 1), [], 0
         piece = longest[0] if text else -1
@@ -156,7 +174,7 @@ class Encoder:
 
 def _encoding(known):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(known.value)
+        encoder = known.value.search()
         for part in slices(batches, "text", SLICE_BYTES):
             found = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in found])]).astype(np.int32)
@@ -180,16 +198,48 @@ def encode(df: DataFrame, path: str) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(_encoding(known), f"doc_id {kind}, ids array<int>")
 
 
+class Spelling:
+    """What each id stands for, as bytes."""
+
+    def __init__(self, path: str):
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.surfaces = [self._surface(i) for i in range(self.model.get_piece_size())]
+        #: whether the model puts a space before a text
+        self.spaced = self.model.normalize("a").startswith(SPACE)
+
+    def _surface(self, number: int) -> bytes | None:
+        piece = self.model.id_to_piece(number)
+        if self.model.is_byte(number):
+            return bytes([int(piece[3:5], 16)])
+        if self.model.is_control(number) or self.model.is_unknown(number) or self.model.is_unused(number):
+            return None
+        return piece.replace(SPACE, " ").encode()
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of some ids; the library has the last word on special pieces and on bytes that are no UTF-8."""
+        try:
+            if min(ids) < 0:
+                raise IndexError("piece id is out of range.")
+            text = b"".join([self.surfaces[number] for number in ids]).decode()
+        except (TypeError, UnicodeDecodeError):
+            return self.model.decode(ids)
+        return text[1:] if self.spaced and text.startswith(" ") and not self.model.is_byte(ids[0]) else text
+
+
 def _decoding(known, ids: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = known.value.decode
         for batch in batches:
-            weights = 4 * np.cumsum(pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            start = 0
+            lists = batch.column(ids)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            values, start = lists.flatten(), 0
             while start < batch.num_rows:
-                stop = max(start + 1, int(np.searchsorted(weights, (weights[start - 1] if start else 0) + SLICE_BYTES, "right")))
+                first = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, first + SLICE_BYTES // 4, "right")))
+                numbers = values.slice(first, int(ends[stop - 1]) - first).to_numpy(zero_copy_only=False).tolist()
+                bounds = [0, *(ends[start:stop] - first).tolist()]
+                texts = [decode(numbers[at:to]) if to > at else "" for at, to in zip(bounds, bounds[1:])]
                 part = batch.slice(start, stop - start)
-                texts = [decode(one) if one else "" for one in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
                 start = stop
 
@@ -202,7 +252,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     NULL and no ids give empty text; bytes that are no UTF-8 become U+FFFD, as by the library; an id
     beyond the vocabulary fails.  Other columns stay, but for one named ``decoded``.
     """
-    known = df.sparkSession.sparkContext.broadcast(sentencepiece.SentencePieceProcessor(model_file=path))
+    known = df.sparkSession.sparkContext.broadcast(Spelling(path))
     rows = df.drop("decoded")
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
     return rows.mapInArrow(_decoding(known, ids), schema)
