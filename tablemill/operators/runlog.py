@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablemill.functions.durations import duration_seconds
 from tablemill.operators.skew import look_up
+from tablemill.operators.staging import store
 
 # Texts that tell why a run failed, first the memory texts, then the pod texts.
 MEMORY_TEXTS = (
@@ -134,6 +135,32 @@ def stale_tables(edges: DataFrame, latest: DataFrame) -> DataFrame:
     )
 
 
+def stale_downstream(edges: DataFrame, latest: DataFrame) -> DataFrame:
+    """``(table_name, steps)`` of all tables to rebuild: those of :func:`stale_tables`, which are 0 steps away, and
+    whatever depends on them, over any number of steps.
+
+    ``steps`` is the length of the shortest way from a stale table.  Each round looks at the tables found in the last one
+    alone and adds what depends on them and was not found before, so cycles end and there are as many rounds as
+    the longest such way has steps.  Rounds are stored, so none is computed twice.  A table that never occurs as
+    ``table_name`` in ``edges`` has no upstream and is not stale.
+    """
+    if edges.schema["depends_on"].dataType.typeName() == "array":
+        edges = edges.select("table_name", F.explode_outer("depends_on").alias("depends_on"))
+    spark = edges.sparkSession
+    arcs = spark.table(store(edges.select("table_name", "depends_on").dropna().distinct(), "arcs"))
+    found = stale_tables(edges, latest).select("table_name", F.lit(0).alias("steps"))
+    table, steps = store(found, "stale"), 0
+    frontier = spark.table(table)
+    while not frontier.isEmpty():
+        steps += 1
+        reached = look_up(arcs, frontier.select(F.col("table_name").alias("depends_on"), F.lit(True).alias("_stale")), ["depends_on"])
+        following = reached.where("_stale").select("table_name").distinct()
+        new = following.join(spark.table(table), "table_name", "left_anti").select("table_name", F.lit(steps).alias("steps"))
+        frontier = spark.table(store(new, "stale_step"))
+        frontier.write.format("parquet").mode("append").saveAsTable(table)
+    return spark.table(table)
+
+
 def min_rows_check(datasets: Mapping[str, DataFrame], at_least: int) -> DataFrame:
     """``(dataset, n_rows, passed)``, one row per dataset."""
     counted = [

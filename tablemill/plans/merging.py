@@ -19,6 +19,7 @@ from tablemill.operators.rewrite import (
 from tablemill.operators.staging import scratch_database
 from tablemill.operators.tables import load_table
 from tablemill.plans.registry import query, table
+from tablemill.streaming.snapshots import refresh_from_snapshot
 
 
 def _target(spark: SparkSession, label: str) -> str:
@@ -101,3 +102,27 @@ def load_beside_foreign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).select(F.lit("target").alias("held_by"), "*").unionByName(
         spark.table(backup).select(F.lit("backup").alias("held_by"), "*")
     )
+
+
+@query("""
+SELECT o_orderkey, upper(o_orderpriority) AS priority,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderkey % 5 <> 0
+UNION ALL SELECT -o_orderkey, upper(o_orderpriority), o_totalprice FROM orders WHERE o_orderkey % 5 = 1
+""")
+def refresh_after_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upstream is made anew with rows gone, changed and added; downstream gets the difference, and nothing the next time."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    upstream, target = load_table(orders, _target(spark, "upstream")), _target(spark, "downstream")
+    sql = "SELECT o_orderkey, upper(o_orderpriority) AS priority, o_totalprice FROM input_df"
+    refresh_from_snapshot(spark.table(upstream), target, ["o_orderkey"], sql=sql)
+    kept = orders.where("o_orderkey % 5 <> 0").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    )
+    added = orders.where("o_orderkey % 5 = 1").withColumn("o_orderkey", -F.col("o_orderkey"))
+    load_table(kept.unionByName(added), upstream, recreate=True)
+    refresh_from_snapshot(spark.table(upstream), target, ["o_orderkey"], sql=sql)
+    again = refresh_from_snapshot(spark.table(upstream), target, ["o_orderkey"], sql=sql)
+    if any(again.values()):
+        raise AssertionError(f"nothing had changed, but the refresh found {again}")
+    return spark.table(target)

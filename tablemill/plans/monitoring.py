@@ -15,6 +15,7 @@ from tablemill.operators.runlog import (
     min_rows_check,
     newer_than,
     retry_plan,
+    stale_downstream,
     stale_tables,
 )
 from tablemill.operators.transform import sql_transform
@@ -126,6 +127,32 @@ def stale_downstream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stale_tables(edges, last_built(events))
 
 
+@query("""
+WITH RECURSIVE latest AS (SELECT 'table_' || user_id AS table_name, max(ts) AS ts FROM events GROUP BY user_id),
+edges AS (
+  SELECT DISTINCT 'table_' || user_id AS table_name, 'table_' || (user_id + 1) AS depends_on FROM events WHERE user_id % 6 <> 5
+  UNION ALL SELECT DISTINCT 'table_' || (user_id + 5), 'table_' || user_id FROM events WHERE user_id % 12 = 0
+),
+stale AS (
+  SELECT edges.table_name FROM edges LEFT JOIN latest up ON edges.depends_on = up.table_name
+  LEFT JOIN latest own ON edges.table_name = own.table_name
+  GROUP BY edges.table_name, own.ts HAVING own.ts IS NULL OR max(up.ts) > own.ts
+),
+ways(table_name, steps) AS (
+  SELECT table_name, 0 FROM stale
+  UNION SELECT edges.table_name, steps + 1 FROM ways JOIN edges ON edges.depends_on = ways.table_name WHERE steps < 12
+)
+SELECT table_name, min(steps)::INT AS steps FROM ways GROUP BY table_name
+""")
+def stale_tables_transitive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains of six tables, every other one closed to a cycle: what depends on a stale table is stale as well."""
+    events = table(spark, sf_dir, "events")
+    chain = events.where("user_id % 6 <> 5").selectExpr("concat('table_', user_id) AS table_name", "concat('table_', user_id + 1) AS depends_on")
+    back = events.where("user_id % 12 = 0").selectExpr("concat('table_', user_id + 5) AS table_name", "concat('table_', user_id) AS depends_on")
+    edges = chain.distinct().unionByName(back.distinct())
+    return stale_downstream(edges, last_built(events.selectExpr("concat('table_', user_id) AS table_name", "ts")))
+
+
 @query("""
 SELECT 'orders' AS dataset, count(*) AS n_rows, count(*) >= 1000 AS passed FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(*) >= 1000 FROM lineitem

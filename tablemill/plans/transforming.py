@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablemill.operators.batches import batch_totals, sql_per_batch, sql_per_range, top_per_batch
 from tablemill.operators.combine import conform, fan_in
 from tablemill.operators.numbering import number_rows
+from tablemill.operators.ranges import range_join
 from tablemill.operators.skew import look_up
 from tablemill.operators.splitting import split_by_position, split_within
 from tablemill.operators.staging import scratch_database
@@ -185,6 +186,21 @@ def batch_any_sql_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH tagged AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderkey // 50 * 50 AS batch_key FROM orders),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY batch_key ORDER BY o_totalprice DESC, o_orderkey) AS place FROM tagged),
+totals AS (SELECT batch_key, count(*) AS n, max(o_totalprice) AS top FROM tagged GROUP BY batch_key)
+SELECT batch_key, o_orderkey, o_totalprice, n, top FROM ranked JOIN totals USING (batch_key) WHERE place <= 3
+""")
+def batch_any_sql_lateral(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL with a CTE, an aggregate, a join and ORDER BY ... LIMIT on each batch, all batches in one plan."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sql_per_batch(with_pk_batches(orders, "o_orderkey", 50, lo=0), """
+        WITH totals AS (SELECT count(*) AS n, max(o_totalprice) AS top FROM input_df)
+        SELECT o_orderkey, o_totalprice, n, top FROM input_df CROSS JOIN totals ORDER BY o_totalprice DESC, o_orderkey LIMIT 3
+    """)
+
+
 @query("""
 WITH placed AS (
   SELECT o_orderkey, o_orderstatus, (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 AS batch_no FROM orders
@@ -303,3 +319,15 @@ def look_up_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     counts = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     return look_up(lines, counts, ["l_returnflag"], rows_per_task=HOT_ROWS)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_extendedprice, p_partkey FROM lineitem JOIN part
+ON l_extendedprice BETWEEN p_retailprice * 20 AND p_retailprice * 20 + 5
+""")
+def join_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items whose price lies in the interval of a part."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") * 20).alias("low"))
+    found = range_join(items, parts, F.col("l_extendedprice"), F.col("low"), F.col("low") + 5, width=5)
+    return found.drop("low")

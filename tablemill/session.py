@@ -78,3 +78,9 @@ def drop_path(spark: SparkSession, folder: str) -> None:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """An unused path in the application's folder."""
     return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked without a job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablemill.functions.values import column_named
 
@@ -66,13 +66,18 @@ def batch_grid(df: DataFrame, pk: str, batch_size: int) -> DataFrame:
     tagged = with_pk_batches(df, pk, batch_size, lo=lo)
     kind = tagged.schema[BATCH_KEY].dataType
     n_ranges = 0 if lo is None else int((hi - lo) // batch_size) + 1
-    step = F.col("id") if not isinstance(kind, T.DecimalType) else F.col("id").cast("decimal(38,0)")
-    start = F.lit(lo).cast(kind) + step * F.lit(float(batch_size) if isinstance(lo, float) else batch_size)
-    grid = df.sparkSession.range(n_ranges).select(start.cast(kind).alias(BATCH_KEY), F.lit(0).cast("bigint").alias("n"))
+    grid = range_starts(df.sparkSession, kind, lo, batch_size, n_ranges).withColumn("n", F.lit(0).cast("bigint"))
     counts = tagged.select(BATCH_KEY, F.lit(1).cast("bigint").alias("n"))
     return counts.unionByName(grid).groupBy(BATCH_KEY).agg(F.sum("n").alias("n_rows"))
 
 
+def range_starts(spark: SparkSession, kind: T.DataType, lo: Any, batch_size: int, n_ranges: int) -> DataFrame:
+    """``(batch_key)``, the first key of each of so many ranges from ``lo`` on."""
+    step = F.col("id") if not isinstance(kind, T.DecimalType) else F.col("id").cast("decimal(38,0)")
+    start = F.lit(lo).cast(kind) + step * F.lit(float(batch_size) if isinstance(lo, float) else batch_size)
+    return spark.range(n_ranges).select(start.cast(kind).alias(BATCH_KEY))
+
+
 def batch_rows_bound(df: DataFrame, pk: str, batch_size: int, enough: int, *, lo: Any | None = None) -> int:
     """An upper bound on the rows of one key range.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tablemill.functions.values import column_named, for_loading
 from tablemill.operators.tables import TABLE_FORMAT, replace_content
 from tablemill.operators.transform import sql_transform
+from tablemill.session import path_exists
 
 REFRESH_STREAM = "refresh_stream"
 REFRESH_BATCH = "refresh_batch"
@@ -21,7 +22,8 @@ FOLDED = -1
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The stream's own id, made once and kept in its checkpoint folder."""
     path = f"{checkpoint.rstrip('/')}/refresh_stream"
-    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("ignore").text(path)
+    if not path_exists(spark, path):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("ignore").text(path)
     return spark.read.text(path).first()[0]
 
 
@@ -45,10 +47,10 @@ def _write_batch(rows: DataFrame, target: str, stream: str, number: int) -> None
     spark = rows.sparkSession
     loaded = for_loading(rows)
     if not spark.catalog.tableExists(target):
-        empty = loaded.where(F.lit(False)).select(
-            "*", F.lit(stream).alias(REFRESH_STREAM), F.lit(number).cast("bigint").alias(REFRESH_BATCH)
-        )
-        empty.write.format(TABLE_FORMAT).partitionBy(*REFRESH_COLUMNS).saveAsTable(target)
+        schema = T.StructType([
+            *loaded.schema.fields, T.StructField(REFRESH_STREAM, T.StringType()), T.StructField(REFRESH_BATCH, T.LongType())
+        ])
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({schema.toDDL()}) USING {TABLE_FORMAT} PARTITIONED BY ({', '.join(REFRESH_COLUMNS)})")
     columns = ", ".join("`" + name.replace("`", "``") + "`" for name in rows.columns)
     spark.sql(
         f"INSERT OVERWRITE TABLE {target} PARTITION ({REFRESH_STREAM} = '{stream}', {REFRESH_BATCH} = {int(number)}) BY NAME "

@@ -150,12 +150,57 @@ def test_sql_per_batch(spark):
     df = spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "batch_key long, v long")
     found = sql_per_batch(df, "SELECT row_number() OVER (ORDER BY v) AS rn, v FROM input_df")
     assert sorted((r.rn, r.v, r.batch_key or 0) for r in found.collect()) == [(1, 5, 1), (1, 7, 0), (2, 6, 1)]
-    plan = plan_of(found)
-    assert "PartitionFilters: [isnotnull(_number" in plan
+    # what cannot be planned for all batches at once reads one partition per batch
+    found = sql_per_batch(df, "SELECT v FROM input_df WHERE v = (SELECT max(v) FROM input_df)")
+    assert sorted((r.v, r.batch_key or 0) for r in found.collect()) == [(6, 1), (7, 0)]
+    assert "PartitionFilters: [isnotnull(_number" in plan_of(found)
     empty = sql_per_batch(df.where("false"), "SELECT v FROM input_df")
     assert empty.columns == ["v", "batch_key"] and empty.count() == 0
 
 
+LATERAL = [
+    "SELECT count(*) AS n, sum(v) AS s FROM input_df",
+    "SELECT count(*) AS n, max(id) AS m FROM input_df WHERE v > 100",
+    "SELECT id, v FROM input_df ORDER BY v DESC, id LIMIT 2",
+    "SELECT id, row_number() OVER (ORDER BY v, id) AS r, sum(v) OVER (PARTITION BY id % 2) AS s FROM input_df",
+    "SELECT v, count(*) AS n FROM input_df GROUP BY v HAVING count(*) > 1",
+    "SELECT a.id, b.id AS other FROM input_df a JOIN input_df b ON a.id = b.id + 1",
+    "SELECT a.id, b.id AS other FROM input_df a LEFT JOIN input_df b ON a.id = b.id + 3",
+    "WITH x AS (SELECT max(v) AS m FROM input_df) SELECT i.id FROM input_df i JOIN x ON i.v = x.m",
+    "SELECT id FROM input_df WHERE v = 1 UNION ALL SELECT id + 1000 FROM input_df WHERE v = 2",
+    "SELECT id FROM input_df EXCEPT SELECT id FROM input_df WHERE v < 3",
+    "SELECT DISTINCT v FROM input_df",
+    "SELECT count(DISTINCT v) AS n, batch_key FROM input_df GROUP BY batch_key",
+    "SELECT id FROM input_df WHERE v = (SELECT max(v) FROM input_df)",
+    "SELECT id FROM input_df WHERE EXISTS (SELECT 1 FROM input_df o WHERE o.v = input_df.v + 1)",
+    "SELECT 1 AS one, `a.b` FROM input_df -- a comment at the end",
+]
+
+
+@pytest.mark.parametrize("query", LATERAL)
+def test_all_batches_in_one_plan_give_what_each_alone_gives(spark, query, monkeypatch):
+    df = spark.range(60).selectExpr("id", "id * 7 % 5 AS v", "id AS `a.b`", "if(id < 12, null, id div 9) AS batch_key")
+    together = sql_per_batch(df, query)
+    got = sorted(map(str, together.collect()))
+    monkeypatch.setattr(batches, "_in_one_plan", lambda *_: None)
+    alone = sql_per_batch(df, query)
+    assert got == sorted(map(str, alone.collect())) and together.columns == alone.columns
+    ranged = df.where("id < 20 OR id > 40").drop("batch_key")
+    if "batch_key" not in query:
+        want = sorted(map(str, sql_per_range(ranged, query, "id", 7).collect()))
+        monkeypatch.undo()
+        assert sorted(map(str, sql_per_range(ranged, query, "id", 7).collect())) == want
+
+
+def test_ten_thousand_batches_are_one_plan(spark, monkeypatch):
+    monkeypatch.setattr(batches, "_one_plan_each", lambda *_: pytest.fail("a plan per batch"))
+    df = spark.range(50_000).selectExpr("id", "id % 7 AS v", "id div 5 AS batch_key")
+    for query in ("SELECT count(*) AS n, sum(v) AS s FROM input_df", "SELECT id FROM input_df ORDER BY v DESC, id LIMIT 1"):
+        found = sql_per_batch(df, query)
+        assert found.count() == 10_000 and found.select("batch_key").distinct().count() == 10_000
+        assert "NestedLoop" not in plan_of(found) and "CartesianProduct" not in plan_of(found)
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
 def test_batch_keys_of_other_types(spark, kind):
     days = {"timestamp": "timestamp_seconds(id % 3 * 5000)", "timestamp_ntz": "timestamp_ntz'2026-03-08 02:30:00.000001' + make_dt_interval(id % 3)",
@@ -168,6 +213,7 @@ def test_batch_keys_of_other_types(spark, kind):
 
 def test_any_number_of_batches(spark, monkeypatch):
     monkeypatch.setattr(batches, "PLANS_AT_ONCE", 3)
+    monkeypatch.setattr(batches, "_in_one_plan", lambda *_: None)
     for n in (3, 4, 7):
         df = spark.range(n * 5).selectExpr("id div 5 AS batch_key", "id")
         found = sql_per_batch(df, "SELECT count(*) AS n FROM input_df")
