@@ -14,12 +14,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablemill.llm.anchors import gram_hashes, mixed, range_hashes
 from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.components import components
-from tablemill.llm.repeats import BYTE_HASH, NO_ID, keyed
+from tablemill.llm.repeats import BYTE_HASH, NO_ID
 from tablemill.llm.staged import stage
 
 # At a similarity of 0.8 a pair agrees in none of 40 bands of 5 with a chance of 1.3e-7.
@@ -99,7 +99,8 @@ def sign(width: int):
                 keys[full, 0] = np.add.reduceat(mixed(hashes), bounds[full])
                 keys[full, 1] = np.add.reduceat(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), bounds[full])
             has = sizes > 0
-            packed = (minima >> np.uint64(56)).astype(np.uint8).T
+            # a minimum of many hashes begins with zeros, so the byte comes from its mixing
+            packed = (mixed(minima) >> np.uint64(56)).astype(np.uint8).T
             number = np.cumsum(has) - 1
             yield pa.RecordBatch.from_pydict(
                 {
@@ -197,16 +198,34 @@ def across_components(percent: int):
     return rows
 
 
+# Rows without doc_id are nodes from here on, one for each text.
+FIRST_WITHOUT_ID = 1 << 62
+
+
+def node_of() -> tuple[Column, Column]:
+    """A row's node and a hash of its text; together they are its key."""
+    own = F.lit(FIRST_WITHOUT_ID) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    return F.coalesce(F.col("doc_id").cast("long"), own), F.hash("text")
+
+
+def noded(df: DataFrame) -> DataFrame:
+    """doc_id and text with the row's key (d, h)."""
+    node, text_hash = node_of()
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", node.alias("d"), text_hash.alias("h"))
+
+
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, d, h, n_shingles, component_id and kept of every row of ``df`` (doc_id, text).
 
     Rows are linked if their sets of shingles have at least ``percent`` percent of their union in common;
     every pair that meets in a band and could join two components is compared on full sets.  component_id is
-    the smallest doc_id that can be reached, NULL counting as the largest; the row with that doc_id is kept.
+    the smallest doc_id that can be reached, and the row with that doc_id is kept.  Rows without doc_id are documents of
+    their own, one for each text, and come after all others, whose ids are below 2 to the 62; where none
+    but such rows are linked, component_id is NULL and one text of them is kept.
     NULL and empty texts have no set and are linked with nothing.  Rows that agree in doc_id and are the first
     of their sets count as one document.  An empty frame gives no rows; other columns are ignored.
     """
-    spark, rows = df.sparkSession, keyed(df)
+    spark, rows = df.sparkSession, noded(df)
     signed = stage(rows.mapInArrow(sign(width), SIGNED), "signed")
     classes = stage(
         signed.where("n_shingles > 0").groupBy("set_key").agg(
@@ -283,15 +302,25 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     found = signed.join(of_class, "set_key", "left").withColumn("component", F.coalesce("component", "d"))
     return found.select(
         "doc_id", "d", "h", "n_shingles",
-        F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id"),
+        F.when(F.col("component") < FIRST_WITHOUT_ID, F.col("component")).alias("component_id"),
         (F.col("d") == F.col("component")).alias("kept"),
     )
 
 
 def keep_one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` (doc_id, text and any other columns) that ``near_duplicates`` keeps, unchanged."""
-    kept = near_duplicates(df, width, percent).where("kept").select(F.col("d").alias("_d"), F.col("h").alias("_h")).distinct()
-    return keep_keys(df, kept, "left_semi")
+    """The rows of ``df`` (doc_id, text and any other columns) that ``near_duplicates`` keeps, unchanged.
+
+    Of rows that agree in doc_id and text one stays.
+    """
+    found = near_duplicates(df, width, percent).where("kept").groupBy("d", "h").agg(F.count(F.lit(1)).alias("_rows"))
+    kept = stage(found.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "_rows"), "kept-keys")
+    node, text_hash = node_of()
+    row = F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+    rows = df.select(row.alias("_row"), node.alias("_d"), text_hash.alias("_h"), F.col("text").alias("_text"))
+    once = rows.join(kept.where("_rows = 1"), ["_d", "_h"], "left_semi")
+    # few rows; texts that differ although their hashes agree both stay
+    several = rows.join(kept.where("_rows > 1"), ["_d", "_h"], "left_semi").dropDuplicates(["_d", "_text"])
+    return once.unionByName(several).select("_row.*")
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:

@@ -87,7 +87,8 @@ def mix(df: DataFrame, size: str, weights: list[int], share: float, epochs: floa
 
 
 def mixed_rows(df: DataFrame, size: Column, weights: list[int], share: float, epochs: float = 2.0, seed: str = "mix") -> DataFrame:
-    """The rows of ``df`` (doc_id, source and any other columns), each as often as ``mix`` takes it."""
-    taken = mix(df.withColumn("_size", size), "_size", weights, share, epochs, seed)
+    """The rows of ``df`` (doc_id, source and any other columns of any names), each as often as ``mix`` takes it."""
+    row = F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+    taken = mix(df.select("doc_id", "source", size.alias("_size"), row.alias("_row")), "_size", weights, share, epochs, seed)
     times = F.explode(F.array_repeat(F.lit(0), F.col("_times")))
-    return taken.where("_times > 0").select(*df.columns, times.alias("_copy")).drop("_copy")
+    return taken.where("_times > 0").select("_row", times.alias("_copy")).select("_row.*")

@@ -165,7 +165,8 @@ def keep_varied(df: DataFrame, least: int = LEAST_REPEAT) -> DataFrame:
     """The rows of ``df`` (text and any other columns but ``_measures``) that ``judge`` keeps, unchanged."""
     schema = T.StructType([*df.schema.fields, T.StructField("_measures", T._parse_datatype_string(MEASURES))])
     measured = df.mapInArrow(measure(least, nested=True), schema)
-    kept = judge(measured.select(F.struct(*df.columns).alias("_row"), "_measures.*"))
+    row = F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+    kept = judge(measured.select(row.alias("_row"), "_measures.*"))
     return kept.where("kept").select("_row.*")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablemill.llm.components import components
-from tablemill.llm.minhash import near_duplicates
+from tablemill.llm.minhash import keep_one_of_each, near_duplicates, shingle_sets, sign
 
 LAST = (1 << 63) - 1
 
@@ -75,5 +75,37 @@ def test_against_all_pairs(spark, width):
         assert r.n_shingles == len(sets[d])
 
 
+def test_rows_without_id_are_documents_of_their_own(spark):
+    draw = random.Random(11)
+    text = lambda: " ".join(f"w{draw.randrange(10**6)}" for _ in range(100))
+    near = lambda one: one + " and more"
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (None, near(a)), (2, b), (None, near(b)), (None, c), (None, near(c)), (None, d), (None, d), (3, None), (None, None)]
+    rows += [(4, text())] * 3 + [(None, text()) for _ in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"a.b": F.lit("x"), "_row": F.lit(1), "d": F.lit(2)})
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(df, 5).collect() if r.doc_id or r.component_id}
+    assert got == {(1, 1, True), (None, 1, False), (2, 2, True), (None, 2, False), (3, 3, True), (4, 4, True)}
+    kept = keep_one_of_each(df, 5)
+    assert kept.columns == df.columns
+    left = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    of_c = [pair for pair in left if pair[1] in (c, near(c))]
+    assert len(of_c) == 1
+    rest = [(1, a), (2, b), (0, d), (3, ""), (0, ""), rows[10], *((0, one) for _, one in rows[13:])]
+    assert left == sorted([*of_c, *rest])
+
+
+def test_signatures_tell_large_sets_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(2)
+    texts = [" ".join(f"{name}{draw.randrange(10**9)}" for _ in range(3000)) for name in "ab"]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array([1, 2], pa.int64()), "d": pa.array([1, 2], pa.int64()), "h": pa.array([1, 2], pa.int32()), "text": pa.array(texts),
+    })
+    one, two = (np.frombuffer(row, np.uint8) for row in next(sign(5)([batch])).column("bytes_of").to_pylist())
+    assert np.diff(shingle_sets(pa.array(texts), 5)[1]).min() > 2900 and (one == two).sum() < 20
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
