@@ -7,6 +7,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablemill.functions.values import column_named, missing_to_null
+from tablemill.sources.csv_records import csv_with_breaks
 
 # The spellings that make a CSV column boolean.
 TRUTH_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
@@ -61,17 +62,21 @@ def extract_csv(
     default, a value that does not parse as its declared type fails the query rather than
     turning into NULL.  Without a schema the types are inferred from all values.
 
-    Quoted line breaks need ``multiline``, with which one file is one task; other files are split.
-    By default the files are looked through first, line by line in parallel: a line break inside
-    quotes leaves a line with an odd number of quotes.  Give True or False to save that pass.
+    By default the files are looked through first, line by line in parallel: a line break inside quotes leaves a
+    line with an odd number of quotes.  Files without one are split among tasks as lines, others as records
+    (:func:`tablemill.sources.csv_records.csv_with_breaks`).  Only files with quotes in the middle of a field are
+    read one per task, as all are with ``multiline``; False says that no field holds a line break.
     """
+    text = None
     if multiline is None:
         quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
         multiline = not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-    # enforceSchema off: files whose headers differ are refused instead of read by position
-    text = spark.read.options(
-        header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8", enforceSchema=False
-    ).csv(path)
+        text = csv_with_breaks(spark, path) if multiline else None
+    if text is None:
+        # enforceSchema off: files whose headers differ are refused instead of read by position
+        text = spark.read.options(
+            header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8", enforceSchema=False
+        ).csv(path)
     text = text.select(*[missing_to_null(column_named(name)).alias(name) for name in text.columns])
     if schema is None:
         kinds = _inferred(text)
