@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablemill.functions.values import column_named, for_loading
 from tablemill.operators.staging import drop_tables, store
@@ -117,7 +117,9 @@ def _same_columns(df: DataFrame, spark: SparkSession, table: str) -> bool:
     return shape(df) == shape(spark.table(table))
 
 
-def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()) -> str:
+def replace_table(
+    df: DataFrame, table: str, *, partition_by: Sequence[str] = (), check: Callable[[], None] | None = None
+) -> str:
     """Make the frame the whole table, which the frame itself may read.
 
     The rows are written first, so a failed job leaves the old content in place.  A table that keeps its
@@ -127,6 +129,9 @@ def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()
     place, so for a moment it is missing.  Partitioned tables are not renamed, since catalogs may
     leave their partitions at the old place; their rows are written to a table aside, and the table is made anew
     from it.  A driver lost meanwhile is made good by the next load (:func:`finish_replacement`).
+
+    ``check`` is called when the rows are written and before they become the table; where it raises, they go
+    and the table stays as it was.
     """
     spark = df.sparkSession
     finish_replacement(spark, table)
@@ -134,6 +139,7 @@ def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()
     if partition_by or is_partitioned(spark, table):
         aside = _aside_name(table)
         _write_table(df, aside)
+        _checked(check, lambda: drop_tables(spark, [aside]))
         set_properties(spark, aside, {ASIDE_OF: table.lower(), PARTITION_BY: json.dumps(list(partition_by))})
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         _write_table(spark.table(aside), table, partition_by)
@@ -141,10 +147,12 @@ def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()
     elif exists and described(spark, table).get("Provider") == TABLE_FORMAT and _same_columns(df, spark, table):
         folder = _beside(spark, table)
         df.write.format(TABLE_FORMAT).save(folder)
+        _checked(check, lambda: drop_path(spark, folder))
         _switch(spark, table, folder)
     elif exists:
         fresh, aside = f"{table}_new_{uuid.uuid4().hex}", _aside_name(table)
         _write_table(df, fresh)
+        _checked(check, lambda: drop_tables(spark, [fresh]))
         drop_former(spark, table)
         set_properties(spark, table, {ASIDE_OF: table.lower()})
         spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
@@ -156,9 +164,20 @@ def replace_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()
         drop_tables(spark, [aside])
     else:
         create_table(df, table)
+        _checked(check, lambda: drop_tables(spark, [table]))
     return table
 
 
+def _checked(check: Callable[[], None] | None, undo: Callable[[], object]) -> None:
+    if check is None:
+        return
+    try:
+        check()
+    except Exception:
+        undo()
+        raise
+
+
 def create_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = ()) -> str:
     """Make a table that does not exist from a frame."""
     _write_table(df, table, partition_by)
@@ -214,6 +233,37 @@ def load_table(df: DataFrame, table: str, *, recreate: bool = False, partition_b
     return table
 
 
+class ShortLoad(ValueError):
+    """A load wrote fewer rows than it should."""
+
+
+def load_at_least(
+    df: DataFrame, table: str, at_least: int, *, recreate: bool = False, partition_by: Sequence[str] = ()
+) -> int:
+    """:func:`load_table` that fails if fewer rows than ``at_least`` are written, and returns how many were.
+
+    Rows are counted while they are written, by an observation, so nothing is read twice.  With ``recreate``, and for a table
+    that is missing, a short load leaves the catalog as it was.  An append is told after the fact: its rows stay.
+    """
+    spark, seen = df.sparkSession, Observation(f"written_{uuid.uuid4().hex}")
+    rows = for_loading(df).observe(seen, F.count(F.lit(1)).alias("n_rows"))
+
+    def written() -> int:
+        return seen.get.get("n_rows", 0)
+
+    def check() -> None:
+        if written() < at_least:
+            raise ShortLoad(f"{table} got {written()} rows, needs {at_least}")
+
+    finish_replacement(spark, table)
+    if recreate or not spark.catalog.tableExists(table):
+        replace_table(rows, table, partition_by=partition_by, check=check)
+    else:
+        spark.sql("INSERT INTO IDENTIFIER(:target) BY NAME SELECT * FROM {rows}", args={"target": table}, rows=rows)
+        check()
+    return written()
+
+
 def insert_select(spark: SparkSession, query: str, target: str, args: Mapping[str, Any] | None = None) -> str:
     """``INSERT INTO target <query>`` by column position, or create the target from the query."""
     if spark.catalog.tableExists(target):

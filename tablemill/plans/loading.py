@@ -20,9 +20,10 @@ from tablemill.plans.flows import (
     union_to_table,
 )
 from tablemill.plans.registry import query, table
-from tablemill.session import fresh_path
+from tablemill.session import drop_path, fresh_path
 from tablemill.sources.files import extract_csv
 from tablemill.streaming.refresh import REFRESH_COLUMNS, compact, refresh
+from tablemill.streaming.totals import RunningTotals, average_of, count_of, largest_of, latest_of, smallest_of, total_of
 
 # A file of long texts is read by one task.
 LONG_TEXT_ROWS = 50_000
@@ -307,6 +308,32 @@ def refresh_sql_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT user_id, event_type, count(*) AS n_events, sum(value::DECIMAL(18,6)) AS total, min(ts) AS first_ts, max(ts) AS last_ts,
+       max({'ts': ts, 'value': value}).value AS last_value,
+       round((sum(value::DECIMAL(18,6)) / count(value))::DOUBLE, 6) AS mean_value
+FROM events GROUP BY user_id, event_type
+""")
+def refresh_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per key over files that arrive, with a batch that runs again, states folded, and more files after that."""
+    path, progress, events = fresh_path(spark, "arrivals"), fresh_path(spark, "progress"), table(spark, sf_dir, "events")
+    amount = F.col("value").cast("decimal(18,6)")
+    running = RunningTotals(_target(spark, "totals"), ["user_id", "event_type"], {
+        "n_events": count_of(), "total": total_of(amount), "first_ts": smallest_of(F.col("ts")), "last_ts": largest_of(F.col("ts")),
+        "last_value": latest_of(F.col("value"), F.col("ts")), "mean_value": average_of(amount),
+    })
+    for third in range(3):
+        events.where(F.col("event_id") % 3 == third).coalesce(2).write.mode("append").parquet(path)
+        running.refresh(spark, path, events.schema, progress, files_per_batch=1)
+        if third == 1:
+            # as if the driver had been lost before the last batch was noted as done
+            last = spark.table(running.target).where("refresh_batch >= 0").agg(F.max("refresh_batch")).first()[0]
+            drop_path(spark, f"{progress}/commits/{last}")
+            running.refresh(spark, path, events.schema, progress, files_per_batch=1)
+            running.fold(spark)
+    return running.totals(spark).withColumn("mean_value", F.round(F.col("mean_value").cast("double"), 6))
+
+
 @query("SELECT event_id AS id, value FROM events UNION ALL SELECT o_orderkey AS id, o_totalprice AS value FROM orders")
 def refresh_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources, each with its own progress, feed one table, which is compacted and refreshed again."""

@@ -18,6 +18,8 @@ from tablemill.operators.runlog import (
     stale_downstream,
     stale_tables,
 )
+from tablemill.operators.staging import scratch_database, temp_name
+from tablemill.operators.tables import ShortLoad, load_at_least
 from tablemill.operators.transform import sql_transform
 from tablemill.plans.registry import query, table
 
@@ -160,3 +162,22 @@ UNION ALL SELECT 'region', count(*), count(*) >= 1000 FROM region
 """, name="min_rows_check")
 def min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return min_rows_check({name: table(spark, sf_dir, name) for name in ("orders", "lineitem", "region")}, 1000)
+
+
+@query("""
+SELECT 'orders' AS dataset, count(*) AS n_rows, TRUE AS passed FROM orders
+UNION ALL SELECT 'lineitem', count(*), TRUE FROM lineitem
+UNION ALL SELECT 'region', 0, FALSE
+""")
+def min_rows_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are counted while they are loaded; a load that falls short leaves no table."""
+    report = []
+    for name in ("orders", "lineitem", "region"):
+        target = f"{scratch_database(spark)}.{temp_name('checked')}"
+        try:
+            load_at_least(table(spark, sf_dir, name), target, 100)
+        except ShortLoad:
+            report.append((name, 0, spark.catalog.tableExists(target)))
+        else:
+            report.append((name, spark.table(target).count(), True))
+    return spark.createDataFrame(report, "dataset string, n_rows long, passed boolean")

@@ -84,3 +84,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, asked without a job."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a line of text to a file, whole or not at all, without a job; a file that is there stays."""
+    jvm = spark._jvm
+    place, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(draft)
+    out.writeBytes(text)
+    out.close()
+    if not files.rename(draft, place):
+        files.delete(draft, False)
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    """The text of a small file, without a job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    opened = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()

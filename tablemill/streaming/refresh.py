@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablemill.functions.values import column_named, for_loading
 from tablemill.operators.tables import TABLE_FORMAT, replace_content
 from tablemill.operators.transform import sql_transform
-from tablemill.session import path_exists
+from tablemill.session import is_folder, path_exists, read_note, write_note
 
 REFRESH_STREAM = "refresh_stream"
 REFRESH_BATCH = "refresh_batch"
@@ -20,11 +20,14 @@ FOLDED = -1
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The stream's own id, made once and kept in its checkpoint folder."""
+    """The stream's own id, made once and kept in its checkpoint folder; no job is run for it."""
     path = f"{checkpoint.rstrip('/')}/refresh_stream"
     if not path_exists(spark, path):
-        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("ignore").text(path)
-    return spark.read.text(path).first()[0]
+        write_note(spark, path, uuid.uuid4().hex)
+    elif is_folder(spark, path):
+        # checkpoints of earlier versions
+        return spark.read.text(path).first()[0]
+    return read_note(spark, path)
 
 
 def _check_target(spark: SparkSession, target: str) -> None:
@@ -44,18 +47,22 @@ def _write_batch(rows: DataFrame, target: str, stream: str, number: int) -> None
     A batch that runs again after a failure overwrites that partition, so no row is
     doubled or lost, and no other stream has it.
     """
+    overwrite_batch(for_loading(rows), target, stream, number)
+
+
+def overwrite_batch(rows: DataFrame, target: str, stream: str, number: int) -> None:
+    """Make rows the partition of a stream and batch number, in a target that is created if missing."""
     spark = rows.sparkSession
-    loaded = for_loading(rows)
     if not spark.catalog.tableExists(target):
         schema = T.StructType([
-            *loaded.schema.fields, T.StructField(REFRESH_STREAM, T.StringType()), T.StructField(REFRESH_BATCH, T.LongType())
+            *rows.schema.fields, T.StructField(REFRESH_STREAM, T.StringType()), T.StructField(REFRESH_BATCH, T.LongType())
         ])
         spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({schema.toDDL()}) USING {TABLE_FORMAT} PARTITIONED BY ({', '.join(REFRESH_COLUMNS)})")
     columns = ", ".join("`" + name.replace("`", "``") + "`" for name in rows.columns)
     spark.sql(
         f"INSERT OVERWRITE TABLE {target} PARTITION ({REFRESH_STREAM} = '{stream}', {REFRESH_BATCH} = {int(number)}) BY NAME "
         f"SELECT {columns} FROM {{rows}}",
-        rows=loaded,
+        rows=rows,
     )
 
 
@@ -96,22 +103,37 @@ def refresh(
     """
     if sql and transform:
         raise ValueError("give sql or transform, not both")
-    _check_target(spark, target)
-    stream = _stream_id(spark, checkpoint)
 
-    def one_batch(rows: DataFrame, number: int) -> None:
+    def one_batch(rows: DataFrame, stream: str, number: int) -> None:
         if sql:
             rows = sql_transform(sql, rows)
         elif transform:
             rows = transform(rows)
         _write_batch(rows, target, stream, number)
 
+    return run_to_end(spark, source, schema, target, checkpoint, one_batch, source_format, files_per_batch, options)
+
+
+def run_to_end(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    one_batch: Callable[[DataFrame, str, int], None],
+    source_format: str,
+    files_per_batch: int | None,
+    options: Mapping[str, str],
+) -> str:
+    """Give the new files of ``source`` to ``one_batch``, batch by batch, with the stream's id and the batch's number."""
+    _check_target(spark, target)
+    stream = _stream_id(spark, checkpoint)
     reader = spark.readStream.format(source_format).schema(schema).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     running = (
         reader.load(source)
-        .writeStream.foreachBatch(one_batch)
+        .writeStream.foreachBatch(lambda rows, number: one_batch(rows, stream, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
