@@ -24,8 +24,8 @@ from tablemill.llm.staged import stage
 
 # At a similarity of 0.8 a pair agrees in none of 40 bands of 5 with a chance of 1.3e-7.
 BANDS, ROWS = 40, 5
-# Members of a bucket that one task compares at a time.
-BLOCK = 5_000
+# Members of a bucket in a block; a task compares two blocks at a time.
+BLOCK = 2_000
 PART_BYTES = 16 << 20
 _draw = np.random.default_rng(20240611)
 FACTORS = _draw.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,17 +159,18 @@ def across_components(percent: int):
         if not held:
             return
         table = pa.Table.from_batches(held)
-        band, block, own, d, size, component, outside = (
-            table.column(name).to_numpy() for name in ("band", "block", "own", "d", "size", "component", "outside")
+        band, seeker, sought, seeks, is_sought, d, size, component, outside = (
+            table.column(name).to_numpy()
+            for name in ("band", "seeker", "sought", "seeks", "is_sought", "d", "size", "component", "outside")
         )
         signs = np.frombuffer(b"".join(table.column("bytes_of").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
         sets = [np.frombuffer(one, np.uint32) for one in table.column("short").to_pylist()]
-        order = np.lexsort((block, band))
-        new = np.append(True, (band[order[1:]] != band[order[:-1]]) | (block[order[1:]] != block[order[:-1]]))
+        order = np.lexsort((sought, seeker, band))
+        new = np.append(True, np.any([of[order[1:]] != of[order[:-1]] for of in (band, seeker, sought)], axis=0))
         left, right = [], []
         for group in np.split(order, np.nonzero(new)[0][1:]):
-            here = group[own[group] == block[group]]
-            for one in group[outside[group]]:
+            here = group[is_sought[group]]
+            for one in group[seeks[group]]:
                 fits = (component[here] != component[one]) & (
                     100 * np.minimum(size[here], size[one]) >= percent * np.maximum(size[here], size[one])
                 )
@@ -198,6 +199,25 @@ def across_components(percent: int):
     return rows
 
 
+def tiles() -> Column:
+    """The tiles of a bucket's member: (seeker, sought) are the numbers of the two blocks, and what it does there.
+
+    Every member is sought in one block, by each block of seekers; one outside also seeks, in each block of
+    members.  So a tile holds about two blocks however large the bucket is, and meets each pair once.
+    """
+    seeker, sought = (F.pmod(F.xxhash64("set_key"), F.col(blocks)).cast("int") for blocks in ("seekers", "soughts"))
+
+    def blocks(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    def tile(a: Column, b: Column, seeks: Column, is_sought: Column) -> Column:
+        return F.struct(a.alias("seeker"), b.alias("sought"), seeks.alias("seeks"), is_sought.alias("is_sought"))
+
+    as_sought = F.transform(blocks("seekers"), lambda a: tile(a, sought, F.col("outside") & (a == seeker), F.lit(True)))
+    others = F.filter(blocks("soughts"), lambda b: F.col("outside") & (b != sought))
+    return F.concat(as_sought, F.transform(others, lambda b: tile(seeker, b, F.lit(True), F.lit(False))))
+
+
 # Rows without doc_id are nodes from here on, one for each text.
 FIRST_WITHOUT_ID = 1 << 62
 
@@ -276,20 +296,19 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     )
     apart = stage(apart, "members-apart")
     open_bands = stage(
-        apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("outside").alias("open")).where("open")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")),
+        apart.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("n_outside")).where("n_outside > 0")
+        .select("band", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(blocks) for n, blocks in (("n_outside", "seekers"), ("n", "soughts"))]),
         "open-bands",
     )
-    # a large bucket is dealt out in blocks; those outside go to every block and meet all its members there
+    # a large bucket is dealt out in tiles: a block of those outside, which seek partners, and a block of all its members
     still = stage(apart.join(open_bands, "band"), "still-apart")
     sets = content.join(still.select("set_key").distinct(), "set_key", "left_semi")
     sets = stage(sets.mapInArrow(short_sets(width), "set_key binary, bytes_of binary, short binary"), "short-sets")
-    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    blocks = F.when(F.col("outside"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    dealt = still.select("band", "set_key", "d", "size", "component", "outside", own.alias("own"), F.explode(blocks).alias("block"))
+    dealt = still.select("band", "set_key", "d", "size", "component", "outside", F.explode(tiles()).alias("tile"))
+    dealt = dealt.select("band", "set_key", "d", "size", "component", "outside", "tile.*")
     n_bytes = dealt.agg(F.sum(F.col("size") * 4 + 300)).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(n_bytes / PART_BYTES))
-    pairs = dealt.join(sets, "set_key").repartition(parts, "band", "block").mapInArrow(
+    pairs = dealt.join(sets, "set_key").repartition(parts, "band", "seeker", "sought").mapInArrow(
         across_components(percent), "key_a binary, d_a long, set_key binary, d long"
     )
     more = compare(pairs)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablemill.llm.components import components
-from tablemill.llm.minhash import keep_one_of_each, near_duplicates, shingle_sets, sign
+from tablemill.llm import minhash
+from tablemill.llm.minhash import keep_one_of_each, near_duplicates, shingle_sets, sign, tiles
 
 LAST = (1 << 63) - 1
 
@@ -75,6 +76,44 @@ def test_against_all_pairs(spark, width):
         assert r.n_shingles == len(sets[d])
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_templated_texts_in_small_tiles(spark, seed, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    draw = random.Random(seed)
+    template, rows = [f"t{i}" for i in range(100)], []
+    for _ in range(25):
+        words = list(template)
+        for place in draw.sample(range(100), draw.randrange(4, 12)):
+            words[place] = f"x{draw.randrange(10**6)}"
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(draw.randrange(3)):
+            words[draw.randrange(100)] = f"y{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = {d: shingles(t, 2) for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = reach(sets, links)
+    assert len(set(want.values())) > 3
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_tiles_are_bounded_and_meet_each_pair_once(spark):
+    rows = spark.range(700).selectExpr("id AS d", "unhex(sha2(CAST(id AS STRING), 256)) AS set_key", "id % 3 = 0 AS outside", "3 AS seekers", "7 AS soughts")
+    dealt = rows.select("d", "outside", F.explode(tiles()).alias("tile")).select("d", "outside", "tile.*").collect()
+    met, held = {}, {}
+    for row in dealt:
+        held.setdefault((row.seeker, row.sought), []).append(row)
+    for tile in held.values():
+        assert len(tile) < 250
+        for one in tile:
+            if one.seeks:
+                assert one.outside
+                for other in tile:
+                    if other.is_sought:
+                        met[one.d, other.d] = met.get((one.d, other.d), 0) + 1
+    assert set(met.values()) == {1} and len(met) == 234 * 700
+
+
 def test_rows_without_id_are_documents_of_their_own(spark):
     draw = random.Random(11)
     text = lambda: " ".join(f"w{draw.randrange(10**6)}" for _ in range(100))
