@@ -265,7 +265,7 @@ def judge_shares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({**{name: batch.column(name) for name in ("d", "h", "item_id")}, "share": pa.array(shares, pa.float64())})
 
 
-SCHEMA = f"d long, h int, {WINDOWS}, width int, n_tokens long"
+SCHEMA = f"d long, h long, {WINDOWS}, width int, n_tokens long"
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = found.join(known, ["key", "width"]).groupBy("d", "h", "item_id", "item_h", "n_tokens").agg(
         F.collect_set(F.struct("at", "item_at", "item_until", "item_slots", "slots")).alias("met")
     )
-    shares = met.mapInArrow(judge_shares, "d long, h int, item_id long, share double")
+    shares = met.mapInArrow(judge_shares, "d long, h long, item_id long, share double")
     return shares.where(F.col("share") >= LEAST_SHARE).groupBy("d", "h", "item_id").agg(F.max("share").alias("share"))
 
 

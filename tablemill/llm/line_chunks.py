@@ -103,7 +103,7 @@ def remove_repeated_chunks(df: DataFrame) -> DataFrame:
     """
     rows = df.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), F.hash("text").alias("_h"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_d"), F.xxhash64("text").alias("_h"),
     )
     gone = repeated_chunks(rows).groupBy("_d", "_h").agg(F.collect_set("no").alias("_gone"))
     met = with_chunks(rows.join(gone.hint("merge"), ["_d", "_h"], "left"))

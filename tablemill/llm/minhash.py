@@ -345,4 +345,4 @@ def keep_one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 def keep_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """A semi or anti join of ``df`` to row keys (_d, _h)."""
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return df.join(keys, (d == keys["_d"]) & (F.hash(df["text"]) == keys["_h"]), how)
+    return df.join(keys, (d == keys["_d"]) & (F.xxhash64(df["text"]) == keys["_h"]), how)

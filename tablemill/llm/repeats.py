@@ -33,9 +33,9 @@ from tablemill.llm.staged import stage
 NO_ID = (1 << 63) - 1
 SHARD_BYTES = 3 << 20
 
-CANDIDATE = "anchor long, whole long, d long, h int, start int, n_windows int, periodic boolean"
-PIECE = "anchor long, copies long, d long, h int, start int, n_windows int, content binary"
-FOUND = "d long, h int, start int, n_windows int"
+CANDIDATE = "anchor long, whole long, d long, h long, start int, n_windows int, periodic boolean"
+PIECE = "anchor long, copies long, d long, h long, start int, n_windows int, content binary"
+FOUND = "d long, h long, start int, n_windows int"
 BYTE_HASH = mixed(np.arange(1, 257, dtype=np.uint64))
 OTHER_BYTE_HASH = mixed(np.arange(1001, 1257, dtype=np.uint64))
 
@@ -69,7 +69,7 @@ def keyed(df: DataFrame) -> DataFrame:
     """doc_id and text with the row's key (d, h)."""
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.hash("text").alias("h"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64("text").alias("h"),
     )
 
 
@@ -114,7 +114,7 @@ def contents(cut: Cut, hot: bool):
             yield pa.RecordBatch.from_pydict(
                 {
                     "anchor": pa.array(out["anchor"], pa.int64()), "copies": pa.array(out["copies"], pa.int64()),
-                    "d": pa.array(out["d"], pa.int64()), "h": pa.array(out["h"], pa.int32()),
+                    "d": pa.array(out["d"], pa.int64()), "h": pa.array(out["h"], pa.int64()),
                     "start": pa.array(out["start"], pa.int32()), "n_windows": pa.array(out["n_windows"], pa.int32()),
                     "content": pa.array(out["content"], pa.binary()),
                 }
@@ -175,7 +175,7 @@ def index_shard(search: Index):
             row, offset, length = runs(marked)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "d": pa.array(chosen["d"][row]), "h": pa.array(chosen["h"][row], pa.int32()),
+                    "d": pa.array(chosen["d"][row]), "h": pa.array(chosen["h"][row], pa.int64()),
                     "start": pa.array(chosen["start"][row] + offset, pa.int32()), "n_windows": pa.array(length, pa.int32()),
                 }
             )
@@ -236,7 +236,7 @@ def repeated_windows(keyed_rows: DataFrame, cut: Cut, search: Index, keep_first:
     indexed = pieces.repartition(shards, "anchor").mapInArrow(index_shard(search), FOUND)
     one_by_one = stage(
         read.select("d", "h", "text", F.col("hot").alias("wanted")).where(F.size("wanted") > 0).mapInArrow(
-            contents(cut, True), "one long, two long, copies long, d long, h int, start int"
+            contents(cut, True), "one long, two long, copies long, d long, h long, start int"
         ),
         "windows",
     )

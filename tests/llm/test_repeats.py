@@ -85,3 +85,16 @@ def test_repeats_inside_one_segment(spark):
         want = expected(rows, length, operator is remove_repeated_words)
         assert sorted(got, key=str) == want
         assert {row[0] for row in want if row[2]} >= {1, 2, LAST}
+
+
+def test_texts_without_id_whose_short_hashes_meet(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    meet = (
+        spark.range(150_000).select(F.concat(F.col("id").cast("string"), F.lit(f" {passage}")).alias("text"))
+        .groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").limit(3).collect()
+    )
+    assert meet
+    rows = [(1, passage)] + [(None, text) for pair in meet for text in pair.texts] + [(None, meet[0].texts[0] + " and its own end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(LAST if r.doc_id is None else r.doc_id, r.n_items, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeated_bytes(df, 50).collect()]
+    assert sorted(got, key=str) == expected(rows, 50, False)
