@@ -137,26 +137,43 @@ lines AS (
     SELECT doc_id, i, l[i] AS line, i = len(l) AS last, ('0x' || substr(md5(l[i]), 1, 7))::BIGINT AS h
     FROM docs, unnest(range(1, len(l) + 1)) AS t(i)
 ),
+rolled AS (
+    SELECT lines.*, base, NOT last
+        AND (base * coalesce(lag(h) OVER (PARTITION BY doc_id, base ORDER BY i), 0) + h) % 2147483647 % 3 <> 0 AS may
+    FROM lines, (SELECT unnest([1000003, 15485863, 179424673])::BIGINT AS base)
+),
+grouped AS (
+    SELECT *, sum((NOT may)::INT) OVER (PARTITION BY doc_id, base ORDER BY i) AS run FROM rolled
+),
 marked AS (
-    SELECT *, last OR (h + 31 * coalesce(lag(h, 1) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0)) % 3 = 0 AS ends
-    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    SELECT *, last OR may AND row_number() OVER (PARTITION BY doc_id, base, run, may ORDER BY i) % 2 = 1 AS ends FROM grouped
 ),
 numbered AS (
-    SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no
+    SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id, base ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no
     FROM marked
 ),
-chunks AS (SELECT doc_id, no, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS content FROM numbered GROUP BY doc_id, no),
+pieces AS (
+    SELECT *, (row_number() OVER (PARTITION BY doc_id, base, no ORDER BY i) - 1) // 8 AS piece FROM numbered
+),
+chunks AS (
+    SELECT DISTINCT doc_id, first, n, content FROM (
+        SELECT doc_id, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS content
+        FROM pieces GROUP BY doc_id, base, no, piece
+    )
+),
 judged AS (
-    SELECT *, n >= 2 AND row_number() OVER (PARTITION BY n >= 2, content ORDER BY doc_id, no) > 1 AS gone FROM chunks
+    SELECT *, n >= 2 AND row_number() OVER (PARTITION BY n >= 2, content ORDER BY doc_id, first) > 1 AS gone FROM chunks
 ),
+totals AS (SELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY doc_id),
+removed AS (SELECT DISTINCT doc_id, unnest(range(first, first + n)) AS i FROM judged WHERE gone),
 kept AS (
-    SELECT doc_id, sum(n) AS n_lines, count(*) AS n_chunks, sum(n) FILTER (WHERE gone) AS n_removed,
-        string_agg(content, chr(10) ORDER BY no) FILTER (WHERE NOT gone) AS text
-    FROM judged GROUP BY doc_id
+    SELECT doc_id, count(*) AS n_lines, count(removed.i) AS n_removed,
+        string_agg(line, chr(10) ORDER BY i) FILTER (WHERE removed.i IS NULL) AS text
+    FROM lines LEFT JOIN removed USING (doc_id, i) GROUP BY doc_id
 )
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
     coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
-FROM documents LEFT JOIN kept USING (doc_id)
+FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
 """
 
 COLLOCATIONS = r"""

@@ -28,5 +28,22 @@ def test_odd_rows(spark):
     assert [r[1] for r in got if r[0] == 10] == [4]
 
 
+def test_short_passages_and_runs_of_equal_lines(spark):
+    def around(no, passage):
+        return "\n".join([f"before {no} {i}" for i in range(3)] + passage + [f"after {no} {i}" for i in range(3)])
+
+    short = [[f"passage {p} line {i}" for i in range(4)] for p in range(60)]
+    rows = [(2 * p + copy, around(2 * p + copy, passage)) for p, passage in enumerate(short) for copy in (0, 1)]
+    rows += [(1000 + r, around(1000 + r, [f"the same {r // 2}"] * 40)) for r in range(40)]
+    got = {r.doc_id: r for r in remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * p].n_removed == 0 for p in range(60))
+    assert sum(got[2 * p + 1].n_removed for p in range(60)) > 60 * 4 / 2
+    assert sum(got[1001 + 2 * r].n_removed for r in range(20)) > 0.9 * 20 * 40
+    # surroundings stay, and of each repeated line one copy
+    kept = [line for r in got.values() for line in r.kept_text.split("\n")]
+    assert {line for _, text in rows for line in text.split("\n")} == set(kept)
+    assert all(kept.count(line) == 1 for line in kept if line.startswith(("before", "after")))
+
+
 def test_empty_table(spark):
     assert remove_repeated_chunks(spark.createDataFrame([], "doc_id long, text string")).count() == 0
