@@ -25,7 +25,8 @@ TAG = re.compile(
     re.DOTALL,
 )
 NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|/|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,13 +42,38 @@ OTHER_NAMES = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation "
     "breadcrumb breadcrumbs footer contentinfo sidebar complementary widget widgets related recommended share sharing "
     "social cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
-    "login comment comments commentlist reply replies respond disqus pagination pager toolbar search skip".split()
+    "login comment comments commentlist reply replies respond disqus pagination pager toolbar search skip discussion "
+    "discussions reactions responses rail".split()
+)
+# Some of them are common in names of content too and count as the last word only: social, but not social-science.
+SUBJECTS = set(
+    "social related comment comments notice notices search share sharing alert menu rail reactions responses discussion "
+    "discussions reply replies respond subscription complementary skip".split()
+)
+# Words that may follow without changing what a name says: related-posts, but not related-work.
+HOLDERS = set(
+    "area bar block body box button buttons container content form group holder icon icons inner item items layout left "
+    "line link links list main media message outer page panel post posts right row section slot strip thread top "
+    "bottom story stories text title unit wrap wrapper zone articles author count date info toggle primary secondary small "
+    "large facebook twitter".split()
 )
 HEAD_NAMES = {"header", "masthead", "topbar"}
 MAIN_NAMES = {"article", "main"}
+# Elements that tell where the main part of a page is, the surest first.
+MARKED = ("main", "article", "h1", "p")
 # A class that begins or ends with one of these tells of another element: has-sidebar, no-comments, share-enabled.
 BEFORE, AFTER = {"has", "no", "not", "with", "without"}, {"enabled", "disabled", "off"}
 
+# Where a text stands, by the elements around it; the first that is open counts.
+PLACE_OF = {"a": "link", **dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), "head"), **dict.fromkeys("li td th dt dd pre".split(), "item")}
+PLACES = ("link", "head", "item", "plain")
+# A block of so many words is text without a full stop as well.
+MANY_WORDS = 12
+SENTENCE_ENDS, CLOSING = set(".!?:;\u2026\u3002\uff01\uff1f"), "\"')]\u201d\u2019\u00bb"
+
+# How many tags are worth a word of the same odds.
+TAG_SHARE = 10
+
 Event = tuple[str, str]
 
 
@@ -67,40 +93,78 @@ def is_other(name: str, rest: str, in_main: bool, by_name: bool = True) -> bool:
             for one in "".join(values).split():
                 parts = [word.lower() for word in PARTS.findall(one)]
                 if parts and parts[0] not in BEFORE and parts[-1] not in AFTER:
-                    said.update(parts)
+                    while len(parts) > 1 and parts[-1] in HOLDERS:
+                        parts.pop()
+                    said.add(parts[-1])
+                    said.update(part for part in parts[:-1] if part not in SUBJECTS)
     if name == "article":
         return "comment" in said
     if not by_name:
-        return bool(HIDDEN.search(rest))
-    return bool(said & OTHER_NAMES) or (not in_main and bool(said & HEAD_NAMES)) or bool(HIDDEN.search(rest))
+        return is_hidden(rest)
+    return bool(said & OTHER_NAMES) or (not in_main and bool(said & HEAD_NAMES)) or is_hidden(rest)
+
+
+def is_hidden(rest: str) -> bool:
+    """Whether an element's attributes, not words within their values, hide it."""
+    for name, *values in ATTRIBUTE.findall(rest):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and NO_DISPLAY.search(value):
+            return True
+    return False
 
 
 def events(page: str) -> list[Event]:
     """("tag", name), ("other", name) for a whole element without main text, ("note", comment), and texts, decoded.
 
     Texts are told apart by where they stand: ("article", text) inside an article or main element, ("outside",
-    text) elsewhere on a page that has text in one, ("link", text) in a link and ("plain", text) on other pages.
+    text) elsewhere on a page that has text in one.  On other pages: ("link", text) in a link, ("head", text) in a
+    headline, ("item", text) in a list, table or preformatted text, ("short", text) in a block that is no sentence
+    if the page has a block of many words, and ("plain", text).
     """
     found = list(_scan(page, _wrappers(page)))
     if any(kind == "article" and not value.isspace() for kind, value in found):
-        found = [("outside", value) if kind in ("link", "plain") else (kind, value) for kind, value in found]
+        return [("outside", value) if kind in PLACES else (kind, value) for kind, value in found]
+    return _without_sentences(found)
+
+
+def _without_sentences(found: list[Event]) -> list[Event]:
+    """``found`` with plain texts of blocks that are no sentence as short ones, beside blocks of many words."""
+    blocks, members, words = [], [], []
+    for at, (kind, value) in enumerate(found):
+        if kind in ("tag", "other") and value in BLOCK:
+            blocks.append((members, words))
+            members, words = [], []
+        elif kind in PLACES:
+            members.append(at)
+            words += value.split()
+    blocks.append((members, words))
+    if not any(len(words) >= MANY_WORDS for _, words in blocks):
+        return found
+    for members, words in blocks:
+        if len(words) < MANY_WORDS and not (len(words) > 1 and words[-1].rstrip(CLOSING)[-1:] in SENTENCE_ENDS):
+            for at in members:
+                if found[at][0] == "plain":
+                    found[at] = ("short", found[at][1])
     return found
 
 
 def _wrappers(page: str) -> set[int]:
     """Where the elements begin that hold the main part of a page, so that their names cannot leave it out.
 
-    They hold every main element, or without one every article, or without these every h1.  Articles beside a
-    headline elsewhere are teasers if there are several.
+    They hold every main element, or without one every article, or without these every h1, or without any of these,
+    forms alone, all paragraphs, if there are several.  Articles beside a headline elsewhere are teasers if there are several.
+    Forms may hold the main part as well.
     """
     marks: dict[str, list] = {}
     for _ in _scan(page, None, marks):
         pass
-    for name in ("main", "article", "h1"):
-        if name not in marks:
+    for name in MARKED:
+        if name not in marks or name == "p" and marks[name][0] < 3:
             continue
         n, first, still_open, _ = marks[name]
         around = set(first[:still_open])
+        if name == "p":
+            around = {at for at in around if page[at : at + 5].lower() == "<form"}
         if name == "article" and n > 1 and "h1" in marks:
             around &= set(marks["h1"][1])
         return around
@@ -113,12 +177,13 @@ def _scan(page: str, wrappers: set[int] | None, marks: dict[str, list] | None =
     the last as well, and how many are open."""
     stack: list[str] = []
     begins: list[int] = []
-    at, other, depth_main, links = 0, 0, 0, 0
+    at, other, depth_main = 0, 0, 0
+    within = dict.fromkeys(PLACES, 0)
     while at < len(page):
         found = TAG.search(page, at)
         until = found.start() if found else len(page)
         if until > at and not other:
-            where = "article" if depth_main else "link" if links else "plain"
+            where = "article" if depth_main else next((place for place in PLACES if within[place]), "plain")
             yield where, html.unescape(page[at:until])
         if not found:
             return
@@ -134,7 +199,8 @@ def _scan(page: str, wrappers: set[int] | None, marks: dict[str, list] | None =
                     gone = stack.pop()
                     begins.pop()
                     depth_main -= gone in MAIN_NAMES
-                    links -= gone == "a"
+                    if gone in PLACE_OF:
+                        within[PLACE_OF[gone]] -= 1
                     if other and len(stack) < other:
                         other = 0
                     if gone == name:
@@ -158,12 +224,16 @@ def _scan(page: str, wrappers: set[int] | None, marks: dict[str, list] | None =
             while True:
                 gone = stack.pop()
                 begins.pop()
-                links -= gone == "a"
+                if gone in PLACE_OF:
+                    within[PLACE_OF[gone]] -= 1
                 if other and len(stack) < other:
                     other = 0
                 if gone == ends:
                     break
         if name == "body" and other and stack[other - 1 :][:1] == ["head"]:
+            for gone in stack[other - 1 :]:
+                if gone in PLACE_OF:
+                    within[PLACE_OF[gone]] -= 1
             del stack[other - 1 :], begins[other - 1 :]
             other = 0
         stack.append(name)
@@ -171,15 +241,17 @@ def _scan(page: str, wrappers: set[int] | None, marks: dict[str, list] | None =
         for mark in marks.values() if marks else ():
             mark[3] = min(mark[3], len(stack) - 1)
         depth_main += name in MAIN_NAMES
-        links += name == "a"
+        if name in PLACE_OF:
+            within[PLACE_OF[name]] += 1
         if other:
             continue
         in_main = depth_main - (name in MAIN_NAMES) > 0 or (depth_main > 0 and name not in MAIN_NAMES)
-        if is_other(name, found["rest"], in_main, wrappers is not None and found.start() not in wrappers):
+        around = wrappers is None or found.start() in wrappers
+        if not (name == "form" and around) and is_other(name, found["rest"], in_main, not around):
             other = len(stack)
             yield "other", name
         else:
-            if marks is not None and name in ("main", "article", "h1"):
+            if marks is not None and name in MARKED:
                 if name not in marks:
                     marks[name] = [0, begins[:-1], 0, len(stack) - 1]
                 mark = marks[name]
@@ -191,7 +263,7 @@ def fit_weights(pages: Iterable[str]) -> dict[Event, float]:
     """Log-odds of standing inside the content, for words by where they stand and for tags by name.
 
     ``pages`` mark their content by the comments ``keep`` and ``/keep``.  Words keep the sign that the
-    pages give them; tags are held at or below a small negative weight.
+    pages give them; tags are held below 0, and are worth a part of a word, as a page has many of them.
     """
     inside, outside, keep = Counter(), Counter(), False
     for page in pages:
@@ -204,7 +276,7 @@ def fit_weights(pages: Iterable[str]) -> dict[Event, float]:
     weights = {}
     for key in inside | outside:
         odds = math.log((inside[key] + 0.5) / (outside[key] + 0.5))
-        weights[key] = min(odds, -0.01) / 50 if key[0] in ("tag", "other") else odds
+        weights[key] = min(odds, -0.01) / TAG_SHARE if key[0] in ("tag", "other") else odds
     return weights
 
 

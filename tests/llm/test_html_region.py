@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tablemill.llm.html_region import best_region, fit_weights, labelled_pages, main_text, main_texts
+from tablemill.llm.html_region import best_region, events, fit_weights, labelled_pages, main_text, main_texts
 from tablemill.llm.queries import table
 
 WEIGHTS = fit_weights(labelled_pages())
@@ -68,3 +68,47 @@ def test_wrappers_named_after_other_parts():
     teasers = '<div class="related"><article><p>One more.</p></article><article><p>Another.</p></article></div>'
     assert main_text(f"<div><h1>Title</h1><p>{text}</p></div>{teasers}", WEIGHTS) == f"Title\n\n{text}"
     assert main_text(f"<main><h1>Title</h1><p>{text}</p></main>{teasers}", WEIGHTS) == f"Title\n\n{text}"
+
+
+LONG = "The text of the page stands here and is long enough to be told from the rest of it."
+
+
+def test_forms_around_the_page():
+    page = f'<body><form id="all"><div><h1>Title</h1><p>{LONG}</p><p>Second one here.</p></div></form><form><p>name</p></form></body>'
+    assert main_text(page, WEIGHTS) == f"Title\n\n{LONG}\n\nSecond one here."
+    assert main_text(f"<form><p>Name and address.</p></form><p>{LONG}</p>", WEIGHTS) == LONG
+    assert main_text(f"<form><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></form>", WEIGHTS) == "\n\n".join([LONG] * 3)
+
+
+def test_hidden_is_an_attribute():
+    assert main_text(f'<article><p title="the hidden gem of Rome">{LONG}</p></article>', WEIGHTS) == LONG
+    for said in ("hidden", "HIDDEN=''", "aria-hidden='true'", 'style="color: red; display : none"'):
+        assert main_text(f"<article><p>{LONG}</p><p {said}>not this</p></article>", WEIGHTS) == LONG, said
+
+
+def test_names_of_content_that_hold_a_listed_word():
+    for said in ("social-science", "related-work", "comment-on-method", "notice-of-birth", "search-theory"):
+        assert main_text(f'<article><h1>T</h1><div class="{said}"><p>{LONG}</p></div></article>', WEIGHTS) == f"T\n\n{LONG}", said
+    for said in ("related-posts", "social-share", "comment-list", "ad-slot", "js-newsletter", "nav-primary", "shareButtons", "discussion"):
+        assert main_text(f'<article><p>{LONG}</p><div class="{said}"><p>Not this one.</p></div></article>', WEIGHTS) == LONG, said
+
+
+def test_pages_without_article_and_without_telling_names():
+    page = f"""<body><div class="a1">Home page of somebody</div><div class="a2"><a href="/">Index</a> and <a href="/b">more</a></div>
+    <div class="a3"><h1>Title</h1><p>{LONG}</p><h2>Next</h2><ul><li>one<li>two</ul><p>{LONG}</p></div>
+    <div class="a4">Most read</div><div id="left-rail"><p>Other things.</p></div><div class="a5">Copyright 2020</div></body>"""
+    assert main_text(page, WEIGHTS) == f"Title\n\n{LONG}\n\nNext\n\none\n\ntwo\n\n{LONG}"
+
+
+def test_scan_against_all_regions():
+    page = f"""<body><div>Up <b>here</b></div><a href="x">go there</a><h1>One</h1><p>{LONG}</p><div>Some words</div>
+    <p>{LONG}</p><ul><li><a href="y">follow</a></ul><div>The end</div></body>"""
+    found = [event for event in events(page) if event[0] != "note"]
+    scores = [
+        WEIGHTS.get((kind, value), -0.001) if kind in ("tag", "other") else WEIGHTS.get((kind, ""), 0.0) * len(value.split())
+        for kind, value in found
+    ]
+    start, end = best_region(scores)
+    most = max(sum(scores[a:b]) for a in range(len(scores)) for b in range(a, len(scores) + 1))
+    assert abs(sum(scores[start:end]) - most) < 1e-9
+    assert min(scores) < -1 and {kind for kind, _ in found} >= {"short", "link", "head", "plain"}
