@@ -9,8 +9,12 @@ Equal windows of one segment pick different places, so only a segment that picks
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+# From so many bytes on a word is hashed by itself: powers modulo 2^64 give some different words of 1,024 letters one sum.
+LONG_WORD = 512
 PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -82,6 +86,16 @@ def range_hashes(items: np.ndarray, begins: np.ndarray, ends: np.ndarray, prime:
     return mixed((running[ends] - running[begins]) * inverse[begins] + (ends - begins).astype(np.uint64) * prime)
 
 
+def word_hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """A hash of each word, given where words begin and end in ``raw`` and a number for each byte."""
+    hashes = range_hashes(table[raw], begins, ends)
+    salt = int(table[0]).to_bytes(8, "little")
+    for at in np.nonzero(ends - begins >= LONG_WORD)[0].tolist():
+        digest = hashlib.blake2b(raw[begins[at] : ends[at]].tobytes(), digest_size=8, key=salt).digest()
+        hashes[at] = int.from_bytes(digest, "little")
+    return hashes
+
+
 def segments(items: np.ndarray, starts: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     """(key, row, start within the row, number of windows, whether it picks several places) of every segment.
 

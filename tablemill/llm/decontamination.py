@@ -18,11 +18,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
-from tablemill.llm.anchors import gram_hashes, mixed, range_hashes
+from tablemill.llm.anchors import gram_hashes, mixed, word_hashes
 from tablemill.llm.arrow_text import bounds, numbered, raw_bytes, slices, word_places, words
 from tablemill.llm.minhash import keep_keys
-from tablemill.llm.repeats import BYTE_HASH, keyed
+from tablemill.llm.repeats import BYTE_HASH, NO_ID, keyed
 from tablemill.llm.staged import stage
 
 WINDOW = 8
@@ -88,7 +89,7 @@ class Templates:
             closes.append(end in tuple(".!?:;"))
             ends_run.append(end in tuple(".!?:;,"))
         form_raw, form_starts = raw_bytes(pa.array(forms, pa.string()))
-        hashes = range_hashes(BYTE_HASH[form_raw], form_starts[:-1], form_starts[1:]) if forms else np.zeros(0, np.uint64)
+        hashes = word_hashes(form_raw, form_starts[:-1], form_starts[1:], BYTE_HASH) if forms else np.zeros(0, np.uint64)
         # a sentence, a line or the text begins at a word, or a run of names or numbers cannot go on with it
         opens, breaks = np.ones(len(ids), bool), np.ones(len(ids), bool)
         if len(ids) > 1:
@@ -276,14 +277,18 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     fillings must be 0.8 of the item's.  Tokens are words, runs of names or of numbers, and units.  Items of fewer
     than 8 tokens are one window, matched whole; those of fewer than 5, or
     without text, are too short to tell and match nothing.  Rows with NULL or empty texts hold nothing.  Items
-    may repeat; those that share an item_id are told apart by their texts.  (d, h) is the row's key: doc_id with NULL as the
+    may repeat; those that share an item_id are told apart by their texts.  An item_id may have any type that can be
+    grouped by and ordered; a NULL one of whole numbers is the largest of them.  (d, h) is the row's key: doc_id with NULL as the
     largest number, and a hash of the text.
 
     Documents are read once for every million different windows of the benchmark, whose keys are sent
     to the tasks; the windows found are joined with the benchmark's.
     """
     spark = df.sparkSession
-    items = benchmark.select(F.col("item_id").alias("doc_id"), "text")
+    whole = isinstance(benchmark.schema["item_id"].dataType, IntegralType)
+    # ids that are no whole numbers are known by a hash of them and of the item's text, and joined back
+    item_key = F.col("item_id") if whole else F.when(F.col("item_id").isNotNull(), F.xxhash64("item_id"))
+    items = benchmark.select(item_key.alias("doc_id"), "text")
     known = stage(
         keyed(items).select("d", "h", "text").mapInArrow(template_windows(None), SCHEMA)
         .select(
@@ -293,6 +298,11 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct(),
         "benchmark-windows",
     )
+    if not whole:
+        names = benchmark.select(
+            F.coalesce(item_key, F.lit(NO_ID)).alias("item_key"), F.xxhash64("text").alias("item_h"), "item_id"
+        ).distinct()
+        known = stage(known.withColumnRenamed("item_id", "item_key").join(names, ["item_key", "item_h"]).drop("item_key"), "named-windows")
     n_blocks = max(1, math.ceil(known.count() / BLOCK))
     rows = keyed(df).select("d", "h", "text")
     found = None
@@ -308,7 +318,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = found.join(known, ["key", "width"]).groupBy("d", "h", "item_id", "item_h", "n_tokens").agg(
         F.collect_set(F.struct("at", "item_at", "item_until", "item_slots", "slots")).alias("met")
     )
-    shares = met.mapInArrow(judge_shares, "d long, h long, item_id long, share double")
+    id_type = met.schema["item_id"].dataType.simpleString()
+    shares = met.mapInArrow(judge_shares, f"d long, h long, item_id {id_type}, share double")
     return shares.where(F.col("share") >= LEAST_SHARE).groupBy("d", "h", "item_id").agg(F.max("share").alias("share"))
 
 
@@ -318,13 +329,13 @@ def judge_documents(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_id is the smallest of the items with the largest share; it and share are NULL for clean rows.
     """
     held = contaminated(df, benchmark).groupBy("d", "h").agg(
-        F.count(F.lit(1)).alias("n_items"), F.max(F.struct("share", (-F.col("item_id")).alias("minus"))).alias("best")
+        F.count(F.lit(1)).alias("n_items"), F.min(F.struct((-F.col("share")).alias("minus"), F.col("item_id").isNull().alias("unnamed"), "item_id")).alias("best")
     )
     rows = keyed(df).select("doc_id", "d", "h")
     met = rows.join(stage(held, "contaminated"), ["d", "h"], "left")
     return met.select(
-        "doc_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), (-F.col("best.minus")).alias("item_id"),
-        F.col("best.share").alias("share"), F.col("n_items").isNull().alias("kept"),
+        "doc_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.col("best.item_id").alias("item_id"),
+        (-F.col("best.minus")).alias("share"), F.col("n_items").isNull().alias("kept"),
     )
 
 

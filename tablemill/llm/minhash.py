@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablemill.llm.anchors import gram_hashes, mixed, range_hashes
+from tablemill.llm.anchors import gram_hashes, mixed, range_hashes, word_hashes
 from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.components import components
 from tablemill.llm.repeats import BYTE_HASH, NO_ID
@@ -42,7 +42,7 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     raw, starts = raw_bytes(texts)
     raw = raw + np.uint8(32) * ((raw >= 65) & (raw <= 90)).astype(np.uint8)
     begins, ends, bounds = word_places(raw, starts)
-    items = range_hashes(BYTE_HASH[raw], begins, ends)
+    items = word_hashes(raw, begins, ends, BYTE_HASH)
     counts = np.diff(bounds)
     grams = gram_hashes(items, width) if len(items) >= width else np.zeros(0, np.uint64)
     row = np.repeat(np.arange(len(counts)), counts)

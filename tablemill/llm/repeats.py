@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablemill.llm.anchors import mixed, range_hashes, segments
+from tablemill.llm.anchors import mixed, range_hashes, segments, word_hashes
 from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.staged import stage
 
@@ -62,7 +62,7 @@ class Cut:
         if not self.words:
             return table[raw], starts
         begins, ends, bounds = word_places(raw, starts)
-        return range_hashes(table[raw], begins, ends), bounds
+        return word_hashes(raw, begins, ends, table), bounds
 
 
 def keyed(df: DataFrame) -> DataFrame:

@@ -91,3 +91,12 @@ def test_new_values_may_coincide(spark):
     ]
     got = judged(spark, rows, [(1, start), (2, long)])
     assert {d: r.item_id for d, r in got.items() if not r.kept} == {1: 1, 2: 2}
+
+
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "Before. " + ITEM), (2, "and " + SAME + " After."), (3, "plain words alone")], "doc_id long, text string")
+    items = [("gsm-9", ITEM), ("gsm-10", ITEM), (None, ITEM), ("other", "What is the capital of Peru and of Chile?")]
+    got = {r.doc_id: r for r in judge_documents(docs, spark.createDataFrame(items, "item_id string, text string")).collect()}
+    assert {d: (r.item_id, r.n_items, r.kept) for d, r in got.items()} == {1: ("gsm-10", 3, False), 2: ("gsm-10", 3, False), 3: (None, 0, True)}
+    pairs = spark.createDataFrame([(("gsm", 9), ITEM)], "item_id struct<set: string, no: int>, text string")
+    assert [tuple(r.item_id) for r in judge_documents(docs, pairs).where("NOT kept").collect()] == [("gsm", 9)] * 2

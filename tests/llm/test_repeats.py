@@ -98,3 +98,21 @@ def test_texts_without_id_whose_short_hashes_meet(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(LAST if r.doc_id is None else r.doc_id, r.n_items, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeated_bytes(df, 50).collect()]
     assert sorted(got, key=str) == expected(rows, 50, False)
+
+
+def thue_morse(length):
+    """The word of two letters, of a length that is a power of 2, whose complement has the same sum of powers modulo 2^64."""
+    word = "a"
+    while len(word) < length:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_long_words_that_powers_do_not_tell_apart(spark):
+    word = thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    around = [f"w{i}" for i in range(25)]
+    rows = [(i, " ".join(around[:13] + [one] + around[13:])) for i, one in enumerate([word, other, word])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in remove_repeated_words(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 26}
