@@ -59,6 +59,24 @@ WORDS, NO_CAPITALS, INSIDE, OPENERS, EVEN, ODD = range(6)
 WINDOWS = "at int, until int, key long, slots array<string>"
 
 
+# Words of letters a to z with at most a mark behind, which are most words, are told of as arrays.
+PLAIN = r"^[A-Za-z]+[.,:;!?]?$"
+
+
+def plain_words(found: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The forms, kinds and capitals of plain words, and whether they end a sentence, or a run of names or numbers."""
+    def told(mask: pa.Array) -> np.ndarray:
+        return mask.to_numpy(zero_copy_only=False)
+
+    bare = pc.ascii_rtrim(found, ".,:;!?")
+    form = pc.ascii_lower(bare)
+    kinds = np.where(told(pc.is_in(form, pa.array(sorted(UNITS)))), np.int8(UNIT_SLOT), np.int8(LITERAL))
+    # a capital first and a small letter behind
+    named = told(pc.match_substring_regex(bare, "^[A-Z].*[a-z]")) & ~told(pc.is_in(form, pa.array(sorted(NO_NAMES))))
+    closes = told(pc.match_substring_regex(found, "[.:;!?]$"))
+    return form, kinds, named, closes, closes | told(pc.ends_with(found, ","))
+
+
 class Templates:
     """The tokens of a batch of texts and their templates in each reading.
 
@@ -71,39 +89,49 @@ class Templates:
         begins, ends, first = word_places(raw, starts)
         ids, distinct = numbered(flat)
         # a word is one token, or two if it is a number with its unit; words without letters and digits are none
-        forms, kinds, capital, token_of, closes, ends_run = [], [], [], [0], [], []
-        for word in distinct.to_pylist():
+        plain = pc.match_substring_regex(distinct, PLAIN).to_numpy(zero_copy_only=False)
+        forms, kinds, capital, closes, ends_run = plain_words(distinct.filter(pa.array(plain)))
+        token_from, n_forms = np.zeros(len(distinct), np.int64), plain.astype(np.int64)
+        token_from[plain] = np.arange(len(forms))
+        closing, run_ending = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
+        closing[plain], run_ending[plain] = closes, ends_run
+        others = np.nonzero(~plain)[0]
+        more_forms, more_kinds, more_capital = [], [], []
+        for at, word in zip(others.tolist(), distinct.filter(pa.array(~plain)).to_pylist()):
             bare = EDGES.sub("", word)
             form = bare.lower()
             joined = WITH_UNIT.fullmatch(form)
+            token_from[at] = len(forms) + len(more_forms)
             if joined and joined[2] in UNITS:
-                forms += joined.groups()
-                kinds += [NUMBER_SLOT, UNIT_SLOT]
-                capital += [False, False]
+                more_forms += joined.groups()
+                more_kinds += [NUMBER_SLOT, UNIT_SLOT]
+                more_capital += [False, False]
             elif form:
-                forms.append(form)
-                kinds.append(NUMBER_SLOT if NUMBER.fullmatch(bare) else UNIT_SLOT if form in UNITS else LITERAL)
-                capital.append(len(bare) > 1 and bare[0].isupper() and not bare.isupper() and form not in NO_NAMES)
-            token_of.append(len(forms))
+                more_forms.append(form)
+                more_kinds.append(NUMBER_SLOT if NUMBER.fullmatch(bare) else UNIT_SLOT if form in UNITS else LITERAL)
+                more_capital.append(len(bare) > 1 and bare[0].isupper() and not bare.isupper() and form not in NO_NAMES)
+            n_forms[at] = len(forms) + len(more_forms) - token_from[at]
             end = word.rstrip("\"')]»”’")[-1:]
-            closes.append(end in tuple(".!?:;"))
-            ends_run.append(end in tuple(".!?:;,"))
-        form_raw, form_starts = raw_bytes(pa.array(forms, pa.string()))
-        hashes = word_hashes(form_raw, form_starts[:-1], form_starts[1:], BYTE_HASH) if forms else np.zeros(0, np.uint64)
+            closing[at] = end in tuple(".!?:;")
+            run_ending[at] = end in tuple(".!?:;,")
+        forms = pa.concat_arrays([forms, pa.array(more_forms, pa.string())])
+        kinds = np.concatenate([kinds, np.array(more_kinds, np.int8)])
+        capital = np.concatenate([capital, np.array(more_capital, bool)])
+        form_raw, form_starts = raw_bytes(forms)
+        hashes = word_hashes(form_raw, form_starts[:-1], form_starts[1:], BYTE_HASH) if len(forms) else np.zeros(0, np.uint64)
         # a sentence, a line or the text begins at a word, or a run of names or numbers cannot go on with it
         opens, breaks = np.ones(len(ids), bool), np.ones(len(ids), bool)
         if len(ids) > 1:
             lines = np.concatenate([[0], np.cumsum(raw == 10)])
             new_line = lines[begins[1:]] > lines[ends[:-1]]
-            opens[1:] = np.array(closes, bool)[ids[:-1]] | new_line
-            breaks[1:] = np.array(ends_run, bool)[ids[:-1]] | new_line
+            opens[1:] = closing[ids[:-1]] | new_line
+            breaks[1:] = run_ending[ids[:-1]] | new_line
         opens[first[:-1][np.diff(first) > 0]] = True
         breaks[first[:-1][np.diff(first) > 0]] = True
-        token_bounds = np.array(token_of)
-        n_tokens = np.diff(token_bounds)[ids]
+        n_tokens = n_forms[ids]
         each = np.repeat(np.arange(len(ids)), n_tokens)
         part = np.arange(len(each)) - np.repeat(np.cumsum(n_tokens) - n_tokens, n_tokens)
-        self.forms, self.ids = forms, token_bounds[ids[each]] + part
+        self.forms, self.ids = forms, token_from[ids[each]] + part
         # a word without letters that ends a run ends it also for the token after it
         breaks_before = np.cumsum(breaks)[each]
         self.breaks = np.ones(len(each), bool)
@@ -111,8 +139,8 @@ class Templates:
         row = np.repeat(np.arange(len(counts)), counts)[each]
         self.bounds = bounds(np.bincount(row, minlength=len(counts)))
         self.literal = hashes[self.ids]
-        kind = np.array(kinds, np.int8)[self.ids] if forms else np.zeros(0, np.int8)
-        named = (np.array(capital, bool)[self.ids] if forms else np.zeros(0, bool)) & (kind == LITERAL)
+        kind = kinds[self.ids]
+        named = capital[self.ids] & (kind == LITERAL)
         opener = named & opens[each]
         second = np.cumsum(opener) % 2 == 1
         self.kinds = [np.zeros(len(kind), np.int8)]
@@ -171,7 +199,7 @@ class Templates:
         for i in range(begin, end):
             if kinds[i] == LITERAL:
                 continue
-            form = self.forms[self.ids[i]]
+            form = self.forms[int(self.ids[i])].as_py()
             goes_on = i > begin and kinds[i] == kinds[i - 1] and kinds[i] in (NAME_SLOT, NUMBER_SLOT) and not self.breaks[i]
             if goes_on:
                 out[-1] += form if kinds[i] == NUMBER_SLOT else f" {form}"

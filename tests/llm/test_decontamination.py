@@ -2,9 +2,11 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tablemill.llm import decontamination
 from tablemill.llm.decontamination import judge_documents
 from tablemill.llm.queries import table
 
@@ -100,3 +102,12 @@ def test_item_ids_of_any_type(spark):
     assert {d: (r.item_id, r.n_items, r.kept) for d, r in got.items()} == {1: ("gsm-10", 3, False), 2: ("gsm-10", 3, False), 3: (None, 0, True)}
     pairs = spark.createDataFrame([(("gsm", 9), ITEM)], "item_id struct<set: string, no: int>, text string")
     assert [tuple(r.item_id) for r in judge_documents(docs, pairs).where("NOT kept").collect()] == [("gsm", 9)] * 2
+
+
+def test_plain_words_are_told_as_others_are(monkeypatch):
+    texts = [ITEM, SAME, "Anna, ANNA! anna? A a I x5 5kg 5 kg. Km KM; the The THE eBay McDonald (Bob) é Élan kg", "", None, "Mary Ann\nmet Bob. Tom: no!"]
+    row = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_pydict({"d": row, "h": row, "text": pa.array(texts, pa.string())})
+    got = [part.to_pylist() for part in decontamination.template_windows(None)([batch])]
+    monkeypatch.setattr(decontamination, "PLAIN", "^$")
+    assert got == [part.to_pylist() for part in decontamination.template_windows(None)([batch])] and got[0]
