@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablemill.llm.anchors import gram_hashes, mixed, range_hashes, word_hashes
 from tablemill.llm.arrow_text import raw_bytes, slices, word_places
 from tablemill.llm.components import components
+from tablemill.llm.key_marks import with_marks
 from tablemill.llm.repeats import BYTE_HASH, NO_ID
-from tablemill.llm.staged import stage
+from tablemill.llm.staged import passing, stage
 
 # At a similarity of 0.8 a pair agrees in none of 40 bands of 5 with a chance of 1.3e-7.
 BANDS, ROWS = 40, 5
@@ -264,12 +265,12 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80) -> DataFra
         "leaders",
     )
     members = stage(banded.join(leaders, "band"), "members")
-    needed = members.select("set_key").distinct()
-    content = stage(
-        rows.select("d", "h", "text").join(firsts.join(needed, "set_key").select("d", "h", "set_key", "bytes_of"), ["d", "h"])
-        .select("set_key", "text", "bytes_of").dropDuplicates(["set_key"]),
-        "content",
+    needed = stage(
+        firsts.join(members.select("set_key").distinct(), "set_key", "left_semi").select("set_key", "d", "h", "bytes_of"), "needed"
     )
+    # most texts meet no other and stay where they are
+    texts = with_marks(rows.select("d", "h", "text"), needed, ["d", "h"]).where("_marked")
+    content = stage(texts.join(needed, ["d", "h"]).select("set_key", "text", "bytes_of").dropDuplicates(["set_key"]), "content")
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Links among pairs (key_a, d_a, set_key, d)."""
@@ -331,15 +332,21 @@ def keep_one_of_each(df: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     Of rows that agree in doc_id and text one stays.
     """
-    found = near_duplicates(df, width, percent).where("kept").groupBy("d", "h").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = stage(found.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "_rows"), "kept-keys")
+    with passing():
+        found = near_duplicates(df, width, percent).groupBy("d", "h").agg(
+            F.count_if("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")
+        )
+        # all other rows stay, and need not be looked up
+        doubtful = found.where("_kept = 0 OR _rows > 1")
+        doubtful = stage(doubtful.select(F.col("d").alias("_d"), F.col("h").alias("_h"), "_kept"), "doubtful", lasting=True)
     node, text_hash = node_of()
     row = F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
     rows = df.select(row.alias("_row"), node.alias("_d"), text_hash.alias("_h"), F.col("text").alias("_text"))
-    once = rows.join(kept.where("_rows = 1"), ["_d", "_h"], "left_semi")
-    # few rows; texts that differ although their hashes agree both stay
-    several = rows.join(kept.where("_rows > 1"), ["_d", "_h"], "left_semi").dropDuplicates(["_d", "_text"])
-    return once.unionByName(several).select("_row.*")
+    rows = with_marks(rows, doubtful, ["_d", "_h"])
+    looked_up = rows.where("_marked").join(doubtful, ["_d", "_h"], "left").where("_kept IS NULL OR _kept > 0")
+    # texts that differ although their hashes agree both stay
+    several = looked_up.dropDuplicates(["_d", "_text"])
+    return rows.where("NOT _marked").select("_row").union(several.select("_row")).select("_row.*")
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:

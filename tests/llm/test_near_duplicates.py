@@ -1,13 +1,16 @@
 """Near-duplicates and components against brute force."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablemill.llm.components import components
+from tablemill.llm.key_marks import with_marks
 from tablemill.llm import minhash
 from tablemill.llm.minhash import keep_one_of_each, near_duplicates, shingle_sets, sign, tiles
+from tablemill.session import application_dir
 
 LAST = (1 << 63) - 1
 
@@ -146,5 +149,45 @@ def test_signatures_tell_large_sets_apart():
     assert np.diff(shingle_sets(pa.array(texts), 5)[1]).min() > 2900 and (one == two).sum() < 20
 
 
+def shuffled_bytes(plan):
+    """What the shuffles below a plan's node wrote, in the plan as it ran."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_bytes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_bytes(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_bytes(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_kept_texts_are_not_shuffled(spark):
+    draw = random.Random(21)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(300)) for _ in range(300)]
+    rows = list(enumerate(texts + [text + " and more" for text in texts[:10]]))
+    rows += [rows[50], rows[50], (None, texts[0])]
+    os.makedirs(application_dir(spark), exist_ok=True)
+    before, tables = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), set(os.listdir(application_dir(spark)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = sorted((r.doc_id, r.text) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == rows[:300]
+    assert shuffled_bytes(kept._jdf.queryExecution().executedPlan()) < 0.2 * sum(map(len, texts))
+    # what the search for links has stored is gone
+    assert len(set(os.listdir(application_dir(spark))) - tables) == 1
+
+
+def test_marks(spark):
+    rows = spark.range(20_000).selectExpr("id AS d", "CAST(id % 7 AS INT) AS h", "'x' AS _row")
+    keys = rows.where("d % 100 = 3").select("d", "h").unionByName(spark.createDataFrame([(-1, 0)], "d long, h int"))
+    marked = with_marks(rows, keys, ["d", "h"])
+    assert marked.columns == ["d", "h", "_row", "_marked"] and marked.count() == 20_000
+    found = {r.d for r in marked.where("_marked").collect()}
+    assert found >= {d for d in range(20_000) if d % 100 == 3} and len(found) < 220
+    assert with_marks(rows, keys.limit(0), ["d", "h"]).where("NOT _marked").count() == 20_000
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
